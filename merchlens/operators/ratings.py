@@ -12,8 +12,12 @@ def newest_first():
 
 def latest_ratings(ratings: DataFrame) -> DataFrame:
     """One row per user and product: the newest rating, the higher score on a tie."""
-    order = (F.desc("ts"), F.desc("score"))
-    return top_per_key(ratings, ("user_id", "product_id"), order, 1)
+    newest = F.max(F.struct("ts", "score")).alias("_newest")
+    return (
+        ratings.groupBy("user_id", "product_id")
+        .agg(newest)
+        .select("user_id", "product_id", "_newest.score", "_newest.ts")
+    )
 
 
 def upsert_ratings(base: DataFrame, updates: DataFrame, keep_ts: bool = False) -> DataFrame:

@@ -16,10 +16,26 @@ from merchlens.functions.ranking import pack_recs, top_per_key
 
 
 def unrated_similars(
-    triggers: DataFrame, rated: DataFrame, sims: DataFrame, k: int = SIMILAR_CANDIDATES
+    triggers: DataFrame,
+    rated: DataFrame,
+    sims: DataFrame,
+    k: int = SIMILAR_CANDIDATES,
+    levels: DataFrame | None = None,
 ) -> DataFrame:
-    """The ``k`` most similar products the user has not rated, per trigger."""
-    similar = triggers.join(sims, "product_id").select(
+    """The ``k`` most similar products the user has not rated, per trigger.
+
+    With ``levels`` (``similarity.similar_levels`` of the same table) a trigger meets
+    only similars that can still be among its ``k``, which keeps the join small for
+    products with very many similars.
+    """
+    if levels is None:
+        similar = triggers.join(sims, "product_id")
+    else:
+        bounded = _with_lowest_level(triggers, rated, levels, k)
+        similar = bounded.join(sims, "product_id").where(
+            F.col("_lowest").isNull() | (F.floor(F.col("sim") * 100) >= F.col("_lowest"))
+        )
+    similar = similar.select(
         "trigger_id", "user_id", F.col("sim_product_id").alias("candidate"), "sim"
     )
     known = rated.select("user_id", F.col("product_id").alias("candidate"))
@@ -29,6 +45,32 @@ def unrated_similars(
     )
 
 
+def _with_lowest_level(triggers, rated, levels, k):
+    """Triggers with the highest level that leaves ``k`` similars whatever was rated.
+
+    A user with ``r`` ratings has at most ``r`` rated similars, so the first ``k + r``
+    similars hold the wanted ones. Null where the product has fewer.
+    """
+    users = triggers.select("user_id").distinct()
+    rated_counts = (
+        rated.join(users, "user_id", "left_semi")
+        .groupBy("user_id")
+        .agg(F.count(F.lit(1)).alias("_r"))
+    )
+    needed = F.coalesce("_r", F.lit(0)) + k
+    deep_enough = F.filter("levels", lambda x: x["at_least"] >= needed)
+    return (
+        triggers.join(rated_counts, "user_id", "left")
+        .join(levels, "product_id", "left")
+        .select(
+            "trigger_id",
+            "user_id",
+            "product_id",
+            F.array_max(F.transform(deep_enough, lambda x: x["level"])).alias("_lowest"),
+        )
+    )
+
+
 def score_candidates(
     candidates: DataFrame,
     recents: DataFrame,
@@ -74,9 +116,10 @@ def rerank(
     sims: DataFrame,
     k: int = SIMILAR_CANDIDATES,
     min_sim: float = SCORING_SIMILARITY_FLOOR,
+    levels: DataFrame | None = None,
 ) -> DataFrame:
     """Scored candidates ``(trigger_id, user_id, product_id, score)``."""
-    candidates = unrated_similars(triggers, rated, sims, k)
+    candidates = unrated_similars(triggers, rated, sims, k, levels)
     return score_candidates(candidates, recents, sims, min_sim)
 
 

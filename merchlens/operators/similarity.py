@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.constants import TABLE_SIMILARITY_FLOOR
@@ -206,6 +206,22 @@ def pair_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
+def similar_levels(sims: DataFrame) -> DataFrame:
+    """How many similars each product has from every hundredth of similarity upwards.
+
+    One row per product with at most 201 levels, best first. It tells how far down a
+    product's similars one has to look for a given number of them.
+    """
+    level = F.floor(F.col("sim") * 100).cast("int").alias("level")
+    counts = sims.groupBy("product_id", level).agg(F.count(F.lit(1)).alias("n"))
+    from_top = Window.partitionBy("product_id").orderBy(F.desc("level"))
+    return (
+        counts.withColumn("at_least", F.sum("n").over(from_top))
+        .groupBy("product_id")
+        .agg(F.collect_list(F.struct("level", "at_least")).alias("levels"))
+    )
+
+
 def sorted_similars(sims: DataFrame) -> DataFrame:
     """Whole similar lists in reading order: by product, best first.
 

@@ -262,6 +262,13 @@ def _sims(spark, sf, top_n=None):
     return similarity.similar_products(inputs.vectors(spark, sf), TABLE_FLOOR, top_n)
 
 
+def _stored_sims(spark, sf):
+    """The similarity table as the scorers use it: computed once and stored."""
+    path = scratch_path(spark, "sims")
+    tables.overwrite(_sims(spark, sf), path)
+    return tables.read_table(spark, path, schemas.SIMILARITY)
+
+
 def item_cosine(spark, sf):
     return _rounded(_sims(spark, sf), "sim")
 
@@ -301,14 +308,19 @@ def _rerank_inputs(spark, sf):
 
 def unrated_similars(spark, sf):
     triggers, _, rated = _rerank_inputs(spark, sf)
-    rows = rerank.unrated_similars(triggers, rated, _sims(spark, sf))
+    sims = _stored_sims(spark, sf)
+    rows = rerank.unrated_similars(triggers, rated, sims, levels=similarity.similar_levels(sims))
     return _rounded(rows.select("user_id", "candidate", "sim"), "sim")
 
 
 def _scored(spark, sf):
     triggers, recents, rated = _rerank_inputs(spark, sf)
-    sims = _sims(spark, sf)
-    return triggers, rerank.rerank(triggers, recents, rated, sims, min_sim=SCORING_FLOOR)
+    sims = _stored_sims(spark, sf)
+    levels = similarity.similar_levels(sims)
+    scored = rerank.rerank(
+        triggers, recents, rated, sims, min_sim=SCORING_FLOOR, levels=levels
+    )
+    return triggers, scored
 
 
 def rerank_scores(spark, sf):
@@ -361,7 +373,7 @@ def serve_similars(spark, sf):
 
 
 def serve_content_similars(spark, sf):
-    """Same lookup over a list table made from part attributes: same type, next sizes."""
+    """Same lookup over a list table made from part attributes: dearest first within type and brand."""
     parts = inputs.table(spark, sf, "part").select(
         F.col("p_partkey").cast("int").alias("product_id"), "p_type", "p_brand", "p_size",
         "p_retailprice",
@@ -513,10 +525,11 @@ def stream_recs(spark, sf):
     log_events.write_ratings_log(
         lines, f"{root}/ratings", f"{root}/ck-ratings", available_now=True, buckets=4
     ).awaitTermination()
+    sims = _stored_sims(spark, sf)
     scorer.start_scorer(
         spark,
         f"{root}/ratings",
-        lambda: _sims(spark, sf),
+        lambda: sims,
         f"{root}/recs",
         f"{root}/ck-recs",
         available_now=True,

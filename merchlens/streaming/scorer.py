@@ -29,6 +29,7 @@ def score_batch(
     n_recent: int = RECENT_RATINGS,
     k: int = SIMILAR_CANDIDATES,
     min_sim: float = SCORING_SIMILARITY_FLOOR,
+    levels: DataFrame | None = None,
 ) -> DataFrame:
     """Lists ``(user_id, recs)`` for one batch of ``recent_lists`` rows."""
     triggers = batch.select(F.col("user_id").alias("trigger_id"), "user_id", "product_id")
@@ -36,7 +37,7 @@ def score_batch(
         F.col("user_id").alias("trigger_id"),
         F.explode(F.slice("recents", 1, n_recent)).alias("_r"),
     ).select("trigger_id", "_r.product_id", "_r.score")
-    scored = rerank(triggers, recents, rated, sims, k, min_sim)
+    scored = rerank(triggers, recents, rated, sims, k, min_sim, levels)
     return rerank_lists(triggers, scored).select("user_id", "recs")
 
 
@@ -51,13 +52,14 @@ def start_scorer(
     max_files: int | None = None,
     cap: int = RECENT_LIST_CAP,
     history: Callable[[], DataFrame] | None = None,
+    levels: Callable[[], DataFrame] | None = None,
     **scoring,
 ):
     """Follow the ratings table and write the refreshed lists of every batch.
 
     The stream reads the table the ratings were stored in, so a rating is in the table
-    before it is scored. ``sims`` is called per batch and sees a refreshed similarity
-    table. ``history`` gives ratings stored before the stream began, with their
+    before it is scored. ``sims`` and ``levels`` are called per batch and see refreshed
+    similarity tables. ``history`` gives ratings stored before the stream began, with their
     ``user_bucket``. A batch writes its own folder and may be repeated without harm.
     """
     reader = spark.readStream.schema(RATINGS_LOG)
@@ -73,7 +75,8 @@ def start_scorer(
             if history:
                 before = ratings_of(history(), batch, buckets).select("user_id", "product_id")
                 rated = rated.unionByName(before)
-            recs = score_batch(batch, rated, sims(), **scoring)
+            bounds = levels() if levels else None
+            recs = score_batch(batch, rated, sims(), levels=bounds, **scoring)
             recs.write.mode("overwrite").parquet(f"{recs_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
