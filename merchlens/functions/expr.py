@@ -1,6 +1,6 @@
 """Scalar expressions, all built from native functions."""
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens.constants import FIELD_SEPARATOR, RATING_MARKER
@@ -85,3 +85,13 @@ def event_line(user_id: Column, product_id: Column, score: Column, ts: Column) -
 def recode_query(text: Column) -> Column:
     """Undo a latin-1 decoding of UTF-8 query text."""
     return F.decode(F.encode(text, "ISO-8859-1"), "UTF-8")
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    A filter on a plain projection is pushed below it and repeats the expression in
+    every condition. A generator stops that, which pays off for parsed text.
+    """
+    fields = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(fields)))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.constants import TABLE_SIMILARITY_FLOOR
-from merchlens.functions.expr import cosine, norm
+from merchlens.functions.expr import computed_once, cosine, norm
 from merchlens.functions.ranking import top_per_key
 
 BLOCK_ROWS = 4096
@@ -60,9 +60,11 @@ def similar_products(
 
 def _usable(vectors: DataFrame) -> DataFrame:
     """Vectors with a length: no zero vector, no null, NaN or infinite entry."""
-    length = norm(F.col("features"))
-    return vectors.select(F.col("product_id").cast("int"), "features").where(
-        (length > 0) & (length < float("inf"))
+    columns = vectors.select(F.col("product_id").cast("int"), "features")
+    return (
+        computed_once(columns, _length=norm(F.col("features")))
+        .where((F.col("_length") > 0) & (F.col("_length") < float("inf")))
+        .drop("_length")
     )
 
 
@@ -198,10 +200,10 @@ def pair_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """Cosine for given ``(product_id, sim_product_id)`` pairs; none for zero vectors."""
     left = vectors.select("product_id", F.col("features").alias("_a"))
     right = vectors.select(F.col("product_id").alias("sim_product_id"), F.col("features").alias("_b"))
+    both = pairs.join(left, "product_id").join(right, "sim_product_id")
     return (
-        pairs.join(left, "product_id")
-        .join(right, "sim_product_id")
-        .select("product_id", "sim_product_id", cosine(F.col("_a"), F.col("_b")).alias("sim"))
+        computed_once(both, sim=cosine(F.col("_a"), F.col("_b")))
+        .select("product_id", "sim_product_id", "sim")
         .where(F.col("sim").isNotNull() & ~F.isnan("sim"))
     )
 

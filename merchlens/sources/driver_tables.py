@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens.constants import RATING_MARKER
-from merchlens.functions.expr import name_hash
+from merchlens.functions.expr import computed_once, name_hash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,11 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    product = F.get_json_object("props", "$.k").cast("int")
+    return computed_once(table(spark, sf_dir, "events"), product_id=product).select(
         "event_id",
         F.col("user_id").cast("int").alias("user_id"),
-        F.get_json_object("props", "$.k").cast("int").alias("product_id"),
+        "product_id",
         (1 + F.pmod(F.floor("value"), F.lit(5))).cast("double").alias("score"),
         seconds(F.col("ts")).alias("ts"),
         "event_type",
@@ -43,7 +44,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Application log: error events give lines without a rating, signups a broken one."""
     payload = F.concat_ws("|", "user_id", "product_id", "score", "ts")
     broken = F.concat_ws("|", "user_id", "product_id", "event_type", "ts")
-    return events(spark, sf_dir).select(
+    line = (
         F.when(
             F.col("event_type") == "error",
             F.concat(F.lit("WARN request failed for user "), F.col("user_id").cast("string")),
@@ -53,8 +54,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit(f"INFO app - {RATING_MARKER}"), broken),
         )
         .otherwise(F.concat(F.lit(f"INFO app - {RATING_MARKER}"), payload, F.lit(" ")))
-        .alias("value")
     )
+    return computed_once(events(spark, sf_dir), value=line).select("value")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from merchlens import schemas
 from merchlens.constants import PRODUCT_FILE_SEPARATOR, RATING_FILE_SEPARATOR
+from merchlens.functions.expr import computed_once
+
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,2})?\s*$"
 
 
 def _read_delimited(spark, path, schema, separator, trim=True):
@@ -27,7 +30,7 @@ def scan_product_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     The category-id list and the external code are dropped; quotes are plain text.
     """
     raw = _read_delimited(spark, path, schemas.PRODUCT_FILE, PRODUCT_FILE_SEPARATOR)
-    typed = raw.withColumn("_id", F.expr("try_cast(product_id AS INT)"))
+    typed = raw.withColumn("_id", F.col("product_id").try_cast("int"))
     complete = F.col("_id").isNotNull() & F.col("name").isNotNull() & F.col("tags").isNotNull()
     good = typed.where(complete).select(
         F.col("_id").alias("product_id"),
@@ -45,15 +48,19 @@ def scan_rating_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     return split_ratings_text(raw)
 
 
+def _number(text):
+    """A finite decimal number, else null; a failed cast costs far more than the test."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def split_ratings_text(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed ratings, and the rows whose four text fields do not parse."""
-    typed = raw.withColumns(
-        {
-            "_user": F.expr("try_cast(user_id AS INT)"),
-            "_product": F.expr("try_cast(product_id AS INT)"),
-            "_score": F.expr("try_cast(score AS DOUBLE)"),
-            "_ts": F.expr("try_cast(ts AS BIGINT)"),
-        }
+    typed = computed_once(
+        raw,
+        _user=F.col("user_id").try_cast("int"),
+        _product=F.col("product_id").try_cast("int"),
+        _score=_number(F.col("score")),
+        _ts=F.col("ts").try_cast("bigint"),
     )
     parsed = (
         F.col("_user").isNotNull()

@@ -4,29 +4,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.constants import RATING_LINE_PATTERN, RATING_MARKER, TRIGGER_INTERVAL
-from merchlens.functions.expr import rating_payload
+from merchlens.functions.expr import computed_once, rating_payload
 from merchlens.sources.files import split_ratings_text
 from merchlens.sources.tables import USER_BUCKETS, with_user_bucket
 
 
 def collector_lines(lines: DataFrame) -> DataFrame:
-    """Lines the log collector forwards."""
-    return lines.where(F.col("value").rlike(RATING_LINE_PATTERN))
+    """Lines the log collector forwards; most lines fail the cheap test before the pattern."""
+    word = RATING_MARKER.rstrip(":")
+    return lines.where(F.col("value").contains(word) & F.col("value").rlike(RATING_LINE_PATTERN))
 
 
 def rating_payloads(lines: DataFrame) -> DataFrame:
     """Payload text of the lines with the marker."""
-    return lines.where(F.col("value").contains(RATING_MARKER)).select(
-        rating_payload(F.col("value")).alias("value")
+    marked = lines.where(F.col("value").contains(RATING_MARKER))
+    return computed_once(marked, _payload=rating_payload(F.col("value"))).select(
+        F.col("_payload").alias("value")
     )
 
 
 def parse_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed ratings, and the payloads that are not ``user|product|score|epoch``."""
-    parts = F.split("value", r"\|")
     fields = ("user_id", "product_id", "score", "ts")
-    raw = payloads.select(
-        "value", *[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(fields)]
+    raw = computed_once(payloads, _parts=F.split("value", r"\|")).select(
+        "value", *[F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(fields)]
     )
     good, bad = split_ratings_text(raw)
     return good, bad.select("value")
