@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.functions.ranking import unpack_recs
+from merchlens.functions.expr import event_line, halve_score
+from merchlens.functions.ranking import left_join_spread, unpack_recs
 from merchlens.operators import statistics
 from merchlens.operators.ratings import upsert_ratings
-from merchlens.functions.expr import event_line, halve_score
 
 
 def served_products(products: DataFrame, averages: DataFrame) -> DataFrame:
@@ -44,10 +44,12 @@ def serve_recs(
     """
     wanted = F.slice("recs", 1, num) if num else F.col("recs")
     lists = recs.select(key, wanted.alias("recs"))
-    answered = requests.join(lists, key, "inner" if drop_missing else "left")
-    rows = unpack_recs(answered, outer=not drop_missing)
-    products = served.withColumnRenamed("score", "avg_score")
-    found = rows.join(products.withColumn("_found", F.lit(True)), "product_id", "left")
+    if drop_missing:
+        rows = unpack_recs(requests.join(lists, key))
+    else:
+        rows = unpack_recs(left_join_spread(requests, lists, key), outer=True)
+    products = served.withColumnRenamed("score", "avg_score").withColumn("_found", F.lit(True))
+    found = left_join_spread(rows, products, "product_id")
     return found.where(F.col("product_id").isNull() | F.col("_found")).drop("_found")
 
 

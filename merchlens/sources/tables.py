@@ -1,12 +1,18 @@
 """Stored tables: typed scans, overwrites, and layouts that keep key lookups local."""
 
+import time
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens import schemas
 from merchlens.operators.ratings import upsert_ratings
 
+# Folders of the ratings table, and of the table a stream appends small files to.
 USER_BUCKETS = 256
+STREAM_BUCKETS = 16
 
 
 def read_table(spark: SparkSession, path: str, columns: str | None = None) -> DataFrame:
@@ -24,10 +30,15 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 
 def overwrite(df: DataFrame, path: str, *partition_by: str) -> None:
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Replace a table; with partition columns, few and even files per folder.
+
+    The rebalance gathers each folder's rows and splits a folder that is far too big.
+    """
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    even = df.hint("rebalance", *partition_by)
+    even.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None):
@@ -58,6 +69,27 @@ def ratings_of(stored: DataFrame, users: DataFrame, buckets: int = USER_BUCKETS)
     return stored.where(F.col("user_bucket").isin(touched)).join(keys, "user_id", "left_semi")
 
 
+class CachedTable:
+    """A table kept on the executors by key and read again when it is too old.
+
+    For joins of many small batches with one large table.
+    """
+
+    def __init__(self, load: Callable[[], DataFrame], key: str, max_age_seconds: float = 3600):
+        self._load, self._key, self._max_age = load, key, max_age_seconds
+        self._table, self._loaded_at = None, 0.0
+
+    def __call__(self) -> DataFrame:
+        if self._table is None or time.monotonic() - self._loaded_at > self._max_age:
+            old = self._table
+            fresh = self._load().repartition(self._key)
+            self._table = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+            self._loaded_at = time.monotonic()
+            if old is not None:
+                old.unpersist()
+        return self._table
+
+
 def merge_ratings(
     spark: SparkSession, path: str, updates: DataFrame, buckets: int = USER_BUCKETS, **options
 ) -> None:
@@ -70,6 +102,7 @@ def merge_ratings(
     merged = upsert_ratings(schemas.as_ratings(stored), schemas.as_ratings(updates), **options)
     (
         with_user_bucket(merged, buckets)
+        .hint("rebalance", "user_bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("user_bucket")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from merchlens.constants import RATING_LINE_PATTERN, RATING_MARKER, TRIGGER_INTERVAL
 from merchlens.functions.expr import computed_once, rating_payload
 from merchlens.sources.files import split_ratings_text
-from merchlens.sources.tables import USER_BUCKETS, with_user_bucket
+from merchlens.sources.tables import STREAM_BUCKETS, with_user_bucket
 
 
 def collector_lines(lines: DataFrame) -> DataFrame:
@@ -40,8 +40,11 @@ def _trigger(writer, available_now):
 
 
 def write_ratings_log(
-    lines: DataFrame, path: str, checkpoint: str, available_now: bool = False,
-    buckets: int = USER_BUCKETS,
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    buckets: int = STREAM_BUCKETS,
 ):
     """Stream the good ratings of a line stream into the ratings table."""
     good, _ = parse_payloads(rating_payloads(lines))

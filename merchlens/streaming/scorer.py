@@ -14,7 +14,7 @@ from merchlens.constants import (
     SIMILAR_CANDIDATES,
 )
 from merchlens.operators.rerank import rerank, rerank_lists
-from merchlens.sources.tables import USER_BUCKETS, ratings_of
+from merchlens.sources.tables import STREAM_BUCKETS, USER_BUCKETS, ratings_of
 from merchlens.streaming.log_events import _trigger
 from merchlens.streaming.recents import recent_lists
 
@@ -48,7 +48,8 @@ def start_scorer(
     recs_path: str,
     checkpoint: str,
     available_now: bool = False,
-    buckets: int = USER_BUCKETS,
+    buckets: int = STREAM_BUCKETS,
+    history_buckets: int = USER_BUCKETS,
     max_files: int | None = None,
     cap: int = RECENT_LIST_CAP,
     history: Callable[[], DataFrame] | None = None,
@@ -73,7 +74,7 @@ def start_scorer(
             stored = spark.read.schema(RATINGS_LOG).parquet(ratings_path)
             rated = ratings_of(stored, batch, buckets).select("user_id", "product_id")
             if history:
-                before = ratings_of(history(), batch, buckets).select("user_id", "product_id")
+                before = ratings_of(history(), batch, history_buckets).select("user_id", "product_id")
                 rated = rated.unionByName(before)
             bounds = levels() if levels else None
             recs = score_batch(batch, rated, sims(), levels=bounds, **scoring)

@@ -126,7 +126,7 @@ def test_product_without_similars_replaces_by_an_empty_list(spark, sims):
 
 def test_history_counts_as_rated(spark, table, sims):
     history = table([(1, p, 3.0, 1) for p in range(29)], schemas.RATING)
-    pipeline = Pipeline(spark, sims, history=lambda: tables.with_user_bucket(history, 4))
+    pipeline = Pipeline(spark, sims, history=lambda: tables.with_user_bucket(history))
     pipeline.log([(1, 3, 5.0, 10)])
     assert {r[2] for r in pipeline.run()} <= {29, None}
 
