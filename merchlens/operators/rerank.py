@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from merchlens.constants import LIKE_THRESHOLD, SCORING_SIMILARITY_FLOOR, SIMILAR_CANDIDATES
 from merchlens.functions.expr import log10_count
 from merchlens.functions.ranking import pack_recs, top_per_key
+from merchlens.operators.similarity import similarity_level
 
 
 def unrated_similars(
@@ -31,9 +32,9 @@ def unrated_similars(
     if levels is None:
         similar = triggers.join(sims, "product_id")
     else:
-        bounded = _with_lowest_level(triggers, rated, levels, k)
-        similar = bounded.join(sims, "product_id").where(
-            F.col("_lowest").isNull() | (F.floor(F.col("sim") * 100) >= F.col("_lowest"))
+        wanted = _wanted_levels(triggers, rated, levels, k)
+        similar = wanted.join(
+            sims.withColumn("_level", similarity_level(F.col("sim"))), ["product_id", "_level"]
         )
     similar = similar.select(
         "trigger_id", "user_id", F.col("sim_product_id").alias("candidate"), "sim"
@@ -45,11 +46,11 @@ def unrated_similars(
     )
 
 
-def _with_lowest_level(triggers, rated, levels, k):
-    """Triggers with the highest level that leaves ``k`` similars whatever was rated.
+def _wanted_levels(triggers, rated, levels, k):
+    """Triggers once per similarity level that may hold one of their ``k`` products.
 
     A user with ``r`` ratings has at most ``r`` rated similars, so the first ``k + r``
-    similars hold the wanted ones. Null where the product has fewer.
+    similars hold the wanted ones. Levels below the one that completes them stay out.
     """
     users = triggers.select("user_id").distinct()
     rated_counts = (
@@ -58,15 +59,15 @@ def _with_lowest_level(triggers, rated, levels, k):
         .agg(F.count(F.lit(1)).alias("_r"))
     )
     needed = F.coalesce("_r", F.lit(0)) + k
-    deep_enough = F.filter("levels", lambda x: x["at_least"] >= needed)
+    wanted = F.filter("levels", lambda x: x["at_least"] - x["n"] < needed)
     return (
         triggers.join(rated_counts, "user_id", "left")
-        .join(levels, "product_id", "left")
+        .join(levels, "product_id")
         .select(
             "trigger_id",
             "user_id",
             "product_id",
-            F.array_max(F.transform(deep_enough, lambda x: x["level"])).alias("_lowest"),
+            F.explode(F.transform(wanted, lambda x: x["level"])).alias("_level"),
         )
     )
 

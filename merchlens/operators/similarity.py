@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.constants import TABLE_SIMILARITY_FLOOR
@@ -208,19 +208,25 @@ def pair_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
+def similarity_level(sim: Column) -> Column:
+    """Thousandth of similarity a value falls into."""
+    return F.floor(sim * 1000).cast("int")
+
+
 def similar_levels(sims: DataFrame) -> DataFrame:
-    """How many similars each product has from every hundredth of similarity upwards.
+    """How many similars each product has in every thousandth of similarity.
 
-    One row per product with at most 201 levels, best first. It tells how far down a
-    product's similars one has to look for a given number of them.
+    One row per product with at most 2001 levels: their own count and the count from
+    there upwards. It tells how far down the similars one has to look for a given
+    number of them.
     """
-    level = F.floor(F.col("sim") * 100).cast("int").alias("level")
+    level = similarity_level(F.col("sim")).alias("level")
     counts = sims.groupBy("product_id", level).agg(F.count(F.lit(1)).alias("n"))
     from_top = Window.partitionBy("product_id").orderBy(F.desc("level"))
     return (
         counts.withColumn("at_least", F.sum("n").over(from_top))
         .groupBy("product_id")
-        .agg(F.collect_list(F.struct("level", "at_least")).alias("levels"))
+        .agg(F.collect_list(F.struct("level", "n", "at_least")).alias("levels"))
     )
 
 

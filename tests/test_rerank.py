@@ -112,12 +112,12 @@ def test_against_loops(table, world, k, bounded):
 
 
 def test_levels_cut_the_candidates(table):
-    sims = [(0, b, b / 1000) for b in range(1, 1000)]
+    sims = [(0, b, (b + 0.5) / 1000) for b in range(1, 1000)]
     sims_df = table(sims, SIMS)
     triggers = table([(1, 1, 0)], TRIGGER)
     rated = table([(1, 999)], RATED)
-    cut = rerank._with_lowest_level(triggers, rated, similar_levels(sims_df), 20).first()
-    assert cut._lowest == 97
+    cut = rerank._wanted_levels(triggers, rated, similar_levels(sims_df), 20)
+    assert sorted(r._level for r in cut.collect()) == list(range(979, 1000))
     got = rerank.unrated_similars(triggers, rated, sims_df, 20, similar_levels(sims_df))
     assert sorted(r.candidate for r in got.collect()) == list(range(979, 999))
 
