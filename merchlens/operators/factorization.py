@@ -1,17 +1,23 @@
 """Explicit-feedback ALS: fit, predictions, recommendation lists, error and tuning."""
 
+import math
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens import constants, schemas
-from merchlens.functions.ranking import pack_recs, top_per_key, unpack_recs
+from merchlens.functions.ranking import pack_recs, top_per_key
 from merchlens.session import shared_dir
 
+USER_BLOCK = 65_536
+ITEM_BLOCK = 65_536
+SLICE_CELLS = 4_000_000
+
 
 def fit_als(
     ratings: DataFrame,
@@ -48,17 +54,8 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 def user_recs(model: ALSModel, k: int = constants.USER_RECS_LENGTH) -> DataFrame:
     """Per user the best ``k`` products with a positive prediction; rated ones included."""
-    return _positive(model.recommendForAllUsers(k))
-
-
-def _positive(recommendations: DataFrame) -> DataFrame:
-    positive = F.filter("recommendations", lambda r: r["rating"] > 0)
-    entry = lambda r: F.struct(
-        r["product_id"].cast("int").alias("product_id"), r["rating"].cast("double").alias("score")
-    )
-    return recommendations.select(
-        "user_id", F.transform(positive, entry).alias("recs")
-    ).where(F.size("recs") > 0)
+    users = user_vectors(model).withColumn("depth", F.lit(k))
+    return recs_from_predictions(best_products(users, item_vectors(model)), k)
 
 
 def unrated_user_recs(
@@ -67,25 +64,96 @@ def unrated_user_recs(
     """Like ``user_recs`` without the products the user has rated.
 
     A user who rated ``r`` products finds ``k`` unrated ones among the best ``k + r``.
-    Users are served in tiers of similar ``r``, so one heavy rater does not lengthen
-    everybody's list.
     """
     rated = ratings.select("user_id", "product_id").distinct()
-    counts = rated.groupBy("user_id").agg(F.count("product_id").alias("r"))
-    most = counts.agg(F.max("r")).first()[0] or 0
-    low, high, tiers = 0, 4 * k, []
-    while low < most:
-        tier = counts.where(f"r > {low} AND r <= {high}").select("user_id")
-        tiers.append(_positive(model.recommendForUserSubset(tier, k + min(high, most))))
-        low, high = high, 4 * high
-    if not tiers:
-        return user_recs(model, k).limit(0)
-    rows = unpack_recs(reduce(DataFrame.unionByName, tiers))
-    return recs_from_predictions(
-        rows.join(rated, ["user_id", "product_id"], "left_anti"), k
+    counts = rated.groupBy("user_id").agg(F.count("product_id").alias("_r"))
+    users = user_vectors(model).join(counts, "user_id", "left").select(
+        "user_id", "features", (F.coalesce("_r", F.lit(0)) + k).cast("int").alias("depth")
+    )
+    best = best_products(users, item_vectors(model))
+    return recs_from_predictions(best.join(rated, ["user_id", "product_id"], "left_anti"), k)
+
+
+def best_products(users: DataFrame, items: DataFrame) -> DataFrame:
+    """Positive predictions ``(user_id, product_id, score)`` that can be a user's best.
+
+    ``users`` has ``user_id, features, depth``. Users and products are cut into blocks,
+    every pair of blocks is one matrix product, and of each product a user keeps the
+    ``depth`` best of the block. Blocks are wide, so few rows per user leave the pairs.
+    """
+    spark = users.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    item_blocks = max(1, math.ceil(items.count() / ITEM_BLOCK))
+    n_users = users.count()
+    user_blocks = max(1, math.ceil(n_users / USER_BLOCK), min(2 * cores, n_users // 512))
+    partitions = min(item_blocks * user_blocks, 8 * cores)
+
+    def block(key, n):
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = users.select(
+        block("user_id", user_blocks).alias("user_block"),
+        every(item_blocks).alias("item_block"),
+        "user_id",
+        "features",
+        "depth",
+    ).repartition(partitions, "user_block", "item_block")
+    right = items.select(
+        every(user_blocks).alias("user_block"),
+        block("product_id", item_blocks).alias("item_block"),
+        "product_id",
+        "features",
+    ).repartition(partitions, "user_block", "item_block")
+    keys = ("user_block", "item_block")
+    return (
+        left.groupBy(*keys)
+        .cogroup(right.groupBy(*keys))
+        .applyInArrow(_best_of_blocks, "user_id int, product_id int, score double")
+    )
+
+
+def _best_of_blocks(users: pa.Table, items: pa.Table) -> pa.Table:
+    user_ids, product_ids, scores = [], [], []
+    if users.num_rows and items.num_rows:
+        ids = users["user_id"].to_numpy()
+        products = items["product_id"].to_numpy()
+        vectors, item_rows = _matrix(users), _matrix(items).T
+        # Position of a user's last kept score once the scores are in rising order.
+        last = np.maximum(len(products) - users["depth"].to_numpy(), 0)
+        step = max(1, SLICE_CELLS // len(products))
+        for start in range(0, len(ids), step):
+            part = slice(start, start + step)
+            sims = vectors[part] @ item_rows
+            positions = last[part]
+            rising = np.partition(sims, np.unique(positions), axis=1)
+            threshold = np.maximum(
+                rising[np.arange(len(positions)), positions], np.finfo(sims.dtype).tiny
+            )
+            a, b = np.nonzero(sims >= threshold[:, None])
+            user_ids.append(ids[part][a])
+            product_ids.append(products[b])
+            scores.append(sims[a, b])
+
+    def column(parts, kind):
+        return pa.array(np.concatenate(parts) if parts else [], kind)
+
+    return pa.table(
+        {
+            "user_id": column(user_ids, pa.int32()),
+            "product_id": column(product_ids, pa.int32()),
+            "score": column(scores, pa.float32()).cast(pa.float64()),
+        }
     )
 
 
+def _matrix(table: pa.Table) -> np.ndarray:
+    flat = table["features"].combine_chunks().flatten().to_numpy()
+    return flat.reshape(table.num_rows, -1)
+
+
 def recs_from_predictions(predictions: DataFrame, k: int = constants.USER_RECS_LENGTH) -> DataFrame:
     """Recommendation lists from prediction rows ``(user_id, product_id, score)``."""
     positive = predictions.where((F.col("score") > 0) & ~F.isnan("score"))
@@ -94,6 +162,10 @@ def recs_from_predictions(predictions: DataFrame, k: int = constants.USER_RECS_L
     )
 
 
+def user_vectors(model: ALSModel) -> DataFrame:
+    return model.userFactors.select(F.col("id").alias("user_id"), "features")
+
+
 def item_vectors(model: ALSModel) -> DataFrame:
     return model.itemFactors.select(F.col("id").alias("product_id"), "features")
 

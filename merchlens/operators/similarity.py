@@ -136,9 +136,12 @@ def _compare_blocks(left, right, same, min_sim, top_n):
 
 def _rows_above(sims, ids, other_ids, min_sim, top_n):
     keep = sims > min_sim
-    if top_n is not None and sims.shape[1] > top_n:
-        # Everything level with the n-th best stays; the final ranking settles ties.
-        keep &= sims >= np.partition(sims, -top_n, axis=1)[:, -top_n, None]
+    if top_n is not None:
+        crowded = np.flatnonzero(keep.sum(axis=1) > top_n)
+        if crowded.size:
+            # Everything level with the n-th best stays; the final ranking settles ties.
+            nth_best = np.partition(sims[crowded], -top_n, axis=1)[:, -top_n, None]
+            keep[crowded] &= sims[crowded] >= nth_best
     a, b = np.nonzero(keep)
     return pa.RecordBatch.from_arrays(
         [
