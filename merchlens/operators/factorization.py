@@ -30,7 +30,7 @@ def fit_als(
     """Fit on ``(user_id, product_id, score)``; blocks default to the cluster's cores."""
     spark = ratings.sparkSession
     shared_dir(spark)  # the fit cuts its lineage there
-    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
+    blocks = blocks or max(2, spark.sparkContext.defaultParallelism)
     als = ALS(
         rank=rank,
         maxIter=iterations,

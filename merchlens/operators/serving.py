@@ -73,14 +73,17 @@ def search_products(served: DataFrame, patterns: dict[str, str]) -> DataFrame:
 def record_ratings(
     requests: DataFrame, users: DataFrame, stored: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Rating requests by user name on a 10-point scale.
+    """Rating requests by user name on a 10-point scale; a null ``ts`` means now.
 
     Returns the accepted ratings, the ratings table with them applied, the event lines
     to log, and the requests of unknown users.
     """
     named = requests.join(users.select("username", "user_id"), "username", "left")
     accepted = named.where(F.col("user_id").isNotNull()).select(
-        "user_id", "product_id", halve_score(F.col("score")).alias("score"), "ts"
+        "user_id",
+        "product_id",
+        halve_score(F.col("score")).alias("score"),
+        F.coalesce("ts", F.unix_timestamp()).alias("ts"),
     )
     lines = accepted.select(
         event_line(F.col("user_id"), F.col("product_id"), F.col("score"), F.col("ts")).alias("value")

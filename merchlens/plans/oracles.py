@@ -236,6 +236,7 @@ ORACLES = {
     "score_scaling": """SELECT c_custkey,
       (CASE WHEN c >= 0 THEN (c + 1) // 2 ELSE -((-c + 1) // 2) END) / 100.0 AS half
       FROM (SELECT c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) AS c FROM customer)""",
+    "query_recoding": "SELECT doc_id, text FROM documents WHERE text IS NOT NULL",
     "user_id_hash": with_(USERS, select="SELECT username, user_id FROM users"),
     "user_dim_load": with_(
         USERS,
@@ -419,6 +420,13 @@ ORACLES = {
         *_rerank("heard"),
         select=_LISTS,
     ),
+    "stream_collected": with_(
+        EVENTS,
+        _log(),
+        select="""SELECT 'INFO app - PRODUCT_RATING_PREFIX:' || value
+          || CASE WHEN kind = 'signup' THEN '' ELSE ' ' END AS value
+          FROM lines WHERE value IS NOT NULL""",
+    ),
     "stream_payloads": with_(
         EVENTS, _log(), select="SELECT value FROM lines WHERE value IS NOT NULL"
     ),

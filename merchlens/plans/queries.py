@@ -165,6 +165,13 @@ def capped_recent_lists(spark, sf):
     return unpack_recs(lists, "recents").drop("recents")
 
 
+def query_recoding(spark, sf):
+    """Document texts taken for latin-1 by mistake and set right again."""
+    documents = inputs.table(spark, sf, "documents").where("text IS NOT NULL")
+    garbled = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return documents.select("doc_id", expr.recode_query(garbled).alias("text"))
+
+
 def score_scaling(spark, sf):
     return inputs.table(spark, sf, "customer").select(
         "c_custkey", expr.halve_score(F.col("c_acctbal")).alias("half")
@@ -539,6 +546,17 @@ def stream_recs(spark, sf):
     return _rounded(unpack_recs(scorer.current_recs(spark, f"{root}/recs"), outer=True), "score")
 
 
+def stream_collected(spark, sf):
+    """The raw lines the collector stream passes on."""
+    root = scratch_path(spark, "collected")
+    files.write_lines(inputs.log_lines(spark, sf), f"{root}/log")
+    lines = files.stream_lines(spark, f"{root}/log")
+    log_events.write_collected(
+        lines, f"{root}/out", f"{root}/ck", available_now=True
+    ).awaitTermination()
+    return spark.read.text(f"{root}/out")
+
+
 def stream_payloads(spark, sf):
     """The marker lines' payloads as the payload stream writes them."""
     root = scratch_path(spark, "payloads")
@@ -586,6 +604,7 @@ QUERIES = {
         recent_ratings_distinct,
         capped_recent_lists,
         score_scaling,
+        query_recoding,
         user_id_hash,
         user_dim_load,
         user_names_taken,
@@ -621,6 +640,7 @@ QUERIES = {
         holdout_split,
         rmse_item_mean,
         stream_recs,
+        stream_collected,
         stream_payloads,
         stream_quarantine,
     )

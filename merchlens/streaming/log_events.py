@@ -65,6 +65,11 @@ def write_quarantine(lines: DataFrame, path: str, checkpoint: str, available_now
     return _write_text(bad, path, checkpoint, available_now)
 
 
+def write_collected(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False):
+    """Stream the lines the collector forwards, unchanged, into a text folder."""
+    return _write_text(collector_lines(lines), path, checkpoint, available_now)
+
+
 def write_payloads(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False):
     """Stream the cleaned payload lines into a text folder (the file form of a topic)."""
     return _write_text(rating_payloads(collector_lines(lines)), path, checkpoint, available_now)
