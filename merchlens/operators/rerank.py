@@ -29,6 +29,8 @@ def unrated_similars(
     only similars that can still be among its ``k``, which keeps the join small for
     products with very many similars.
     """
+    # Repeated ratings collapse in the map tasks; the anti join cannot split a hot pair.
+    rated = rated.select("user_id", "product_id").distinct()
     if levels is None:
         similar = triggers.join(sims, "product_id")
     else:
@@ -49,7 +51,7 @@ def unrated_similars(
 def _wanted_levels(triggers, rated, levels, k):
     """Triggers once per similarity level that may hold one of their ``k`` products.
 
-    A user with ``r`` ratings has at most ``r`` rated similars, so the first ``k + r``
+    A user with ``r`` rated products has at most ``r`` rated similars, so the first ``k + r``
     similars hold the wanted ones. Levels below the one that completes them stay out.
     """
     users = triggers.select("user_id").distinct()

@@ -59,7 +59,7 @@ def product_info(requests: DataFrame, served: DataFrame) -> DataFrame:
 
 
 def products_in(served: DataFrame, ids: DataFrame) -> DataFrame:
-    return served.join(ids.select("product_id"), "product_id", "left_semi")
+    return served.join(ids.select("product_id").distinct(), "product_id", "left_semi")
 
 
 def search_products(served: DataFrame, patterns: dict[str, str]) -> DataFrame:
