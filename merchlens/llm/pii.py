@@ -238,11 +238,12 @@ def digest(found: DataFrame) -> DataFrame:
     """Counts and text forms of the spans of :func:`personal_data`."""
     spans = F.col("personal_data")
     base = F.filter(spans, lambda s: s["rank"] < 4)
-    counts = [
-        F.size(F.filter(spans, lambda s, n=k.name: s["kind"] == n)).cast("long").alias(f"n_{k.name}")
-        for k in KINDS
-        if k.base
-    ]
+
+    def count(kind: Kind) -> Column:
+        own = F.filter(spans, lambda s: s["kind"] == kind.name)
+        return F.size(own).cast("long").alias(f"n_{kind.name}")
+
+    counts = [count(kind) for kind in KINDS if kind.base]
     return found.select(
         "doc_id",
         *counts,
