@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm import pii, sharding
+from merchlens.llm import decontaminate, packing, pii, sharding
 from merchlens.llm.tables import corpus, text_or_empty
 
 N_SHARDS = 40
@@ -25,6 +25,43 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontaminate.build_index(corpus(spark, sf_dir, "documents"))
+    found = decontaminate.judged(
+        decontaminate.phrase_matches(index, corpus(spark, sf_dir, "benchmark"))
+    )
+    items = F.sort_array(F.array_distinct(F.transform("item_ids", lambda i: i.cast("string"))))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op8_packing(
+    spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None
+) -> DataFrame:
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.encode_pieces(corpus(spark, sf_dir, "documents"), tokenizer_path)
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    packed = packing.packed(pieces)
+    return packed.select(
+        "doc_id",
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        "sequence_id",
+        F.col("offset").cast("long").alias("offset"),
+    )
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.digest(pii.personal_data(docs))
@@ -32,6 +69,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_sharding": op3_sharding,
+    "op7_decontamination": op7_decontamination,
+    "op8_packing": op8_packing,
     "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 LONG_WORD = 128
 #: Bytes of text that are worked on at once; one longer text is still taken whole.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def byte_table(*, outside: bytes) -> np.ndarray:
@@ -68,6 +68,26 @@ def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> list[tuple[int, int]
     return out
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per non-empty span: a sum of random numbers by place and byte."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    _, random = _tables()
+    lengths = ends - starts
+    short = np.minimum(lengths, LONG_WORD)
+    first = np.cumsum(short) - short
+    place = np.arange(int(short.sum())) - np.repeat(first, short)
+    at = np.repeat(starts, short) + place
+    sums = np.cumsum(random[(place << 8) + data[at]])
+    out = sums[first + short - 1].copy()
+    out[1:] -= sums[first[1:] - 1]
+    out = mix(out + lengths.astype(np.uint64))
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        whole = data[starts[i] : ends[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest(), "little")
+    return out
+
+
 class Words:
     """Words of the texts ``data[offsets[i]:offsets[i + 1]]``, in order.
 
@@ -102,23 +122,7 @@ class Words:
         self.counts = np.diff(self.bounds)
 
     def hashes(self) -> np.ndarray:
-        """One 64-bit hash per word: a sum of random numbers by place and byte."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        _, random = _tables()
-        lengths = self.ends - self.starts
-        short = np.minimum(lengths, LONG_WORD)
-        first = np.cumsum(short) - short
-        place = np.arange(int(short.sum())) - np.repeat(first, short)
-        at = np.repeat(self.starts, short) + place
-        sums = np.cumsum(random[(place << 8) + self.data[at]])
-        out = sums[first + short - 1].copy()
-        out[1:] -= sums[first[1:] - 1]
-        out = mix(out + lengths.astype(np.uint64))
-        for i in np.flatnonzero(lengths > LONG_WORD):
-            whole = self.data[self.starts[i] : self.ends[i]].tobytes()
-            out[i] = int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest(), "little")
-        return out
+        return span_hashes(self.data, self.starts, self.ends)
 
     def text_of(self) -> np.ndarray:
         """The text number of each word."""
