@@ -420,7 +420,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = 200) -> Da
     spark = pieces.sparkSession
     sent = spark.sparkContext.broadcast(table)
     rows = ranked(keyed, sum(histogram.values())).drop("piece_key")
-    schema = rows.drop("rank").schema.add("sequence_id", "bigint").add("offset", "int")
+    schema = rows.drop("rank").schema.add("sequence_id", "long").add("offset", "integer")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
