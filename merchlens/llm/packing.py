@@ -28,7 +28,7 @@ END_ID = 2
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids binary"
 #: Words whose ids a Python worker keeps from task to task.
 KEPT_WORDS = 600_000
-SPACE, LETTER, NUMBER, OTHER = range(4)
+SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 
 
 # ---------------------------------------------------------------- token ids
@@ -41,8 +41,13 @@ def _kept() -> dict:
 
 
 def char_class(code: int) -> int:
-    """White space, letter, number or other, as byte-level BPE splits text."""
+    """White space, letter, number or other, as byte-level BPE splits text.
+
+    What this Python's tables do not know yet, the tokenizer's may.
+    """
     kind = unicodedata.category(chr(code))
+    if kind == "Cn":
+        return UNKNOWN
     if kind[0] == "L":
         return LETTER
     if kind[0] == "N":
@@ -151,7 +156,8 @@ class Encoder:
         texts = np.searchsorted(at, offsets)
         whole = data.tobytes()
         codes = np.frombuffer(whole.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        marks = split_points(codes, self._kinds(codes), texts)
+        kinds = self._kinds(codes)
+        marks = split_points(codes, kinds, texts)
         starts = at[marks]
         ends = np.append(starts[1:], len(data))
         hashes = span_hashes(data, starts, ends)
@@ -170,18 +176,25 @@ class Encoder:
         ids = kept["ids"][np.repeat(kept["at"][number], size) + place]
         word = np.searchsorted(marks, texts)
         counts = np.diff(np.append(first, len(ids))[word])
-        return self._special(whole, offsets, ids, counts)
-
-    def _special(self, whole, offsets, ids, counts) -> tuple[np.ndarray, np.ndarray]:
-        """Texts that spell out a special token are encoded by the tokenizer directly."""
-        if not any(s.encode() in whole for s in self.kept["specials"]):
+        unknown = np.flatnonzero(kinds == UNKNOWN)
+        odd = set(np.searchsorted(texts, unknown, "right") - 1) if len(unknown) else set()
+        return self._directly(whole, offsets, ids, counts, odd)
+
+    def _directly(self, whole, offsets, ids, counts, odd: set[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts with unknown characters, or that spell out a special token, go whole
+        through the tokenizer."""
+        specials = [s.encode() for s in self.kept["specials"]]
+        if any(s in whole for s in specials):
+            for i in range(len(counts)):
+                if any(s in whole[offsets[i] : offsets[i + 1]] for s in specials):
+                    odd.add(i)
+        if not odd:
             return ids, counts
         parts = np.split(ids, np.cumsum(counts)[:-1])
-        for i in range(len(counts)):
-            text = whole[offsets[i] : offsets[i + 1]]
-            if any(s.encode() in text for s in self.kept["specials"]):
-                own = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
-                parts[i] = np.array(own.ids, np.uint32)
+        for i in sorted(odd):
+            text = whole[offsets[i] : offsets[i + 1]].decode("utf-8", "replace")
+            own = self.tokenizer.encode(text, add_special_tokens=False)
+            parts[i] = np.array(own.ids, np.uint32)
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
 
