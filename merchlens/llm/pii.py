@@ -135,9 +135,11 @@ def _candidates(text: Column, kind: Kind) -> Column:
     return found
 
 
-def _spans(text: Column, matches: Column, kind: Kind, rank: int, window: int) -> Column:
+def _spans(
+    text: Column, matches: Column, gaps: Column, kind: Kind, rank: int, window: int
+) -> Column:
     """Confirmed matches of a kind as structs that sort by start, then by kind."""
-    places = _places(F.split(text, kind.pattern, -1), matches)
+    places = _places(gaps, matches)
 
     def span(m: Column, p: Column) -> Column:
         first = F.greatest(p["start"] - window, F.lit(0))
@@ -185,10 +187,18 @@ def personal_data(docs: DataFrame, least_score: float = 0.5, window: int = 40) -
     work = work.select(
         "*", *[_candidates(F.col("__text"), k).alias(f"__{k.name}") for k in KINDS]
     )
+    # What lies between the matches; a column of its own, so that it is made once.
+    work = work.select(
+        "*",
+        *[
+            F.when(F.size(f"__{k.name}") > 0, F.split("__text", k.pattern, -1)).alias(f"__{k.name}_gaps")
+            for k in KINDS
+        ],
+    )
     parts = []
     for rank, kind in enumerate(KINDS):
-        matches = F.col(f"__{kind.name}")
-        spans = _spans(F.col("__text"), matches, kind, rank, window)
+        matches, gaps = F.col(f"__{kind.name}"), F.col(f"__{kind.name}_gaps")
+        spans = _spans(F.col("__text"), matches, gaps, kind, rank, window)
         if not kind.base:
             spans = F.filter(spans, lambda s: s["score"] >= least_score)
         parts.append(F.when(F.size(matches) > 0, spans).otherwise(none))

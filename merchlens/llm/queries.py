@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm import decontaminate, packing, pii, sharding
+from merchlens.llm import decontaminate, line_dedup, ngram_join, packing, pii, quality_rules, sharding
 from merchlens.llm.tables import corpus, text_or_empty
 
 N_SHARDS = 40
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.judged(docs, corpus(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_rules.STATISTICS, "rule", "kept")
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    like = ngram_join.Likeness(width=4, num=85, den=100)
+    return ngram_join.similar_groups(corpus(spark, sf_dir, "documents"), like)
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(corpus(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shards(corpus(spark, sf_dir, "documents"), N_SHARDS)
     text = text_or_empty()
@@ -68,9 +83,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_sharding": op3_sharding,
+    "op4_ngram_join": op4_ngram_join,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}
