@@ -110,9 +110,8 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
     found = found.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
     n_words, chars = F.col("n_words"), F.col("word_chars")
-    return found.select(
-        *keep,
-        *STATISTICS[:-1],
+    values = [
+        *[F.col(c) for c in STATISTICS[:-1]],
         ((n_words < 10) | (100 * F.col("n_repeat_words") > 20 * n_words)).alias("base_failed"),
         n_words.cast("double").alias("f_words"),
         _share(chars, n_words).alias("f_word_length"),
@@ -124,7 +123,9 @@ def statistics(docs: DataFrame) -> DataFrame:
         _share(F.col("__capitals"), chars).alias("f_capitals"),
         _share(n_words, F.col("__n_lines")).alias("f_line_words"),
         F.col("__longest").cast("double").alias("f_longest"),
-    )
+    ]
+    # Out of a generator, so that no later filter is evaluated below, text work and all.
+    return found.select(*keep, F.inline(F.array(F.struct(*values))))
 
 
 @dataclass(frozen=True)
@@ -173,10 +174,11 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, limits: Limits) -> D
 
 
 def _binned(rows: DataFrame, limits: Limits) -> tuple[DataFrame, dict[str, list[float]]]:
-    """Each feature's quantiles, and the number of them below each value."""
+    """Quantiles of each feature, of good and of bad rows, and how many are below a value."""
     cuts = [k / limits.thresholds for k in range(1, limits.thresholds)]
-    found = rows.agg(*[F.percentile_approx(f, cuts, 10_000).alias(f) for f in FEATURES]).first()
-    edges = {f: sorted(set(found[f] or ())) for f in FEATURES}
+    found = rows.groupBy("bad").agg(*[F.percentile_approx(f, cuts, 10_000).alias(f) for f in FEATURES])
+    found = found.collect()
+    edges = {f: sorted({e for r in found for e in r[f]}) for f in FEATURES}
     def number(feature: str) -> Column:
         below = F.filter(F.array(*[F.lit(e) for e in edges[feature]]), lambda e: e < F.col(feature))
         return F.size(below) if edges[feature] else F.lit(0)
