@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm import decontaminate, line_dedup, ngram_join, packing, pii, quality_rules, sharding
+import corpus_pipeline
+from merchlens.llm import (
+    chat_quotes,
+    decontaminate,
+    html_extract,
+    line_dedup,
+    ngram_join,
+    packing,
+    pii,
+    quality_rules,
+    sharding,
+    warc_revisit,
+)
+from merchlens.llm.oracles import ORACLES as SQL
 from merchlens.llm.tables import corpus, text_or_empty
 
 N_SHARDS = 40
@@ -17,6 +30,24 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATISTICS, "rule", "kept")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.main_texts(corpus(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op5_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.linked_messages(corpus(spark, sf_dir, "conversations"))
+
+
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_revisit.records_from_pages(corpus(spark, sf_dir, "pages"))
+    headers = F.array_sort(F.map_entries("headers"))
+    pairs = F.transform(headers, lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return warc_revisit.resolve_revisits(records).withColumn(
+        "headers", F.when(F.col("headers").isNotNull(), F.array_join(pairs, ";"))
+    )
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     like = ngram_join.Likeness(width=4, num=85, den=100)
     return ngram_join.similar_groups(corpus(spark, sf_dir, "documents"), like)
@@ -84,11 +115,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_html_extraction": op2_html_extraction,
     "op3_sharding": op3_sharding,
     "op4_ngram_join": op4_ngram_join,
+    "op5_chat_quotes": op5_chat_quotes,
+    "op6_warc_revisits": op6_warc_revisits,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_pii": op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(SQL)
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
