@@ -37,7 +37,7 @@ HOT = 64
 #: Classes and shingles of a block at most (one larger class is a block of its own).
 BLOCK_CLASSES = 2048
 BLOCK_SHINGLES = 4 << 20
-GATHERED = 4 << 20
+GATHERED = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -238,7 +238,7 @@ def bounded(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
             F.col("row").alias(name), F.col("bits").alias(f"{name}_bits"), F.col("n").alias(f"{name}_n")
         )
 
-    whole = pairs.join(side("a"), "a").join(side("b"), "b")
+    whole = small(pairs, pairs.count()).join(side("a"), "a").join(side("b"), "b")
     return whole.select("a", "b", "a_bits", "b_bits", "a_n", "b_n").mapInArrow(bound, "a long, b long")
 
 
@@ -428,10 +428,12 @@ def similar_groups(
     some = every.where("print IS NOT NULL")
     firsts = some.groupBy("print").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     firsts = stored(firsts, "classes")
-    classes = every.join(firsts.select("row"), "row", "left_semi")
+    n_classes = firsts.count()
+    classes = stored(every.join(small(firsts.select("row"), n_classes), "row", "left_semi"), "class-profiles")
     live = live_postings(classes, like)
     cold, hot = live.where(F.col("df") <= hot_from), live.where(F.col("df") > hot_from)
-    pairs = stored(bounded(candidates(cold, like), classes, like), "candidates")
+    pairs = stored(candidates(cold, like), "candidates")
+    pairs = stored(bounded(pairs, classes, like), "bounded")
     rows = pairs.select(F.explode(F.array("a", "b")).alias("row")).union(hot.select("row")).distinct()
     sets = whole_sets(docs, classes, rows, like)
     links = verified(pairs, sets, like).union(hot_links(hot, sets, like, block))
