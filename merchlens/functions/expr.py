@@ -13,9 +13,11 @@ def year_month(ts: Column, scale: int = 1000) -> Column:
     """``yyyyMM`` as an integer, in UTC whatever the session time zone.
 
     ``ts * scale`` is read as epoch milliseconds: 1000 for epoch seconds, 100 for
-    tables written by the older statistics job.
+    tables written by the older statistics job. Null where that is no date of the years
+    1 to 9999.
     """
-    day = F.date_from_unix_date(F.floor(ts.cast("bigint") * scale / 86_400_000).cast("int"))
+    days = F.floor(ts.cast("bigint").cast("double") * scale / 86_400_000)
+    day = F.date_from_unix_date(F.when(days.between(-719_162, 2_932_896), days).cast("int"))
     return F.year(day) * 100 + F.month(day)
 
 
@@ -83,8 +85,15 @@ def event_line(user_id: Column, product_id: Column, score: Column, ts: Column) -
 
 
 def recode_query(text: Column) -> Column:
-    """Undo a latin-1 decoding of UTF-8 query text."""
-    return F.decode(F.encode(text, "ISO-8859-1"), "UTF-8")
+    """Undo a latin-1 decoding of UTF-8 query text.
+
+    Text with characters outside latin-1, or whose bytes are no UTF-8, is right already
+    and stays as it is.
+    """
+    latin = text.rlike(r"\A[\x{0}-\x{FF}]*\z")
+    raw = F.when(latin, F.encode(F.when(latin, text), "ISO-8859-1"))
+    decoded = F.try_validate_utf8(raw.cast("string"))
+    return F.coalesce(decoded, text)
 
 
 def computed_once(df: DataFrame, **columns: Column) -> DataFrame:

@@ -21,10 +21,10 @@ def left_join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join on an integer key whose nulls may be many.
 
     Null keys match nothing but would all meet in one partition; here each row with a
-    null key gets a substitute outside the integer range, taken from its other columns.
+    null key gets a substitute outside the integer range, taken from its place.
     """
-    others = [c for c in left.columns if c != key]
-    substitute = F.lit(1 << 32) + F.pmod(F.xxhash64(F.lit(0), *others), F.lit(1 << 20))
+    place = F.monotonically_increasing_id()
+    substitute = F.lit(1 << 32) + F.pmod(F.xxhash64(place), F.lit(1 << 20))
     keyed = left.withColumn("_key", F.coalesce(F.col(key).cast("bigint"), substitute))
     renamed = right.withColumn("_key", F.col(key).cast("bigint")).drop(key)
     return keyed.join(renamed, "_key", "left").drop("_key")

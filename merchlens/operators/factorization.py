@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens import constants, schemas
+from merchlens.functions.expr import dot
 from merchlens.functions.ranking import pack_recs, top_per_key
 from merchlens.session import shared_dir
 
 USER_BLOCK = 65_536
 ITEM_BLOCK = 65_536
 SLICE_CELLS = 4_000_000
+#: Ratings that a block of the fit should hold.
+FIT_BLOCK = 4_000_000
 
 
 def fit_als(
@@ -27,10 +30,16 @@ def fit_als(
     seed: int = 0,
     blocks: int | None = None,
 ) -> ALSModel:
-    """Fit on ``(user_id, product_id, score)``; blocks default to the cluster's cores."""
+    """Fit on ``(user_id, product_id, score)``.
+
+    Blocks follow the number of ratings and are at least the cluster's cores. The fit
+    keeps all ratings of one product (or user) in one block; where one has more than a
+    task can hold, fit on ratings of which that product's are thinned out.
+    """
     spark = ratings.sparkSession
     shared_dir(spark)  # the fit cuts its lineage there
-    blocks = blocks or max(2, spark.sparkContext.defaultParallelism)
+    if blocks is None:
+        blocks = max(2, spark.sparkContext.defaultParallelism, -(-ratings.count() // FIT_BLOCK))
     als = ALS(
         rank=rank,
         maxIter=iterations,
@@ -63,23 +72,38 @@ def unrated_user_recs(
 ) -> DataFrame:
     """Like ``user_recs`` without the products the user has rated.
 
-    A user who rated ``r`` products finds ``k`` unrated ones among the best ``k + r``.
+    A user who rated ``r`` products of a block finds its ``k`` best unrated ones among
+    the best ``k + r`` of the block, so what leaves the blocks is at most ``k`` rows per
+    user and block, and the ratings.
     """
+    return unrated_recs(user_vectors(model), item_vectors(model), ratings, k)
+
+
+def unrated_recs(
+    users: DataFrame, items: DataFrame, ratings: DataFrame, k: int = constants.USER_RECS_LENGTH
+) -> DataFrame:
+    """Lists of unrated products from ``user_id, features`` and ``product_id, features``."""
     rated = ratings.select("user_id", "product_id").distinct()
-    counts = rated.groupBy("user_id").agg(F.count("product_id").alias("_r"))
-    users = user_vectors(model).join(counts, "user_id", "left").select(
-        "user_id", "features", (F.coalesce("_r", F.lit(0)) + k).cast("int").alias("depth")
-    )
-    best = best_products(users, item_vectors(model))
+    best = best_products(users.withColumn("depth", F.lit(k)), items, rated)
     return recs_from_predictions(best.join(rated, ["user_id", "product_id"], "left_anti"), k)
 
 
-def best_products(users: DataFrame, items: DataFrame) -> DataFrame:
+def predicted_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """``user_id, product_id, prediction``: the dot products of the pairs' vectors."""
+    left = users.select("user_id", F.col("features").alias("_u"))
+    right = items.select("product_id", F.col("features").alias("_p"))
+    both = pairs.join(left, "user_id").join(right, "product_id")
+    return both.select("user_id", "product_id", dot(F.col("_u"), F.col("_p")).alias("prediction"))
+
+
+def best_products(users: DataFrame, items: DataFrame, rated: DataFrame | None = None) -> DataFrame:
     """Positive predictions ``(user_id, product_id, score)`` that can be a user's best.
 
     ``users`` has ``user_id, features, depth``. Users and products are cut into blocks,
     every pair of blocks is one matrix product, and of each product a user keeps the
     ``depth`` best of the block. Blocks are wide, so few rows per user leave the pairs.
+    With ``rated`` (distinct ``user_id, product_id``) a user's depth grows in each block
+    by the rated products of that block.
     """
     spark = users.sparkSession
     cores = spark.sparkContext.defaultParallelism
@@ -100,7 +124,17 @@ def best_products(users: DataFrame, items: DataFrame) -> DataFrame:
         "user_id",
         "features",
         "depth",
-    ).repartition(partitions, "user_block", "item_block")
+    )
+    if rated is not None:
+        counts = rated.groupBy("user_id", block("product_id", item_blocks).alias("item_block")).agg(
+            F.count("*").alias("_r")
+        )
+        left = left.join(counts, ["user_id", "item_block"], "left")
+        depth = F.col("depth") + F.coalesce("_r", F.lit(0))
+        left = left.select(
+            "user_block", "item_block", "user_id", "features", depth.cast("int").alias("depth")
+        )
+    left = left.repartition(partitions, "user_block", "item_block")
     right = items.select(
         every(user_blocks).alias("user_block"),
         block("product_id", item_blocks).alias("item_block"),
@@ -129,10 +163,8 @@ def _best_of_blocks(users: pa.Table, items: pa.Table) -> pa.Table:
             sims = vectors[part] @ item_rows
             positions = last[part]
             rising = np.partition(sims, np.unique(positions), axis=1)
-            threshold = np.maximum(
-                rising[np.arange(len(positions)), positions], np.finfo(sims.dtype).tiny
-            )
-            a, b = np.nonzero(sims >= threshold[:, None])
+            threshold = rising[np.arange(len(positions)), positions]
+            a, b = np.nonzero((sims >= threshold[:, None]) & (sims > 0))
             user_ids.append(ids[part][a])
             product_ids.append(products[b])
             scores.append(sims[a, b])
@@ -144,7 +176,7 @@ def _best_of_blocks(users: pa.Table, items: pa.Table) -> pa.Table:
         {
             "user_id": column(user_ids, pa.int32()),
             "product_id": column(product_ids, pa.int32()),
-            "score": column(scores, pa.float32()).cast(pa.float64()),
+            "score": column([s.astype(np.float64) for s in scores], pa.float64()),
         }
     )
 

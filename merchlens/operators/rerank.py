@@ -112,6 +112,12 @@ def score_candidates(
     )
 
 
+def of_products(sims: DataFrame, products: DataFrame, key: str = "product_id") -> DataFrame:
+    """The similars of a few products; the few are sent to the table, which stays put."""
+    few = products.select(F.col(key).alias("product_id")).distinct()
+    return sims.join(F.broadcast(few), "product_id", "left_semi")
+
+
 def rerank(
     triggers: DataFrame,
     recents: DataFrame,
@@ -120,10 +126,18 @@ def rerank(
     k: int = SIMILAR_CANDIDATES,
     min_sim: float = SCORING_SIMILARITY_FLOOR,
     levels: DataFrame | None = None,
+    few: bool = False,
 ) -> DataFrame:
-    """Scored candidates ``(trigger_id, user_id, product_id, score)``."""
-    candidates = unrated_similars(triggers, rated, sims, k, levels)
-    return score_candidates(candidates, recents, sims, min_sim)
+    """Scored candidates ``(trigger_id, user_id, product_id, score)``.
+
+    With ``few`` triggers (the caller has counted them) the similarity table is first cut
+    to the triggers' products, and for the scores to the candidates, without a shuffle of
+    the table.
+    """
+    near = of_products(sims, triggers) if few else sims
+    candidates = unrated_similars(triggers, rated, near, k, levels)
+    close = of_products(sims, candidates, "candidate") if few else sims
+    return score_candidates(candidates, recents, close, min_sim)
 
 
 def rerank_lists(triggers: DataFrame, scored: DataFrame) -> DataFrame:

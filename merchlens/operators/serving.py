@@ -1,5 +1,7 @@
 """Lookups of the read side, answered for a whole table of requests at once."""
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,9 +73,11 @@ def search_products(served: DataFrame, patterns: dict[str, str]) -> DataFrame:
 
 
 def record_ratings(
-    requests: DataFrame, users: DataFrame, stored: DataFrame
+    requests: DataFrame, users: DataFrame, stored: DataFrame, now: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Rating requests by user name on a 10-point scale; a null ``ts`` means now.
+    """Rating requests by user name on a 10-point scale; a null ``ts`` means ``now``.
+
+    ``now`` is one number for all outputs, by default the time of this call.
 
     Returns the accepted ratings, the ratings table with them applied, the event lines
     to log, and the requests of unknown users.
@@ -83,7 +87,7 @@ def record_ratings(
         "user_id",
         "product_id",
         halve_score(F.col("score")).alias("score"),
-        F.coalesce("ts", F.unix_timestamp()).alias("ts"),
+        F.coalesce("ts", F.lit(int(time.time()) if now is None else now).cast("bigint")).alias("ts"),
     )
     lines = accepted.select(
         event_line(F.col("user_id"), F.col("product_id"), F.col("score"), F.col("ts")).alias("value")

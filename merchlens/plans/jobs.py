@@ -8,8 +8,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from merchlens import constants, schemas
-from merchlens.operators import factorization, ratings, similarity, statistics
-from merchlens.session import build_session
+from merchlens.operators import factorization, similarity, statistics
+from merchlens.session import build_session, scratch_path
 from merchlens.sources import files, tables, topics
 from merchlens.streaming import log_events, scorer
 
@@ -25,6 +25,8 @@ LEVELS = "product_similar_levels"
 GRID = "als_grid"
 STREAM_RATINGS = "stream_ratings"
 STREAM_RECS = "stream_recs"
+COMPACTED_RECS = "stream_recs_compacted"
+MODEL = "model"
 
 
 def table(spark: SparkSession, store: str, name: str, columns: str | None = None) -> DataFrame:
@@ -32,13 +34,15 @@ def table(spark: SparkSession, store: str, name: str, columns: str | None = None
 
 
 def load(spark: SparkSession, product_file: str, rating_file: str, store: str) -> None:
-    """Product and rating files into tables; rows that do not parse into ``bad_*``."""
+    """Product and rating files into tables; rows that do not parse into ``bad_*``.
+
+    Every rating is kept, also several of one user for one product.
+    """
     products, bad_products = files.scan_product_file(spark, product_file)
     tables.overwrite(products, f"{store}/{PRODUCTS}")
     tables.overwrite(bad_products, f"{store}/bad_{PRODUCTS}")
     rows, bad_ratings = files.scan_rating_file(spark, rating_file)
-    newest = tables.with_user_bucket(ratings.latest_ratings(rows))
-    tables.overwrite(newest, f"{store}/{RATINGS}", "user_bucket")
+    tables.overwrite(tables.with_user_bucket(rows), f"{store}/{RATINGS}", "user_bucket")
     tables.overwrite(bad_ratings, f"{store}/bad_{RATINGS}")
 
 
@@ -55,17 +59,32 @@ def compute_statistics(spark: SparkSession, store: str, scale: int = 1000) -> No
 
 
 def train(spark: SparkSession, store: str, min_sim: float = constants.TABLE_SIMILARITY_FLOOR):
-    """User lists and the product similarity table from a fitted model."""
+    """User lists and the product similarity table from a fitted model.
+
+    All tables of a run are one version below ``model``, which scorers and readers switch
+    to as a whole.
+    """
     rows = table(spark, store, RATINGS, "user_id INT, product_id INT, score DOUBLE")
     model = factorization.fit_als(rows)
-    tables.overwrite(factorization.user_recs(model), f"{store}/{USER_RECS}")
     sims = similarity.similar_products(factorization.item_vectors(model), min_sim)
-    tables.overwrite(similarity.sorted_similars(sims), f"{store}/{SIMILARS}")
-    stored = table(spark, store, SIMILARS, schemas.SIMILARITY)
-    tables.overwrite(similarity.similar_levels(stored), f"{store}/{LEVELS}")
+    path = scratch_path(spark, SIMILARS)
+    similarity.sorted_similars(sims).write.parquet(path)
+    stored = tables.read_table(spark, path, schemas.SIMILARITY)
+    named = {
+        USER_RECS: factorization.user_recs(model),
+        SIMILARS: similarity.sorted_similars(stored),
+        LEVELS: similarity.similar_levels(stored),
+    }
+    tables.write_version(spark, f"{store}/{MODEL}", **named)
     return model
 
 
+def model_table(spark: SparkSession, store: str, name: str, columns: str | None = None) -> DataFrame:
+    """A table of the last training run that was written whole."""
+    version = tables.current_version(spark, f"{store}/{MODEL}")
+    return table(spark, store, f"{MODEL}/{version}/{name}", columns)
+
+
 def tune(spark: SparkSession, store: str, **grid) -> DataFrame:
     """Test error over the parameter grid; returns the best row."""
     rows = table(spark, store, RATINGS, schemas.RATING)
@@ -96,15 +115,23 @@ def stream(
     if available_now:
         ingest.awaitTermination()
         quarantine.awaitTermination()
+    model = tables.CachedVersion(
+        spark, f"{store}/{MODEL}", "product_id", **{SIMILARS: schemas.SIMILARITY, LEVELS: ""}
+    )
+
+    def similars() -> DataFrame:
+        model.fresh()
+        return model.table(SIMILARS)
+
     scoring = scorer.start_scorer(
         spark,
         f"{store}/{STREAM_RATINGS}",
-        tables.CachedTable(lambda: table(spark, store, SIMILARS, schemas.SIMILARITY), "product_id"),
+        similars,
         f"{store}/{STREAM_RECS}",
         f"{store}/_checkpoints/recs",
         available_now=available_now,
         history=lambda: table(spark, store, RATINGS),
-        levels=tables.CachedTable(lambda: table(spark, store, LEVELS), "product_id"),
+        levels=lambda: model.table(LEVELS),
     )
     return ingest, quarantine, scoring
 
@@ -115,9 +142,19 @@ def merge_stream_ratings(spark: SparkSession, store: str) -> None:
     tables.merge_ratings(spark, f"{store}/{RATINGS}", streamed)
 
 
+def compact(spark: SparkSession, store: str) -> list[int]:
+    """Fold the scored batches written so far into one folder; returns those removed.
+
+    The newest batch may be under way, so it stays. Readers take
+    ``scorer.current_recs(spark, f"{store}/stream_recs", f"{store}/stream_recs_compacted")``.
+    """
+    path, target = f"{store}/{STREAM_RECS}", f"{store}/{COMPACTED_RECS}"
+    return scorer.compact_stored(spark, path, target)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["load", "statistics", "train", "tune", "stream", "merge"])
+    parser.add_argument("job", choices=["load", "statistics", "train", "tune", "stream", "merge", "compact"])
     parser.add_argument("--store", required=True)
     parser.add_argument("--products")
     parser.add_argument("--ratings")
@@ -136,6 +173,8 @@ def main() -> None:
         tune(spark, args.store).show()
     elif args.job == "merge":
         merge_stream_ratings(spark, args.store)
+    elif args.job == "compact":
+        compact(spark, args.store)
     else:
         for query in stream(spark, args.store, args.log_folder, args.servers):
             query.awaitTermination()

@@ -29,6 +29,11 @@ SIMS = """sims AS (
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
 close AS (SELECT * FROM sims WHERE sim > 0.1)"""
 
+FACTORS = """dots AS (
+  SELECT CAST(a.vec_id AS INT) AS user_id, CAST(b.vec_id AS INT) AS product_id,
+         list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS dot
+  FROM embeddings a JOIN embeddings b ON a.vec_id % 2 = 0 AND b.vec_id % 2 = 1)"""
+
 HASH = """
   CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INT)"""
 
@@ -236,7 +241,55 @@ ORACLES = {
     "score_scaling": """SELECT c_custkey,
       (CASE WHEN c >= 0 THEN (c + 1) // 2 ELSE -((-c + 1) // 2) END) / 100.0 AS half
       FROM (SELECT c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) AS c FROM customer)""",
-    "query_recoding": "SELECT doc_id, text FROM documents WHERE text IS NOT NULL",
+    "query_recoding": "SELECT doc_id, text FROM documents",
+    "query_recoding_mixed": "SELECT doc_id, text FROM documents",
+    "load_statistics": with_(
+        RATINGS,
+        select="""SELECT product_id, count(*) AS count, round(avg(score), 6) AS avg
+          FROM ratings GROUP BY product_id""",
+    ),
+    "rating_extremes": with_(
+        EVENTS,
+        """raw AS (SELECT user_id, product_id, event_id % 10 AS k,
+          CASE event_id % 10 WHEN 0 THEN '1e100' WHEN 1 THEN '1e999' WHEN 2 THEN '' WHEN 3 THEN '-.5e1'
+            WHEN 4 THEN 'NaN' ELSE CAST(score AS VARCHAR) END AS s,
+          CASE event_id % 10 WHEN 5 THEN '-9223372036854775808' WHEN 6 THEN '9000000000000000'
+            WHEN 7 THEN '253402300799' WHEN 8 THEN '99999999999999999999'
+            ELSE CAST(ts AS VARCHAR) END AS t FROM ev)""",
+        select="""SELECT user_id, product_id, CAST(s AS DOUBLE) AS score, CAST(t AS BIGINT) AS ts,
+            CASE WHEN k = 7 THEN 999912
+              ELSE CAST(strftime(make_timestamp(CAST(t AS BIGINT) * 1000000), '%Y%m') AS INT) END AS month,
+            '' AS value FROM raw WHERE k IN (0, 3, 7, 9)
+          UNION ALL SELECT NULL, NULL, NULL, NULL, NULL,
+            concat_ws('|', user_id, product_id, s, t) FROM raw WHERE k NOT IN (0, 3, 7, 9)""",
+    ),
+    "als_list_facts": with_(
+        RATINGS,
+        select="""SELECT DISTINCT user_id, true AS in_order, true AS positive,
+          true AS dot_products, true AS gapless FROM ratings""",
+    ),
+    "factor_user_recs": with_(
+        FACTORS,
+        select="""SELECT user_id, CAST(row_number() OVER w AS INT) AS rank, product_id, round(dot, 6) AS score
+          FROM dots WHERE dot > 0 WINDOW w AS (PARTITION BY user_id ORDER BY dot DESC, product_id)
+          QUALIFY row_number() OVER w <= 20""",
+    ),
+    "factor_unrated_user_recs": with_(
+        EVENTS,
+        FACTORS,
+        select="""SELECT user_id, CAST(row_number() OVER w AS INT) AS rank, product_id, round(dot, 6) AS score
+          FROM dots WHERE dot > 0 AND (user_id, product_id) NOT IN (
+            SELECT (user_id * 2, product_id * 2 + 1) FROM ev)
+          WINDOW w AS (PARTITION BY user_id ORDER BY dot DESC, product_id)
+          QUALIFY row_number() OVER w <= 20""",
+    ),
+    "factor_predictions": with_(
+        EVENTS,
+        FACTORS,
+        """rated AS (SELECT DISTINCT user_id * 2 AS user_id, product_id * 2 + 1 AS product_id FROM ev)""",
+        select="""SELECT user_id, product_id, round(dot, 6) AS prediction
+          FROM rated JOIN dots USING (user_id, product_id)""",
+    ),
     "user_id_hash": with_(USERS, select="SELECT username, user_id FROM users"),
     "user_dim_load": with_(
         USERS,

@@ -8,6 +8,7 @@ from merchlens.functions import expr
 from merchlens.functions.ranking import pack_recs, top_per_key, unpack_recs
 from merchlens.operators import factorization, rerank, serving, similarity, statistics, users
 from merchlens.operators import ratings as rating_ops
+from merchlens.plans import jobs
 from merchlens.session import scratch_path
 from merchlens.sources import driver_tables as inputs
 from merchlens.sources import files, tables, topics
@@ -58,6 +59,37 @@ def rating_file_quarantine(spark, sf):
     return bad.select("user_id", "product_id", "score", "ts")
 
 
+def rating_extremes(spark, sf):
+    """Payloads with extreme or broken fields, typed or left as they are."""
+    kind = F.col("event_id") % 10
+    score = (
+        F.when(kind == 0, "1e100").when(kind == 1, "1e999").when(kind == 2, "")
+        .when(kind == 3, "-.5e1").when(kind == 4, "NaN").otherwise(F.col("score").cast("string"))
+    )
+    ts = (
+        F.when(kind == 5, "-9223372036854775808").when(kind == 6, "9000000000000000")
+        .when(kind == 7, "253402300799").when(kind == 8, "99999999999999999999")
+        .otherwise(F.col("ts").cast("string"))
+    )
+    payloads = inputs.events(spark, sf).select(
+        F.concat_ws("|", F.col("user_id"), F.col("product_id"), score, ts).alias("value")
+    )
+    good, bad = log_events.parse_payloads(payloads)
+    typed = good.withColumn("month", expr.year_month(F.col("ts"))).withColumn("value", F.lit(""))
+    return typed.unionByName(bad, allowMissingColumns=True)
+
+
+def load_statistics(spark, sf):
+    """Counts and averages of the stored tables after a load of a file with repeated ratings."""
+    root = scratch_path(spark, "store")
+    files.write_product_file(inputs.products(spark, sf), f"{root}/products.txt")
+    files.write_rating_file(inputs.ratings(spark, sf), f"{root}/ratings.csv")
+    jobs.load(spark, f"{root}/products.txt", f"{root}/ratings.csv", root)
+    jobs.compute_statistics(spark, root)
+    counts, averages = jobs.table(spark, root, jobs.RATE_MORE), jobs.table(spark, root, jobs.AVERAGE)
+    return _rounded(counts.join(averages, "product_id"), "avg")
+
+
 def ratings_table(spark, sf):
     """Bucketed store and typed scan."""
     path = scratch_path(spark, "ratings_by_user")
@@ -119,15 +151,23 @@ def distinct_products(spark, sf):
     return statistics.distinct_products(inputs.ratings(spark, sf))
 
 
+def _totals_and_served(spark, sf):
+    """Monthly and whole totals from one pass over the ratings, and products with averages."""
+    monthly = statistics.monthly_totals(inputs.ratings(spark, sf))
+    totals = statistics.product_totals(monthly)
+    averages = totals.select("product_id", "avg")
+    return monthly, totals, serving.served_products(inputs.products(spark, sf), averages)
+
+
 def hot_products(spark, sf):
-    recently = statistics.rate_more_recently(inputs.ratings(spark, sf), ordered=False)
-    rows = serving.serve_hot(recently, _served(spark, sf), 50)
-    return _rounded(rows, "avg_score")
+    monthly, _, served = _totals_and_served(spark, sf)
+    recently = monthly.select("product_id", "count", "yearmonth")
+    return _rounded(serving.serve_hot(recently, served, 50), "avg_score")
 
 
 def most_rated_products(spark, sf):
-    counts = statistics.rate_more(inputs.ratings(spark, sf))
-    rows = serving.serve_most_rated(counts, _served(spark, sf), 50)
+    _, totals, served = _totals_and_served(spark, sf)
+    rows = serving.serve_most_rated(totals.select("product_id", "count"), served, 50)
     return _rounded(rows, "avg_score")
 
 
@@ -167,11 +207,19 @@ def capped_recent_lists(spark, sf):
 
 def query_recoding(spark, sf):
     """Document texts taken for latin-1 by mistake and set right again."""
-    documents = inputs.table(spark, sf, "documents").where("text IS NOT NULL")
+    documents = inputs.table(spark, sf, "documents")
     garbled = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     return documents.select("doc_id", expr.recode_query(garbled).alias("text"))
 
 
+def query_recoding_mixed(spark, sf):
+    """Texts of which every second one is right already."""
+    documents = inputs.table(spark, sf, "documents")
+    garbled = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    text = F.when(F.col("doc_id") % 2 == 0, garbled).otherwise(F.col("text"))
+    return documents.select("doc_id", expr.recode_query(text).alias("text"))
+
+
 def score_scaling(spark, sf):
     return inputs.table(spark, sf, "customer").select(
         "c_custkey", expr.halve_score(F.col("c_acctbal")).alias("half")
@@ -309,8 +357,9 @@ def pair_cosine(spark, sf):
 
 def _rerank_inputs(spark, sf):
     events = inputs.events(spark, sf)
-    recents = rating_ops.recent_ratings(events).withColumnRenamed("user_id", "trigger_id")
-    return rerank.latest_triggers(events), recents, events.select("user_id", "product_id")
+    recents = rating_ops.recent_ratings(events).withColumn("trigger_id", F.col("user_id"))
+    triggers = recents.where("position = 1").select("trigger_id", "user_id", "product_id")
+    return triggers, recents.drop("user_id"), events.select("user_id", "product_id")
 
 
 def unrated_similars(spark, sf):
@@ -504,7 +553,61 @@ def als_item_sims(spark, sf):
 
 def als_rmse_grid(spark, sf):
     train, test = factorization.holdout_split(inputs.ratings(spark, sf))
-    return factorization.tune_als(train, test, ranks=(10, 20), reg_params=(0.1, 0.01))
+    return factorization.tune_als(train, test)
+
+
+def _factors(spark, sf):
+    """Given vectors as factors: those of even number as users', of odd as products'."""
+    vectors = inputs.table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("int").alias("id"), F.col("embedding").cast("array<double>").alias("features")
+    )
+    users = vectors.where("id % 2 = 0").withColumnRenamed("id", "user_id")
+    items = vectors.where("id % 2 = 1").withColumnRenamed("id", "product_id")
+    return users, items
+
+
+def _factor_ratings(spark, sf):
+    return inputs.events(spark, sf).select(
+        (F.col("user_id") * 2).alias("user_id"), (F.col("product_id") * 2 + 1).alias("product_id")
+    )
+
+
+def factor_user_recs(spark, sf):
+    users, items = _factors(spark, sf)
+    best = factorization.best_products(users.withColumn("depth", F.lit(20)), items)
+    return _rounded(unpack_recs(factorization.recs_from_predictions(best)), "score")
+
+
+def factor_unrated_user_recs(spark, sf):
+    users, items = _factors(spark, sf)
+    lists = factorization.unrated_recs(users, items, _factor_ratings(spark, sf))
+    return _rounded(unpack_recs(lists), "score")
+
+
+def factor_predictions(spark, sf):
+    """Predictions of all rated pairs with vectors on both sides, negative ones too."""
+    pairs = _factor_ratings(spark, sf).distinct()
+    return _rounded(factorization.predicted_pairs(pairs, *_factors(spark, sf)), "prediction")
+
+
+def als_list_facts(spark, sf):
+    """Whether a fitted model's lists are in order, positive and dot products of its factors."""
+    model = _model(spark, sf)
+    rows = unpack_recs(factorization.user_recs(model))
+    dots = factorization.predicted_pairs(
+        rows.select("user_id", "product_id"),
+        factorization.user_vectors(model),
+        factorization.item_vectors(model),
+    )
+    earlier = F.expr("lag(score) OVER (PARTITION BY user_id ORDER BY rank)")
+    rows = rows.join(dots, ["user_id", "product_id"]).withColumn("earlier", earlier)
+    close = F.abs(F.col("score") - F.col("prediction")) < 1e-4
+    return rows.groupBy("user_id").agg(
+        F.every(F.coalesce(F.col("score") <= F.col("earlier"), F.lit(True))).alias("in_order"),
+        F.every(F.col("score") > 0).alias("positive"),
+        F.every(close).alias("dot_products"),
+        (F.max("rank") == F.count("*")).alias("gapless"),
+    )
 
 
 def holdout_split(spark, sf):
@@ -605,6 +708,9 @@ QUERIES = {
         capped_recent_lists,
         score_scaling,
         query_recoding,
+        query_recoding_mixed,
+        rating_extremes,
+        load_statistics,
         user_id_hash,
         user_dim_load,
         user_names_taken,
@@ -637,6 +743,10 @@ QUERIES = {
         als_predictions,
         als_item_sims,
         als_rmse_grid,
+        als_list_facts,
+        factor_user_recs,
+        factor_unrated_user_recs,
+        factor_predictions,
         holdout_split,
         rmse_item_mean,
         stream_recs,

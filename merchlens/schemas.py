@@ -20,23 +20,32 @@ PRODUCT_RECS = f"product_id INT, recs ARRAY<{REC_ENTRY}>"
 SIMILARITY = "product_id INT, sim_product_id INT, sim DOUBLE"
 TUNING_GRID = "rank INT, reg_param DOUBLE, rmse DOUBLE"
 
-# Epoch values from here on (year 5138 in seconds) can only be milliseconds.
-MILLISECOND_CUTOFF = 100_000_000_000
+#: Units a text or table may hold its epoch values in, as parts of a second.
+UNITS = {"s": 1, "ms": 1000}
+#: Epoch seconds of the years 1 to 9999; values outside are not times.
+EARLIEST, LATEST = -62_135_596_800, 253_402_300_799
 
 
-def epoch_seconds(ts):
-    """Seconds from a column holding epoch seconds or epoch milliseconds."""
-    ts = ts.cast("bigint")
-    return F.when(F.abs(ts) >= MILLISECOND_CUTOFF, F.floor(ts / 1000)).otherwise(ts)
+def epoch_seconds(ts, unit="s"):
+    """Whole seconds from epoch values in ``unit``; null outside the years 1 to 9999."""
+    if unit not in UNITS:
+        raise ValueError(f"unit is one of {sorted(UNITS)}, not {unit!r}")
+    parts = UNITS[unit]
+    value = ts.try_cast("bigint")
+    seconds = F.when(
+        value.between(EARLIEST * parts, LATEST * parts + parts - 1),
+        F.floor(value / parts).cast("bigint") if parts > 1 else value,
+    )
+    return F.when(seconds.between(EARLIEST, LATEST), seconds)
 
 
-def as_ratings(df: DataFrame) -> DataFrame:
+def as_ratings(df: DataFrame, unit: str = "s") -> DataFrame:
     """Cast any table carrying the four rating columns to the canonical types."""
     return df.select(
         F.col("user_id").cast("int"),
         F.col("product_id").cast("int"),
         F.col("score").cast("double"),
-        epoch_seconds(F.col("ts")).alias("ts"),
+        epoch_seconds(F.col("ts"), unit).alias("ts"),
     )
 
 

@@ -1,6 +1,5 @@
 """Session settings and the shared folder for checkpoints and intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,15 +31,9 @@ def build_session(app_name="merchlens", master=None, **settings) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` as the session sets it.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """The folder all executors share: ``spark.checkpoint.dir`` as the session sets it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if not folder and context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="merchlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.getCheckpointDir() is None:

@@ -90,16 +90,88 @@ class CachedTable:
         return self._table
 
 
+def write_version(spark: SparkSession, root: str, **named: DataFrame) -> str:
+    """Write tables that belong together under a new folder, then make it the current one.
+
+    Readers find a whole version or the one before; a run that fails leaves no trace that
+    they see. The pointer is one small row, appended last.
+    """
+    now = time.time()
+    version = f"v{now:.6f}".replace(".", "_")
+    for name, df in named.items():
+        df.write.parquet(f"{root}/{version}/{name}")
+    pointer = spark.createDataFrame([(version, now)], "version STRING, at DOUBLE").coalesce(1)
+    pointer.write.mode("append").parquet(f"{root}/versions")
+    return version
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    pointers = spark.read.schema("version STRING, at DOUBLE").parquet(f"{root}/versions")
+    return pointers.agg(F.max_by("version", "at")).first()[0]
+
+
+class CachedVersion:
+    """Tables of one version, kept on the executors by key and always of the same version.
+
+    ``fresh`` looks for a newer version once in ``max_age_seconds``; ``table`` does not,
+    so all tables taken after one ``fresh`` belong together.
+    """
+
+    def __init__(self, spark, root: str, key: str, max_age_seconds: float = 3600, **columns: str):
+        self._spark, self._root, self._key, self._columns = spark, root, key, columns
+        self._max_age, self._looked_at = max_age_seconds, None
+        self.version, self._tables = None, {}
+
+    def fresh(self) -> None:
+        now = time.monotonic()
+        if self._looked_at is not None and now - self._looked_at <= self._max_age:
+            return
+        version = current_version(self._spark, self._root)
+        self._looked_at = now
+        if version == self.version:
+            return
+        old, self._tables, self.version = self._tables, {}, version
+        for name, columns in self._columns.items():
+            df = read_table(self._spark, f"{self._root}/{version}/{name}", columns or None)
+            self._tables[name] = df.repartition(self._key).persist(StorageLevel.MEMORY_AND_DISK)
+        for df in old.values():
+            df.unpersist()
+
+    def table(self, name: str) -> DataFrame:
+        if self.version is None:
+            self.fresh()
+        return self._tables[name]
+
+
+def drop_partitions_up_to(spark: SparkSession, path: str, column: str, last: int) -> list[int]:
+    """Delete the folders ``column=n`` of a table with ``n`` up to ``last``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for status in system.listStatus(root):
+        name, _, value = status.getPath().getName().partition("=")
+        if name == column and value.isdigit() and int(value) <= last:
+            system.delete(status.getPath(), True)
+            gone.append(int(value))
+    return sorted(gone)
+
+
 def merge_ratings(
     spark: SparkSession, path: str, updates: DataFrame, buckets: int = USER_BUCKETS, **options
 ) -> None:
     """Upsert a batch into a ratings table partitioned by ``user_bucket``.
 
-    Only the partitions of the batch's users are read and replaced.
+    Only the partitions of the batch's users are read and replaced. Ratings that the
+    batch does not touch stay as they are, repeated ones too.
     """
     touched = [r[0] for r in updates.select(user_bucket(buckets)).distinct().collect()]
     stored = spark.read.parquet(path).where(F.col("user_bucket").isin(touched))
-    merged = upsert_ratings(schemas.as_ratings(stored), schemas.as_ratings(updates), **options)
+    base, new = schemas.as_ratings(stored), schemas.as_ratings(updates)
+    keys = new.select("user_id", "product_id").distinct()
+    touched_rows = base.join(keys, ["user_id", "product_id"], "left_semi")
+    rest = base.join(keys, ["user_id", "product_id"], "left_anti")
+    merged = upsert_ratings(touched_rows, new, **options).unionByName(rest)
     (
         with_user_bucket(merged, buckets)
         .hint("rebalance", "user_bucket")

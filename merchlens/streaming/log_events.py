@@ -23,13 +23,13 @@ def rating_payloads(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse_payloads(payloads: DataFrame, unit: str = "s") -> tuple[DataFrame, DataFrame]:
     """Typed ratings, and the payloads that are not ``user|product|score|epoch``."""
     fields = ("user_id", "product_id", "score", "ts")
     raw = computed_once(payloads, _parts=F.split("value", r"\|")).select(
         "value", *[F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(fields)]
     )
-    good, bad = split_ratings_text(raw)
+    good, bad = split_ratings_text(raw, unit)
     return good, bad.select("value")
 
 
@@ -46,8 +46,11 @@ def write_ratings_log(
     available_now: bool = False,
     buckets: int = STREAM_BUCKETS,
 ):
-    """Stream the good ratings of a line stream into the ratings table."""
-    good, _ = parse_payloads(rating_payloads(lines))
+    """Stream the good ratings of a line stream into the ratings table.
+
+    Like every sink here it takes the lines that the collector forwards.
+    """
+    good, _ = parse_payloads(rating_payloads(collector_lines(lines)))
     writer = (
         with_user_bucket(good, buckets)
         .writeStream.format("parquet")
@@ -61,7 +64,7 @@ def write_ratings_log(
 
 def write_quarantine(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False):
     """Stream the payloads that do not parse into a text folder."""
-    _, bad = parse_payloads(rating_payloads(lines))
+    _, bad = parse_payloads(rating_payloads(collector_lines(lines)))
     return _write_text(bad, path, checkpoint, available_now)
 
 

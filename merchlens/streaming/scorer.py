@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +15,12 @@ from merchlens.constants import (
     SIMILAR_CANDIDATES,
 )
 from merchlens.operators.rerank import rerank, rerank_lists
-from merchlens.sources.tables import STREAM_BUCKETS, USER_BUCKETS, ratings_of
+from merchlens.sources.tables import STREAM_BUCKETS, USER_BUCKETS, drop_partitions_up_to, ratings_of
 from merchlens.streaming.log_events import _trigger
 from merchlens.streaming.recents import recent_lists
 
+#: Users of a batch whose products and candidates may be sent to all executors.
+FEW_TRIGGERS = 50_000
 STREAM_RECS = f"{schemas.USER_RECS}, batch_id BIGINT"
 RATINGS_LOG = f"{schemas.RATING}, user_bucket INT"
 
@@ -31,13 +34,17 @@ def score_batch(
     min_sim: float = SCORING_SIMILARITY_FLOOR,
     levels: DataFrame | None = None,
 ) -> DataFrame:
-    """Lists ``(user_id, recs)`` for one batch of ``recent_lists`` rows."""
+    """Lists ``(user_id, recs)`` for one batch of ``recent_lists`` rows.
+
+    A batch of up to ``FEW_TRIGGERS`` users moves only its own part of the table.
+    """
+    few = batch.count() <= FEW_TRIGGERS
     triggers = batch.select(F.col("user_id").alias("trigger_id"), "user_id", "product_id")
     recents = batch.select(
         F.col("user_id").alias("trigger_id"),
         F.explode(F.slice("recents", 1, n_recent)).alias("_r"),
     ).select("trigger_id", "_r.product_id", "_r.score")
-    scored = rerank(triggers, recents, rated, sims, k, min_sim, levels)
+    scored = rerank(triggers, recents, rated, sims, k, min_sim, levels, few)
     return rerank_lists(triggers, scored).select("user_id", "recs")
 
 
@@ -76,8 +83,9 @@ def start_scorer(
             if history:
                 before = ratings_of(history(), batch, history_buckets).select("user_id", "product_id")
                 rated = rated.unionByName(before)
+            similars = sims()  # may turn to a newer version; levels() then follows
             bounds = levels() if levels else None
-            recs = score_batch(batch, rated, sims(), levels=bounds, **scoring)
+            recs = score_batch(batch, rated, similars, levels=bounds, **scoring)
             recs.write.mode("overwrite").parquet(f"{recs_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
@@ -102,8 +110,33 @@ def current_recs(spark: SparkSession, *recs_paths: str) -> DataFrame:
 def compact_recs(spark: SparkSession, recs_path: str, target: str, up_to_batch: int) -> None:
     """Write the newest lists of the batches up to one as a single folder of ``target``.
 
-    Readers then use ``target`` together with the later batches.
+    Readers then use ``target`` together with the later batches (``current_recs``).
     """
     older = spark.read.schema(STREAM_RECS).parquet(recs_path).where(F.col("batch_id") <= up_to_batch)
     newest = older.groupBy("user_id").agg(F.max_by("recs", "batch_id").alias("recs"))
     newest.write.mode("overwrite").parquet(f"{target}/batch_id={up_to_batch}")
+
+
+def compact_stored(spark: SparkSession, recs_path: str, target: str) -> list[int]:
+    """Fold all batches but the newest into ``target`` and remove them; the batches removed.
+
+    The folded lists are in ``target`` before any folder goes, and a batch that is in
+    both counts once, so readers see every list at any time.
+    """
+    rows = spark.read.schema(STREAM_RECS).parquet(recs_path)
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    up_to = rows.where(F.col("batch_id") < newest).agg(F.max("batch_id")).first()[0] if newest else None
+    if up_to is None:
+        return []
+    older = rows.where(F.col("batch_id") <= up_to)
+    try:
+        before = spark.read.schema(STREAM_RECS).parquet(target)
+        last = before.agg(F.max("batch_id")).first()[0]
+        older = older.unionByName(before)
+    except AnalysisException:  # nothing folded yet
+        last = None
+    folded = older.groupBy("user_id").agg(F.max_by("recs", "batch_id").alias("recs"))
+    folded.write.mode("overwrite").parquet(f"{target}/batch_id={up_to}")
+    if last is not None and last < up_to:
+        drop_partitions_up_to(spark, target, "batch_id", last)
+    return drop_partitions_up_to(spark, recs_path, "batch_id", up_to)

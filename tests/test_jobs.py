@@ -35,7 +35,7 @@ def test_store(spark, tmp_path):
     assert rows(recently) == rows(statistics.rate_more_recently(stored))
 
     jobs.train(spark, store, min_sim=0.0)
-    recs = jobs.table(spark, store, jobs.USER_RECS, schemas.USER_RECS)
+    recs = jobs.model_table(spark, store, jobs.USER_RECS, schemas.USER_RECS)
     served = serving.served_products(
         jobs.table(spark, store, jobs.PRODUCTS, schemas.PRODUCT), jobs.table(spark, store, jobs.AVERAGE)
     )
