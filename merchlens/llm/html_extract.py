@@ -18,6 +18,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlens.llm.tables import without
 
@@ -306,4 +307,5 @@ def main_texts(pages: DataFrame, weights: Weights | None = None) -> DataFrame:
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"]
             )
 
-    return pages.mapInArrow(extract, pages.schema.add("text", "string"))
+    schema = T.StructType([*pages.schema.fields, T.StructField("text", T.StringType())])
+    return pages.mapInArrow(extract, schema)
