@@ -1,20 +1,19 @@
 """Lines that an earlier line of the corpus already says: an exact set-similarity join.
 
-A line is the set of its word shingles. Lines with equal sets are one class, which stands
-at its earliest line. The join works on classes: shingles are ordered by rarity, a class
-puts forward a prefix, and two classes that meet at a shingle are candidates if their
-sizes and the shingle's positions leave the likeness possible. Candidates are verified on
-the whole sets, and the later line of each match is removed.
-
-Lines are only asked whether an earlier match exists, so where very many classes meet at
-one shingle no pairs are made: blocks of them are compared inside tasks, and only lines
-still without a match meet the other blocks.
+A line is the set of its word shingles. Of lines with equal sets all but the earliest go
+at once. For the rest shingles are ordered by rarity, a line puts forward a prefix, and
+two lines that meet at a shingle are candidates if their sizes and the shingle's
+positions leave the likeness possible. Candidates are verified on the whole sets, and the
+later line of each match is removed.
+
+Lines are only asked whether an earlier match exists, so where very many meet at one
+shingle no pairs are made: blocks of them are compared inside tasks, and only lines still
+without a match meet the other blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +66,7 @@ def _with_hash(docs: DataFrame) -> DataFrame:
 
 
 def line_profiles(docs: DataFrame, like: Likeness) -> DataFrame:
-    """One stored row per line: its place, size ``n``, prints ``p, q`` and prefix ``tokens``."""
+    """One stored row per line: ``row``, its place, size ``n``, prints ``p, q``, ``tokens``."""
     sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, like.width))
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,17 +105,18 @@ def line_profiles(docs: DataFrame, like: Likeness) -> DataFrame:
                 )
 
     schema = "doc_id long, hash long, line int, n int, p long, q long, tokens array<long>"
-    return stored(_with_hash(docs).mapInArrow(profile, schema), "line-profiles")
+    made = _with_hash(docs).mapInArrow(profile, schema)
+    return stored(made.withColumn("row", F.monotonically_increasing_id()), "line-profiles")
 
 
-def _first() -> Column:
+def _place() -> Column:
     return F.struct(*PLACE)
 
 
 def _line_sets(docs: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame:
-    """Stored ``p, q, place, n, shingles`` of the classes in ``needed``, from the texts."""
+    """Stored ``row, place, shingles`` of the ``needed`` lines, from the texts."""
     count = needed.count()
-    ids = small(needed.select(F.col("place.doc_id").alias("id")).distinct(), count)
+    ids = small(needed.select(F.col("doc_id").alias("id")).distinct(), count)
     narrow = _with_hash(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,39 +124,36 @@ def _line_sets(docs: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame:
             for _, _, values, counts in _lines(batch, like.width):
                 cuts = np.append(0, np.cumsum(counts)).tolist()
                 p, q = _prints(values, counts)
+                own = [values[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(p),
-                        pa.array(q),
-                        pa.array(counts, pa.int32()),
-                        pa.array([values[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()),
-                    ],
-                    names=["p", "q", "n", "shingles"],
+                    [pa.array(p), pa.array(q), pa.array(own, pa.binary())], names=["p", "q", "shingles"]
                 )
 
-    made = narrow.mapInArrow(sets, "p long, q long, n int, shingles binary")
-    found = made.join(small(needed, count), ["p", "q"]).dropDuplicates(["p", "q"])
-    return stored(found.select("p", "q", "place", "n", "shingles"), "line-sets")
+    made = narrow.mapInArrow(sets, "p long, q long, shingles binary")
+    named = needed.select("p", "q", "row", _place().alias("place"))
+    found = made.join(small(named, count), ["p", "q"])
+    # Lines with equal sets, and rows that repeat, give a set several times.
+    return stored(found.select("row", "place", "shingles"), "line-sets").dropDuplicates(["row"])
 
 
 def _candidates(live: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of classes, ``later`` and ``earlier``, that pass all filters at a shingle."""
-    names = ("p", "q", "n", "at", "place")
-    a = live.select("token", *[F.col(c).alias(f"a_{c}") for c in names])
-    b = live.select("token", *[F.col(c).alias(f"b_{c}") for c in names])
+    """Pairs of lines ``a, b`` that pass the length and positional filters at a shingle."""
+    a = live.select("token", *[F.col(c).alias(f"a_{c}") for c in ("row", "n", "at")])
+    b = live.select("token", *[F.col(c).alias(f"b_{c}") for c in ("row", "n", "at")])
     least = F.expr(f"({like.num} * (a_n + b_n) + {like.num + like.den - 1}) div {like.num + like.den}")
-    rest = 1 + F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) - 1
+    rest = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
     fits = (
-        (F.col("b_place") < F.col("a_place"))
+        (F.col("b_row") < F.col("a_row"))
         & (like.den * F.least("a_n", "b_n") >= like.num * F.greatest("a_n", "b_n"))
         & (rest >= least)
     )
     # Two sets that reach the overlap meet first at a shingle that passes.
-    return a.join(b, "token").where(fits).select("a_p", "a_q", "b_p", "b_q").distinct()
+    pairs = a.join(b, "token").where(fits)
+    return pairs.select(F.col("a_row").alias("a"), F.col("b_row").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """``p, q`` of the later classes of pairs that match."""
+    """``row`` of the later line of each pair that matches."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,75 +162,71 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
                 a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(bool(like.linked(both, len(a), len(b))))
-            yield batch.select(["p", "q"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["row"]).filter(pa.array(keep, pa.bool_()))
 
     def side(name: str) -> DataFrame:
         return sets.select(
-            F.col("p").alias(f"{name}_p"), F.col("q").alias(f"{name}_q"), F.col("shingles").alias(f"{name}_set")
+            F.col("row").alias(name), F.col("place").alias(f"{name}_place"), F.col("shingles").alias(f"{name}_set")
         )
 
-    whole = pairs.join(side("a"), ["a_p", "a_q"]).join(side("b"), ["b_p", "b_q"])
-    whole = whole.select(F.col("a_p").alias("p"), F.col("a_q").alias("q"), "a_set", "b_set")
-    return whole.mapInArrow(verify, "p long, q long").distinct()
+    whole = pairs.join(side("a"), "a").join(side("b"), "b")
+    later = F.when(F.col("a_place") > F.col("b_place"), F.col("a")).when(
+        F.col("a_place") < F.col("b_place"), F.col("b")
+    )
+    whole = whole.select(later.alias("row"), "a_set", "b_set").where("row IS NOT NULL")
+    return whole.mapInArrow(verify, "row long").distinct()
 
 
 def _matched_in(groups: DataFrame, keys: list[str], like: Likeness) -> DataFrame:
-    """``p, q`` of the lines with an earlier match in their group.
-
-    Where a group has ``asks``, only those lines are asked for.
-    """
+    """``row`` of the lines that ask and have an earlier match in their group."""
 
     def match(group: pa.Table) -> pa.Table:
-        prints = np.stack([group["p"].to_numpy(), group["q"].to_numpy()], axis=1)
+        rows = group["row"].to_numpy()
         asks = group["asks"].to_numpy(zero_copy_only=False)
-        order = np.lexsort((~asks, prints[:, 1], prints[:, 0]))
-        one = order[np.append(True, (prints[order][1:] != prints[order][:-1]).any(axis=1))]
-        shingle = group["shingles"].to_pylist()
+        order = np.lexsort((~asks, rows))
+        one = order[np.append(True, rows[order][1:] != rows[order][:-1])]
+        shingle, place = group["shingles"].to_pylist(), group["place"].to_pylist()
         sets = [np.frombuffer(shingle[i], np.uint64) for i in one.tolist()]
-        places = group["place"].to_pylist()
-        places = [tuple((v is not None, v or 0) for v in places[i].values()) for i in one.tolist()]
-        rank = np.empty(len(one), np.int64)
-        rank[sorted(range(len(one)), key=places.__getitem__)] = np.arange(len(one))
+        places = [tuple((v is not None, v or 0) for v in place[i].values()) for i in one.tolist()]
+        number = {p: k for k, p in enumerate(sorted(set(places)))}
+        rank = np.array([number[p] for p in places])
         n = np.array([len(s) for s in sets], np.float32)
         linked = like.linked(overlaps(sets), n[:, None], n[None, :]) & (rank[None, :] < rank[:, None])
-        found = prints[one][linked.any(axis=1) & asks[one]]
-        return pa.table({"p": found[:, 0], "q": found[:, 1]})
+        return pa.table({"row": rows[one][linked.any(axis=1) & asks[one]]})
 
-    groups = groups.select(*keys, "p", "q", "place", "shingles", "asks")
-    return groups.groupBy(*keys).applyInArrow(match, "p long, q long")
+    groups = groups.select(*keys, "row", "place", "shingles", "asks")
+    return groups.groupBy(*keys).applyInArrow(match, "row long")
 
 
 def _hot_matches(hot: DataFrame, sets: DataFrame, like: Likeness, block: int) -> DataFrame:
-    """Classes with an earlier match among those they meet at hot shingles."""
+    """Lines with an earlier match among those they meet at hot shingles."""
     members = hot.groupBy("token").agg(
         F.count("*").alias("df"),
-        F.bit_xor(F.xxhash64("p", "q")).alias("x"),
-        F.bit_xor(F.xxhash64("q", "p")).alias("y"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("x"),
+        F.bit_xor(F.xxhash64("row", F.lit(2))).alias("y"),
     )
-    # Shingles at which the same classes meet are one.
+    # Shingles at which the same lines meet are one.
     tokens = members.groupBy("df", "x", "y").agg(F.min("token").alias("token"))
     tokens = tokens.select("token", F.ceil(F.col("df") / block).alias("blocks"))
-    dealt = hot.select("token", "p", "q").join(tokens, "token")
-    dealt = stored(
-        dealt.withColumn("block", F.pmod(F.xxhash64("p", "q"), F.col("blocks"))), "line-blocks"
-    )
-    asked = dealt.join(sets, ["p", "q"]).withColumn("asks", F.lit(True))
+    dealt = hot.select("token", "row").join(tokens, "token")
+    dealt = stored(dealt.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))), "line-blocks")
+    asked = dealt.join(sets, "row").withColumn("asks", F.lit(True))
     inside = stored(_matched_in(asked, ["token", "block"], like).distinct(), "line-matches")
     wide = dealt.where("blocks > 1")
     if not wide.limit(1).count():
         return inside
-    left = wide.join(inside, ["p", "q"], "left_anti")
+    left = wide.join(inside, "row", "left_anti")
     counts = left.groupBy("token").agg(F.ceil(F.count("*") / block).alias("cuts"))
-    left = left.join(counts, "token").withColumn("cut", F.pmod(F.xxhash64("q", "p"), F.col("cuts")))
-    asking = left.select(
-        "token", "cut", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "p", "q",
-        F.lit(True).alias("asks"),
-    )
+    left = left.join(counts, "token").withColumn("cut", F.pmod(F.xxhash64("row", F.lit(3)), F.col("cuts")))
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    asking = left.select("token", "cut", every("blocks").alias("block"), "row", F.lit(True).alias("asks"))
     answering = wide.join(counts, "token").select(
-        "token", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), "block", "p", "q",
-        F.lit(False).alias("asks"),
+        "token", every("cuts").alias("cut"), "block", "row", F.lit(False).alias("asks")
     )
-    across = asking.union(answering).join(sets, ["p", "q"])
+    across = asking.union(answering).join(sets, "row")
     return inside.union(_matched_in(across, ["token", "cut", "block"], like))
 
 
@@ -248,32 +241,25 @@ def later_matches(
     asks, whether or not the earlier line goes itself. Lines with fewer words than a
     shingle have no set and stay, so null and empty texts lose nothing.
     """
-    lines = line_profiles(docs, like)
-    firsts = stored(lines.groupBy("p", "q").agg(F.min(_first()).alias("place")), "line-classes")
-    own = lines.withColumn("place", _first())
-    classes = own.join(firsts.select("p", "q", F.col("place").alias("f")), ["p", "q"]).where("place <=> f")
-    postings = classes.select("p", "q", "n", "place", F.posexplode("tokens").alias("at", "token"))
+    lines = line_profiles(docs, like).withColumn("place", _place())
+    again = lines.groupBy("p", "q").agg(F.count("*").alias("copies"), F.min("place").alias("first"))
+    again = stored(again.where("copies > 1").drop("copies"), "repeated-lines")
+    own = lines.join(small(again, again.count()), ["p", "q"], "left")
+    copy = F.col("first").isNotNull() & (F.col("place") != F.col("first"))
+    postings = own.where(~copy).select("row", "n", F.posexplode("tokens").alias("at", "token"))
     shared = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     live = stored(postings.join(shared, "token"), "line-postings")
     cold, hot = live.where(F.col("df") <= hot_from), live.where(F.col("df") > hot_from)
     pairs = stored(_candidates(cold, like), "line-candidates")
-    needed = reduce(
-        DataFrame.union,
-        (
-            pairs.select(F.col("a_p").alias("p"), F.col("a_q").alias("q")),
-            pairs.select(F.col("b_p").alias("p"), F.col("b_q").alias("q")),
-            hot.select("p", "q"),
-        ),
-    ).distinct()
-    needed = stored(firsts.join(needed, ["p", "q"]), "line-needed")
-    sets = _line_sets(docs, needed, like)
+    rows = pairs.select(F.explode(F.array("a", "b")).alias("row")).union(hot.select("row")).distinct()
+    rows = stored(rows, "line-rows")
+    needed = lines.join(small(rows, rows.count()), "row", "left_semi")
+    sets = _line_sets(docs, stored(needed.select("row", *PLACE, "p", "q"), "line-needed"), like)
     matched = _verified(pairs, sets, like).union(_hot_matches(hot, sets, like, block)).distinct()
-    matched = matched.withColumn("goes", F.lit(True))
-    firsts = stored(firsts.join(matched, ["p", "q"], "left"), "line-verdicts")
-    judged = own.join(firsts.select("p", "q", F.col("place").alias("f"), "goes"), ["p", "q"])
-    gone = judged.where("goes OR NOT (place <=> f)")
+    matched = stored(matched.withColumn("goes", F.lit(True)), "line-verdicts")
+    judged = own.join(small(matched, matched.count()), "row", "left").where(F.col("goes") | copy)
     # A document's own lines; rows that repeat an id and a text are one document.
-    gone = gone.select(*PLACE).distinct().groupBy("doc_id", "hash")
+    gone = judged.select(*PLACE).distinct().groupBy("doc_id", "hash")
     return stored(gone.agg(F.array_sort(F.collect_list("line")).alias("removed")), "removed-lines")
 
 
