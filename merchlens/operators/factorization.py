@@ -139,7 +139,7 @@ def best_products(users: DataFrame, items: DataFrame, rated: DataFrame | None =
         every(user_blocks).alias("user_block"),
         block("product_id", item_blocks).alias("item_block"),
         "product_id",
-        "features",
+        F.col("features").alias("features"),  # both sides may stem from one table
     ).repartition(partitions, "user_block", "item_block")
     keys = ("user_block", "item_block")
     return (

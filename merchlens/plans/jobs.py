@@ -5,10 +5,12 @@ Run as ``python -m merchlens.plans.jobs JOB --store DIR …`` or call the functi
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from merchlens import constants, schemas
-from merchlens.operators import factorization, similarity, statistics
+from merchlens.operators import factorization, serving, similarity, statistics, users
 from merchlens.session import build_session, scratch_path
 from merchlens.sources import files, tables, topics
 from merchlens.streaming import log_events, scorer
@@ -25,6 +27,8 @@ LEVELS = "product_similar_levels"
 GRID = "als_grid"
 STREAM_RATINGS = "stream_ratings"
 STREAM_RECS = "stream_recs"
+USERS = "users"
+LOG = "log"
 COMPACTED_RECS = "stream_recs_compacted"
 MODEL = "model"
 
@@ -100,17 +104,23 @@ def stream(
     log_folder: str | None = None,
     servers: str | None = None,
     available_now: bool = False,
+    bare: bool = False,
 ):
-    """Ingest and scoring streams over a log folder or the rating topic."""
+    """Ingest and scoring streams over a folder of closed files or a topic.
+
+    Lines are log lines, or with ``bare`` the payloads ``user|product|score|epoch`` of
+    the rating topic. Files must be closed when they are moved in.
+    """
     if log_folder:
         lines = files.stream_lines(spark, log_folder)
     else:
-        lines = topics.read_topic(spark, servers, constants.LOG_TOPIC)
+        topic = constants.RATING_TOPIC if bare else constants.LOG_TOPIC
+        lines = topics.read_topic(spark, servers, topic)
     ingest = log_events.write_ratings_log(
-        lines, f"{store}/{STREAM_RATINGS}", f"{store}/_checkpoints/ratings", available_now
+        lines, f"{store}/{STREAM_RATINGS}", f"{store}/_checkpoints/ratings", available_now, bare=bare
     )
     quarantine = log_events.write_quarantine(
-        lines, f"{store}/bad_{STREAM_RATINGS}", f"{store}/_checkpoints/bad", available_now
+        lines, f"{store}/bad_{STREAM_RATINGS}", f"{store}/_checkpoints/bad", available_now, bare=bare
     )
     if available_now:
         ingest.awaitTermination()
@@ -152,14 +162,77 @@ def compact(spark: SparkSession, store: str) -> list[int]:
     return scorer.compact_stored(spark, path, target)
 
 
+def forward(spark: SparkSession, store: str, log_folder: str, servers: str):
+    """Payloads of a log folder onto the rating topic (the connector is not tested here)."""
+    lines = log_events.rating_payloads(
+        log_events.collector_lines(files.stream_lines(spark, log_folder))
+    )
+    return topics.write_topic(
+        lines, servers, constants.RATING_TOPIC, f"{store}/_checkpoints/forward"
+    )
+
+
+def _stored_users(spark: SparkSession, store: str) -> DataFrame:
+    try:
+        return table(spark, store, USERS, schemas.USER)
+    except AnalysisException:  # nobody has signed up yet
+        return spark.createDataFrame([], schemas.USER)
+
+
+def signup(spark: SparkSession, store: str, requests: DataFrame) -> DataFrame:
+    """Register the free names of ``username, requested_at``; returns the refused ones."""
+    known = _stored_users(spark, store)
+    refused = tables.read_stored(users.taken_names(known, requests), "refused")
+    new = tables.read_stored(users.register_users(known, requests), "signups")
+    new.write.mode("append").parquet(f"{store}/{USERS}")
+    return refused
+
+
+def rate(spark: SparkSession, store: str, requests: DataFrame, now: int | None = None) -> DataFrame:
+    """Ratings by name: event lines into the log folder; returns those of unknown users.
+
+    The stream over ``log`` brings them into the tables.
+    """
+    none = spark.createDataFrame([], schemas.RATING)
+    _, _, lines, unknown = serving.record_ratings(requests, _stored_users(spark, store), none, now)
+    marked = lines.select(F.concat(F.lit("rating "), "value").alias("value"))
+    files.write_lines(marked, f"{store}/{LOG}")
+    return unknown
+
+
+def serve(spark: SparkSession, store: str, requests: DataFrame, num: int = 10) -> DataFrame:
+    """Recommended products with their data for requests by ``username``.
+
+    Streamed lists come first; users without one get the list of the last training.
+    """
+    served = serving.served_products(
+        table(spark, store, PRODUCTS, schemas.PRODUCT), table(spark, store, AVERAGE)
+    )
+    trained = model_table(spark, store, USER_RECS, schemas.USER_RECS)
+    fresh = trained.limit(0)
+    for paths in ((COMPACTED_RECS, STREAM_RECS), (STREAM_RECS,)):
+        try:
+            fresh = scorer.current_recs(spark, *[f"{store}/{path}" for path in paths])
+            break
+        except AnalysisException:  # nothing folded, or no batch scored yet
+            continue
+    fresh = fresh.where(F.size("recs") > 0)
+    recs = fresh.unionByName(trained.join(fresh.select("user_id"), "user_id", "left_anti"))
+    named = users.with_user_id(requests, _stored_users(spark, store), outer=True)
+    return serving.serve_recs(named, recs, served, "user_id", num)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["load", "statistics", "train", "tune", "stream", "merge", "compact"])
+    parser.add_argument("job", choices=["load", "statistics", "train", "tune", "stream", "merge", "compact", "signup", "rate", "serve", "forward"])
     parser.add_argument("--store", required=True)
     parser.add_argument("--products")
     parser.add_argument("--ratings")
     parser.add_argument("--log-folder")
     parser.add_argument("--servers")
+    parser.add_argument("--bare", action="store_true", help="the stream's lines are payloads")
+    parser.add_argument("--requests", help="parquet table of requests")
+    parser.add_argument("--out", help="folder for the answers")
     parser.add_argument("--master")
     args = parser.parse_args()
     spark = build_session(f"merchlens-{args.job}", args.master)
@@ -175,8 +248,13 @@ def main() -> None:
         merge_stream_ratings(spark, args.store)
     elif args.job == "compact":
         compact(spark, args.store)
+    elif args.job in ("signup", "rate", "serve"):
+        answer = {"signup": signup, "rate": rate, "serve": serve}[args.job]
+        answer(spark, args.store, spark.read.parquet(args.requests)).write.parquet(args.out)
+    elif args.job == "forward":
+        forward(spark, args.store, args.log_folder, args.servers).awaitTermination()
     else:
-        for query in stream(spark, args.store, args.log_folder, args.servers):
+        for query in stream(spark, args.store, args.log_folder, args.servers, bare=args.bare):
             query.awaitTermination()
 
 

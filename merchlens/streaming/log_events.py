@@ -33,6 +33,11 @@ def parse_payloads(payloads: DataFrame, unit: str = "s") -> tuple[DataFrame, Dat
     return good, bad.select("value")
 
 
+def _payloads(lines: DataFrame, bare: bool) -> DataFrame:
+    """Payloads of log lines; ``bare`` lines are payloads already, as on the rating topic."""
+    return lines.select("value") if bare else rating_payloads(collector_lines(lines))
+
+
 def _trigger(writer, available_now):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -45,12 +50,14 @@ def write_ratings_log(
     checkpoint: str,
     available_now: bool = False,
     buckets: int = STREAM_BUCKETS,
+    bare: bool = False,
 ):
     """Stream the good ratings of a line stream into the ratings table.
 
-    Like every sink here it takes the lines that the collector forwards.
+    Like every sink here it takes the lines that the collector forwards, or ``bare``
+    payloads.
     """
-    good, _ = parse_payloads(rating_payloads(collector_lines(lines)))
+    good, _ = parse_payloads(_payloads(lines, bare))
     writer = (
         with_user_bucket(good, buckets)
         .writeStream.format("parquet")
@@ -62,9 +69,11 @@ def write_ratings_log(
     return _trigger(writer, available_now).start()
 
 
-def write_quarantine(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False):
+def write_quarantine(
+    lines: DataFrame, path: str, checkpoint: str, available_now: bool = False, bare: bool = False
+):
     """Stream the payloads that do not parse into a text folder."""
-    _, bad = parse_payloads(rating_payloads(collector_lines(lines)))
+    _, bad = parse_payloads(_payloads(lines, bare))
     return _write_text(bad, path, checkpoint, available_now)
 
 

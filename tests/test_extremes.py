@@ -146,3 +146,39 @@ def test_unrated_depth_follows_the_block(spark, monkeypatch):
         assert got.get(u, []) == best
     leaving = factorization.best_products(users.withColumn("depth", F.lit(4)), items, rated_df).count()
     assert leaving <= len(rated) + 4 * 5 * 6
+
+
+def test_bare_payloads_and_the_trigger(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text("1|2|3.0|4\nx|2|3.0|4\n")
+    lines = files.stream_lines(spark, str(tmp_path / "in"))
+    query = log_events.write_ratings_log(lines, str(tmp_path / "r"), str(tmp_path / "c"), bare=True)
+    try:  # the two-second trigger, stopped once it has taken the file
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(schemas.as_ratings(spark.read.parquet(str(tmp_path / "r")))) == [(1, 2, 3.0, 4)]
+    log_events.write_quarantine(lines, str(tmp_path / "b"), str(tmp_path / "c2"), True, bare=True).awaitTermination()
+    assert rows(spark.read.text(str(tmp_path / "b"))) == [("x|2|3.0|4",)]
+
+
+def test_users_sign_up_rate_and_are_served(spark, tmp_path):
+    store = str(tmp_path / "store")
+    (tmp_path / "p.txt").write_text("".join(f"{p}^n{p}^c^e^i^a^t\n" for p in range(6)))
+    (tmp_path / "r.csv").write_text("".join(f"{u},{p},{1 + (u * p) % 5},100\n" for u in (97, 98, 99) for p in range(5)))
+    jobs.load(spark, str(tmp_path / "p.txt"), str(tmp_path / "r.csv"), store)
+    jobs.compute_statistics(spark, store)
+    jobs.train(spark, store, min_sim=0.0)
+    names = spark.createDataFrame([("a", 5), ("a", 6), ("b", None)], "username string, requested_at long")
+    assert jobs.signup(spark, store, names).count() == 0
+    assert rows(jobs.signup(spark, store, names)) == [("a",), ("b",)]
+    assert jobs.table(spark, store, jobs.USERS, schemas.USER).count() == 2
+    wanted = spark.createDataFrame([("a",), ("nobody",)], "username string")
+    answers = jobs.serve(spark, store, wanted, 3)  # "a" has the id 97
+    assert {r["username"] for r in answers.where("product_id IS NOT NULL").collect()} == {"a"}
+    asked = spark.createDataFrame([("a", 5, 10.0, 9), ("x", 1, 2.0, 9)], "username string, product_id int, score double, ts long")
+    assert rows(jobs.rate(spark, store, asked).select("username")) == [("x",)]
+    for query in jobs.stream(spark, store, f"{store}/{jobs.LOG}", available_now=True):
+        query.awaitTermination()
+    streamed = spark.read.parquet(f"{store}/{jobs.STREAM_RATINGS}")
+    assert rows(schemas.as_ratings(streamed)) == [(97, 5, 5.0, 9)]
