@@ -21,7 +21,7 @@ from merchlens.llm.tables import small, stored
 from merchlens.llm.words import ALPHANUMERIC, Words, blocks, bytes_and_offsets
 
 WIDTH = 13
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 #: Bytes of test texts that one search holds in memory; more are searched block by block.
 SEARCH_BYTES = 8 << 20
 INDEX = """segment string, doc_ids array<bigint>, bounds array<int>, terms binary,

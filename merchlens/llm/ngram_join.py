@@ -37,7 +37,7 @@ HOT = 64
 #: Classes and shingles of a block at most (one larger class is a block of its own).
 BLOCK_CLASSES = 2048
 BLOCK_SHINGLES = 4 << 20
-GATHERED = 2 << 20
+GATHERED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -292,7 +292,7 @@ def verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
 # ---------------------------------------------------------------- hot shingles
 
 
-def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+def overlaps(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
     """Sizes of all intersections, as a product of incidence matrices, slice by slice."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values, inverse, counts = np.unique(
@@ -455,11 +455,13 @@ def one_per_group(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     Rows that repeat an id and a text are one document.
     """
     groups = similar_groups(docs, like)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stored(kept.groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = groups.groupBy("doc_id").agg(F.count_if(first).alias("n"))
+    ids = stored(ids.where("n <> 1"), "ids")
+    gone = ids.where("n = 0").select(F.col("doc_id").alias("id"))
     left = docs.join(
-        kept.select(F.col("doc_id").alias("id")), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"
+        small(gone, gone.count()), F.col("doc_id").eqNullSafe(F.col("id")), "left_anti"
     )
-    if kept.where("n > 1").limit(1).count():
+    if ids.where("n > 1").limit(1).count():
         left = left.dropDuplicates(["doc_id", "text"])
     return left.select(docs.columns)

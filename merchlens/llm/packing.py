@@ -27,7 +27,7 @@ CAPACITY = 1024
 END_ID = 2
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids binary"
 #: Words whose ids a Python worker keeps from task to task.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 250_000
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 
 

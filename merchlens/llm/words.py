@@ -14,7 +14,7 @@ import pyarrow as pa
 
 LONG_WORD = 128
 #: Bytes of text that are worked on at once; one longer text is still taken whole.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def byte_table(*, outside: bytes) -> np.ndarray:
