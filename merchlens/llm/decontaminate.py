@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.llm.tables import small, stored
-from merchlens.llm.words import ALPHANUMERIC, Words, blocks, bytes_and_offsets
+from merchlens.llm.words import ALPHANUMERIC, Words, bytes_and_offsets, text_blocks
 
 WIDTH = 13
 SEGMENT_BYTES = 2 << 20
@@ -68,10 +68,9 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
         schema = None
         number = 0
         for batch in batches:
-            data, offsets = bytes_and_offsets(batch.column("text"))
             ids = batch.column("doc_id").to_pylist()
-            for a, b in blocks(offsets, segment_bytes):
-                part = _segment(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            for a, b, data, offsets in text_blocks(batch.column("text"), segment_bytes):
+                part = _segment(data, offsets)
                 name = f"{TaskContext.get().partitionId()}-{number}"
                 number += 1
                 schema = schema or pa.schema(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from merchlens.llm.ngram_join import Likeness, common_shingles, overlaps
 from merchlens.llm.tables import small, stored
-from merchlens.llm.words import SPACED, Words, blocks, bytes_and_offsets, distinct_per_text, mix, shingles
+from merchlens.llm.words import SPACED, Words, distinct_per_text, mix, shingles, text_blocks
 
 HOT = 64
 BLOCK_LINES = 2048
@@ -32,9 +32,7 @@ PLACE = ("doc_id", "hash", "line")
 
 def _lines(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Row and number of each line with ``width`` words or more, its set, and the size."""
-    data, offsets = bytes_and_offsets(batch.column("text"))
-    for a, b in blocks(offsets):
-        part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+    for a, _, part, own in text_blocks(batch.column("text")):
         if not len(part):
             continue
         breaks = np.flatnonzero(part == 10)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.llm.tables import min_label_components, small, stored
-from merchlens.llm.words import SPACED, Words, blocks, bytes_and_offsets, distinct_per_text, shingles
+from merchlens.llm.words import SPACED, Words, distinct_per_text, shingles, text_blocks
 
 #: Most shingles whose counts order the prefixes; the rest count as rare. The order only
 #: steers how many candidates there are, so any table gives the same links.
@@ -58,9 +58,8 @@ class Likeness:
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows ``a`` to ``b`` of a batch, their distinct shingles and how many each has."""
-    data, offsets = bytes_and_offsets(batch.column("text"))
-    for a, b in blocks(offsets):
-        words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACED, True)
+    for a, b, data, offsets in text_blocks(batch.column("text")):
+        words = Words(data, offsets, SPACED, True)
         values, counts = distinct_per_text(*shingles(words, width))
         yield a, b, values, counts
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.llm.tables import stored
-from merchlens.llm.words import blocks, bytes_and_offsets, span_hashes
+from merchlens.llm.words import span_hashes, text_blocks
 
 CAPACITY = 1024
 END_ID = 2
@@ -135,7 +135,10 @@ class Encoder:
 
     def _learn(self, hashes: list[int], words: list[str]) -> None:
         kept = self.kept
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found: list[list[int]] = []
+        for k in range(0, len(words), 1000):  # an encoding holds far more than its ids
+            some = self.tokenizer.encode_batch_fast(words[k : k + 1000], add_special_tokens=False)
+            found += [e.ids for e in some]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
         n, used = len(kept["numbers"]), kept["used"]
@@ -227,11 +230,9 @@ def encode_pieces(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
         for batch in batches:
-            data, offsets = bytes_and_offsets(batch.column("text"))
             doc_ids = batch.column("doc_id")
-            for a, b in blocks(offsets):
-                own = offsets[a : b + 1] - offsets[a]
-                ids, counts = encoder.encode(data[offsets[a] : offsets[b]], own)
+            for a, _, data, offsets in text_blocks(batch.column("text")):
+                ids, counts = encoder.encode(data, offsets)
                 doc, piece, start, length, out = _pieces(ids, counts, capacity, end_id)
                 edges = np.append(0, np.cumsum(length)) * 4
                 column = pa.LargeBinaryArray.from_buffers(

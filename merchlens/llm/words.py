@@ -8,13 +8,15 @@ character outside ASCII never ends a word.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 LONG_WORD = 128
 #: Bytes of text that are worked on at once; one longer text is still taken whole.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 512 << 10
 
 
 def byte_table(*, outside: bytes) -> np.ndarray:
@@ -88,6 +90,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def text_blocks(
+    column: pa.Array, size: int = BLOCK_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows ``a`` to ``b`` of a string column, their bytes and offsets, block by block.
+
+    Only a block is copied at a time, so the memory follows the block, not the batch.
+    """
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for a, b in blocks(np.append(0, np.cumsum(lengths, dtype=np.int64)), size):
+        yield a, b, *bytes_and_offsets(column.slice(a, b - a))
+    pa.default_memory_pool().release_unused()
+
+
 class Words:
     """Words of the texts ``data[offsets[i]:offsets[i + 1]]``, in order.
 
