@@ -3,7 +3,7 @@
 Lengths are packed, not documents: a configuration linear program over the histogram of
 piece lengths (at most one entry per length, whatever the corpus) is solved by
 multiplicative weights, whose oracle prices configurations by a knapsack dynamic program.
-The solution is rounded down and the rest placed best-fit, again length by length. Every
+Amounts are rounded down and the rest placed best-fit, again length by length. Every
 piece then looks up its place by its length and its rank within that length.
 """
 
@@ -13,6 +13,7 @@ import sys
 import types
 import unicodedata
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -257,68 +258,107 @@ def encode_pieces(
 # ---------------------------------------------------------------- the linear program
 
 
-def best_configuration(values: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack with repetition: the most valuable multiset of lengths within capacity."""
+def configuration_values(
+    values: np.ndarray, lengths: np.ndarray, capacity: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Knapsack with repetition: the most that each capacity is worth, and the length (its
+    place in ``lengths``) put in there first, -1 where one token is left free."""
     best = np.zeros(capacity + 1)
     pick = np.full(capacity + 1, -1)
+    fitting = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        n = int(np.searchsorted(lengths, c, "right"))
+        n = fitting[c]
         best[c] = best[c - 1]
         if n:
             worth = best[c - lengths[:n]] + values[:n]
-            k = int(np.argmax(worth))
+            k = worth.argmax()
             if worth[k] > best[c]:
                 best[c], pick[c] = worth[k], k
-    out: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            length = int(lengths[pick[c]])
-            out[length] = out.get(length, 0) + 1
-            c -= length
+    return best, pick
+
+
+def _configuration(pick: np.ndarray, lengths: np.ndarray, capacity: int) -> Counter:
+    """How often each place of ``lengths`` is in the best configuration of a capacity."""
+    out: Counter = Counter()
+    while capacity > 0:
+        k = int(pick[capacity])
+        if k >= 0:
+            out[k] += 1
+        capacity -= int(lengths[k]) if k >= 0 else 1
     return out
 
 
 def fractional_packing(
-    histogram: dict[int, int], capacity: int, rounds: int = 200, rate: float = 2.0, slice_: float = 0.3
-) -> list[tuple[dict[int, int], float]]:
+    histogram: dict[int, int],
+    capacity: int,
+    rounds: int | None = None,
+    rate: float = 0.05,
+    slice_: float = 0.05,
+    near: float = 0.0005,
+    rest: float = 0.001,
+) -> list[tuple[dict[int, int], int]]:
     """Configurations and how often to use each, for all but a remainder of the histogram.
 
     Multiplicative weights on the program's dual: a length starts at the price of its
-    tokens, the optimum wherever sequences can be full, and the price falls
-    exponentially, at ``rate``, as the share of the length that is placed runs ahead of
-    the share of all tokens. Each round buys the configuration worth most at the current
-    prices, until one of its lengths has moved by ``slice_`` of its number or is used up.
+    tokens, the optimum wherever sequences can be full, and the price is multiplied by
+    the length's share that is left, against that of all tokens, to the power ``rate``.
+    Each round prices all configurations at once. From the length most behind on, it buys
+    for each length the best configuration that holds it, if that is ``near`` the best of
+    all, as often as moves at most ``slice_`` of any of its lengths. Amounts are rounded
+    down to whole numbers as they are bought; prices that would tie are set apart by less
+    than a token of a sequence, anew in each round.
+
+    Rounds go on until at most ``rest`` of the tokens is left. Each moves a slice of some
+    length or a whole sequence, so ``rounds``, four per slice and length, is not reached
+    unless stated smaller.
     """
     lengths = np.array(sorted(histogram), np.int64)
-    need = np.array([histogram[int(n)] for n in lengths], float)
+    need = np.array([histogram[int(n)] for n in lengths], np.int64)
     left = need.copy()
-    row = {int(n): i for i, n in enumerate(lengths)}
-    tokens = float((need * lengths).sum())
-    bought: dict[tuple[tuple[int, int], ...], float] = {}
+    most = np.maximum(1, (slice_ * need).astype(np.int64))
+    tokens = int((need * lengths).sum())
+    if rounds is None:
+        rounds = 100 + int(4 / slice_) * len(lengths)
+    rng = np.random.default_rng(0)
+    bought: Counter = Counter()
     for _ in range(rounds):
-        open_ = left >= 1
-        if not open_.any():
+        share = float((left * lengths).sum()) / tokens
+        if share <= rest:
             break
-        ahead = (1 - left / need) - (1 - (left * lengths).sum() / tokens)
-        price = lengths * np.exp(-rate * ahead)
-        config = best_configuration(price[open_], lengths[open_], capacity)
-        much = min(min(left[row[n]], max(1.0, slice_ * need[row[n]])) / k for n, k in config.items())
-        for n, k in config.items():
-            left[row[n]] -= k * much
-        key = tuple(sorted(config.items()))
-        bought[key] = bought.get(key, 0.0) + much
+        open_ = np.flatnonzero(left)
+        some, have, step = lengths[open_], left[open_], most[open_]
+        behind = have / need[open_] / share
+        price = some * behind**rate * (1 - 0.4 / capacity * rng.random(len(some)))
+        best, pick = configuration_values(price, some, capacity)
+        enough = best[capacity - some] + price >= (1 - near) * best[capacity]
+        moved = np.zeros(len(some), np.int64)
+
+        def buy(config: Counter, times: int) -> None:
+            for j, k in config.items():
+                moved[j] += k * times
+            bought[tuple(sorted((int(some[j]), k) for j, k in config.items()))] += times
+
+        for i in np.argsort(-behind, kind="stable").tolist():
+            if enough[i] and not moved[i]:
+                config = _configuration(pick, some, capacity - int(some[i]))
+                config[i] += 1
+                times = min(int(min(have[j], step[j]) - moved[j]) // k for j, k in config.items())
+                if times > 0:
+                    buy(config, times)
+        if not moved.any():  # only more of a length than a slice, or than is left, would do
+            config = _configuration(pick, some, capacity)
+            buy(Counter({j: min(k, int(have[j])) for j, k in config.items()}), 1)
+        left[open_] -= moved
     return [(dict(key), x) for key, x in bought.items()]
 
 
 def packing_plan(
-    histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 200
+    histogram: dict[int, int], capacity: int = CAPACITY, rounds: int | None = None
 ) -> list[tuple[tuple[int, ...], int]]:
     """Configurations (lengths in order of place) and whole numbers of sequences.
 
-    Together they hold each length exactly as often as the histogram says.
+    Together they hold each length exactly as often as the histogram says. Best fit
+    places what the program leaves, or everything where that takes fewer sequences.
     """
     left = {n: k for n, k in histogram.items() if k > 0}
     plan: list[tuple[tuple[int, ...], int]] = []
@@ -327,13 +367,14 @@ def packing_plan(
         plan.append(((capacity,), full))
     if not left:
         return plan
-    for config, x in sorted(fractional_packing(left, capacity, rounds), key=lambda c: -c[1]):
-        times = min(int(x), *(left.get(n, 0) // k for n, k in config.items()))
-        if times > 0:
-            for n, k in config.items():
-                left[n] -= k * times
-            plan.append((_flat(config), times))
-    return plan + _best_fit({n: k for n, k in left.items() if k > 0}, capacity)
+    alone = _best_fit(left, capacity)
+    program: list[tuple[tuple[int, ...], int]] = []
+    for config, times in sorted(fractional_packing(left, capacity, rounds), key=lambda c: -c[1]):
+        for n, k in config.items():
+            left[n] -= k * times
+        program.append((_flat(config), times))
+    program += _best_fit({n: k for n, k in left.items() if k > 0}, capacity)
+    return plan + min(program, alone, key=lambda groups: sum(times for _, times in groups))
 
 
 def _flat(config: dict[int, int]) -> tuple[int, ...]:
@@ -412,7 +453,7 @@ def place_table(plan: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray
     return dict(zip(("length", "rank", "sequence", "offset"), columns))
 
 
-def packed(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = 200) -> DataFrame:
+def packed(pieces: DataFrame, capacity: int = CAPACITY, rounds: int | None = None) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.
 
     ``pieces`` has ``length`` from 1 to ``capacity`` and any other columns; those named

@@ -297,6 +297,22 @@ def test_plan_holds_the_histogram(seed):
     assert packing.packing_plan({}) == []
 
 
+def test_program_places_pieces_of_all_lengths():
+    rng = np.random.default_rng(3)
+    drawn = np.minimum(rng.lognormal(6.2, 0.7, 60_000).astype(int) + 1, 5000) % 1024
+    some = {int(k): int(c) for k, c in zip(*np.unique(drawn[drawn > 0], return_counts=True))}
+    for histogram, over in (({n: 40 for n in range(1, 1024)}, 1.02), (some, 1.005)):
+        tokens = sum(n * k for n, k in histogram.items())
+        left = dict(histogram)
+        for config, times in packing.fractional_packing(histogram, 1024):
+            for n, k in config.items():
+                left[n] -= k * int(times)
+        assert min(left.values()) >= 0
+        assert sum(n * k for n, k in left.items()) <= 0.001 * tokens
+        plan = packing.packing_plan(histogram, 1024)
+        assert sum(t for _, t in plan) <= over * -(-tokens // 1024)
+
+
 def test_packed(spark, corpus_docs, tokenizer):
     pieces = packing.encode_pieces(corpus_docs, tokenizer[0], capacity=128).drop("ids")
     rows = packing.packed(pieces.withColumn("offset", F.lit("clash")), capacity=128).collect()
