@@ -45,6 +45,11 @@ OUTSIDE_NAMES = frozenset(
     "newsletter notice popup promo promoted recommended related respond share sharing "
     "sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# Elements that hold the page: names on them tell of the page, not of what they are.
+WHOLE = frozenset({"html", "body", "main"})
+# ``has-sidebar`` and ``comments-open`` are states of what bears the name.
+STATE_BEFORE = frozenset("has no not with without".split())
+STATE_AFTER = frozenset("closed disabled enabled open".split())
 
 TAG = re.compile(
     r"""<(?:!--|(?P<other>[!?])|(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)
@@ -92,38 +97,99 @@ def keys_of(name: str, attributes: str) -> list[str]:
     return keys
 
 
-def _outside(name: str, keys: list[str], in_article: bool, known: frozenset[str]) -> bool:
-    if name in NEVER or (name == PAGE_HEADER and not in_article):
+def _names_outside(name: str) -> bool:
+    """Whether a class, id or role says that what bears it is not the article."""
+    parts = [p.lower() for p in PART.split(name)]
+    for i, part in enumerate(parts):
+        if part in OUTSIDE_NAMES:
+            if STATE_BEFORE.isdisjoint(parts[:i]) and STATE_AFTER.isdisjoint(parts[i + 1 :]):
+                return True
+    return False
+
+
+def _hinted(keys: list[str], attributes: str, known: frozenset[str]) -> bool:
+    """Whether a name of the tag is learned, or known, to stand outside articles."""
+    if len(keys) == 1:
+        return False
+    if not known.isdisjoint(keys[1:]):
         return True
-    for key in keys[1:]:
-        if key in known or any(p in OUTSIDE_NAMES for p in PART.split(key.partition(".")[2])):
-            return True
-    return name not in ARTICLE and name in known
+    values = (m[1] or m[2] or m[3] or "" for m in NAMES.finditer(attributes))
+    return any(_names_outside(part) for value in values for part in value.split())
+
+
+@dataclass
+class Element:
+    """An element from its first to its last token. ``never``: outside by its own name;
+    ``hint``: outside by a class, id or role, unless it holds the article."""
+
+    name: str
+    first: int
+    never: bool
+    hint: bool
+    last: int = 0
 
 
-def tokens(html: str, known: frozenset[str] = frozenset()) -> Iterator[Token]:
-    """The page as tags and stretches of text, in one pass.
+def _exempt(elements: list[Element], page: list[Token]) -> None:
+    """Take the hints off elements that hold the article, or most words without one.
+
+    The article is the ``article`` or ``main`` with most words, if it has a tenth of the
+    page's. Words of elements that are outside by their own name do not count. An article
+    inside another one (a reader's comment) keeps its hints.
+    """
+    if not any(e.hint for e in elements):
+        return
+    depth = [0] * (len(page) + 1)
+    for e in elements:
+        if e.never:
+            depth[e.first] += 1
+            depth[e.last] -= 1
+    sums, never = [0], 0
+    for t, change in zip(page, depth):
+        never += change
+        sums.append(sums[-1] + (0 if never else t.words))
+    articles = [e for e in elements if e.name in ARTICLE]
+    chief = max(articles, key=lambda e: sums[e.last] - sums[e.first], default=None)
+    if chief is not None and 10 * (sums[chief.last] - sums[chief.first]) < max(1, sums[-1]):
+        chief = None
+    end = 0  # of the articles so far
+    for e in elements:
+        if e.name in ARTICLE:
+            if e.first >= end:
+                e.hint = False
+            end = max(end, e.last)
+        if chief is not None:
+            holds = e.first <= chief.first and chief.last <= e.last
+        else:
+            holds = 2 * (sums[e.last] - sums[e.first]) > sums[-1]
+        if holds:
+            e.hint = False
+
+
+def tokens(html: str, known: frozenset[str] = frozenset()) -> list[Token]:
+    """The page as tags and stretches of text.
 
     Elements that are never closed end where an enclosing element ends, paragraphs also
     where the next block begins. A comment or script without an end takes the rest.
     """
-    stack: list[tuple[str, bool, bool]] = []
+    page: list[Token] = []
+    elements: list[Element] = []
+    stack: list[Element] = []
     open_ = Counter()
-    outer = inner = 0
+    inner = 0
     at = 0
 
-    def text(a: int, b: int) -> Token:
+    def text(a: int, b: int) -> None:
         words = unescape(html[a:b])
-        return Token(words, "", len(words.split()), outer > 0, inner > 0)
+        page.append(Token(words, "", len(words.split()), False, inner > 0))
 
     def pop_to(name: str) -> None:
-        nonlocal outer, inner
+        nonlocal inner
         while stack:
-            top, was_outer, was_inner = stack.pop()
-            open_[top] -= 1
-            outer -= was_outer
-            inner -= was_inner
-            if top == name:
+            top = stack.pop()
+            top.last = len(page)
+            open_[top.name] -= 1
+            inner -= top.name in ARTICLE
+            if top.name == name:
                 return
 
     end = len(html)
@@ -133,10 +199,10 @@ def tokens(html: str, known: frozenset[str] = frozenset()) -> Iterator[Token]:
             tail = UNFINISHED.search(html, at)
             stop = tail.start() if tail else end
             if stop > at:
-                yield text(at, stop)
-            return
+                text(at, stop)
+            break
         if m.start() > at:
-            yield text(at, m.start())
+            text(at, m.start())
         at = m.end()
         if m["name"] is None:  # comment, declaration or instruction
             mark = ">" if m["other"] else "-->"
@@ -145,26 +211,36 @@ def tokens(html: str, known: frozenset[str] = frozenset()) -> Iterator[Token]:
             continue
         name = m["name"].lower()
         if m["close"]:
-            yield Token(None, f"/{name}", 0, outer > 0, inner > 0, name not in INLINE)
+            page.append(Token(None, f"/{name}", 0, False, inner > 0, name not in INLINE))
             if open_[name]:
                 pop_to(name)
             continue
         attributes = m["attributes"] if m["attributes"] is not None else m["broken"]
         keys = keys_of(name, attributes)
-        if name not in INLINE and open_[CLOSED_BY_BLOCK] and stack[-1][0] in INLINE | {CLOSED_BY_BLOCK}:
+        if name not in INLINE and open_[CLOSED_BY_BLOCK] and stack[-1].name in INLINE | {CLOSED_BY_BLOCK}:
             pop_to(CLOSED_BY_BLOCK)
-        yield Token(None, keys[-1], 0, outer > 0, inner > 0, name not in INLINE)
+        page.append(Token(None, keys[-1], 0, False, inner > 0, name not in INLINE))
         if name in VOID or attributes.endswith("/"):
             continue
-        was_outer = _outside(name, keys, inner > 0, known)
-        was_inner = name in ARTICLE
-        stack.append((name, was_outer, was_inner))
+        never = name in NEVER or (name == PAGE_HEADER and not inner)
+        hint = name not in WHOLE and _hinted(keys, attributes, known)
+        stack.append(Element(name, len(page), never, hint))
+        elements.append(stack[-1])
         open_[name] += 1
-        outer += was_outer
-        inner += was_inner
+        inner += name in ARTICLE
         if name in RAW:
             close = re.compile(rf"</{name}\b", re.IGNORECASE).search(html, at)
             at = close.start() if close else end
+    for e in stack:
+        e.last = len(page)
+    _exempt(elements, page)
+    end = 0
+    for e in elements:
+        if e.never or e.hint:
+            for t in page[max(end, e.first) : e.last]:
+                t.outer = True
+            end = max(end, e.last)
+    return page
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -182,7 +258,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def main_text(html: str, weights: Weights) -> str:
     """The words of the best region; blocks are divided by one space."""
-    page = list(tokens(html, weights.outside))
+    page = tokens(html, weights.outside)
     scores = []
     for t in page:
         if t.text is not None:
@@ -207,7 +283,7 @@ def count_labels(html: str) -> dict[str, list[int]]:
     words below elements of a key.
     """
     found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    page = list(tokens(html))
+    page = tokens(html)
     if not any(t.inner for t in page):
         return {}
     for t in page:
@@ -217,15 +293,15 @@ def count_labels(html: str) -> dict[str, list[int]]:
             found[f"tag {t.key}"][0 if t.inner else 1] += 1
         else:
             found["word"][0 if t.inner else 1] += t.words
-    for key, inner, words in _words_below(html):
+    for key, inner, words in _words_below(page):
         found[f"words {key}"][0 if inner else 1] += words
     return found
 
 
-def _words_below(html: str) -> Iterator[tuple[str, bool, int]]:
+def _words_below(page: list[Token]) -> Iterator[tuple[str, bool, int]]:
     """Key, whether inside the article, and words of each named innermost element."""
     key = None
-    for t in tokens(html):
+    for t in page:
         if t.text is None:
             if not t.key.startswith("/"):
                 key = t.key

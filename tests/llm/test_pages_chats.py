@@ -64,6 +64,35 @@ def test_markup(html, want):
     assert main_text(html, Weights()) == want
 
 
+BODY = "The article itself has quite a few words to read here."
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        '<html class="has-sidebar no-ads"><body class="single has-sidebar">{}</body></html>',
+        '<body class="right-sidebar">{}</body>',
+        '<body><div id="page-with-menu">{}</div></body>',
+        '<div class="right-sidebar"><main class="share-enabled">{}</main></div>',
+        '<article class="post comments-open">{}</article>',
+        '<main class="related">{}</main>',
+        '<div class="social">{}</div><div>few other</div>',
+        '<div id="layout-menu"><article>{}</article></div><div class="topMenu">one two three</div>',
+        '<div class="mainNav">one two three</div><section class="noSidebar">{}</section>',
+        '<article>{}<div class="comments"><article class="comment">a reader says</article></div></article>',
+    ],
+)
+def test_names_of_what_holds_the_article(html):
+    page = html.replace("{}", f"<p>{BODY}</p>")
+    assert main_text(page, Weights()).startswith(BODY)
+    for word in ("one", "reader"):
+        assert word not in main_text(page, Weights())
+
+
+def test_pages_in_named_wrappers_are_learned_from():
+    assert html_extract.count_labels(f'<body class="no-sidebar"><article><p>{BODY}</p></article>')["word"] == [11, 0]
+
+
 def test_long_page_is_scanned_once():
     html = "<nav>" + "<b>" * 50_000 + "</nav>" + "<p>word " * 50_000 + "</i>" * 50_000
     assert main_text(html, Weights()) == " ".join(["word"] * 50_000)
