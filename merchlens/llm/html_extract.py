@@ -3,7 +3,7 @@
 A page is a sequence of words and tags. Words score positive, tags negative, with weights
 learned from labelled pages, those whose markup names the article; one linear scan finds
 the best-scoring stretch. Elements whose words are learned, or known by name, to stand
-outside articles count against a stretch, and their words are never part of it.
+outside articles count little against a stretch, and their words are never part of it.
 """
 
 from __future__ import annotations
@@ -72,17 +72,20 @@ class Weights:
     #: A tag that the labelled pages do not have; words of elements outside the article.
     unknown: float = -0.3
     outer_word: float = -0.3
+    #: The most that an element outside the article costs, however long it is.
+    outer_box: float = -2.0
 
 
 @dataclass
 class Token:
-    """Text with its words, or a tag with its key. ``outer``: in an element that stands
-    outside; ``inner``: in the element that is labelled the article."""
+    """Text with its words, or a tag with its key. ``outer``: the number from 1 on of the
+    outermost element around it that stands outside, whose first tag counts as in it, 0
+    for none; ``inner``: in the element that is labelled the article."""
 
     text: str | None
     key: str
     words: int
-    outer: bool
+    outer: int
     inner: bool
     apart: bool = False
 
@@ -130,7 +133,7 @@ class Element:
 
 
 def _exempt(elements: list[Element], page: list[Token]) -> None:
-    """Take the hints off elements that hold the article, or most words without one.
+    """Take the hints off elements that hold the article, or three quarters of the words without one.
 
     The article is the ``article`` or ``main`` with most words, if it has a tenth of the
     page's. Words of elements that are outside by their own name do not count. An article
@@ -160,7 +163,7 @@ def _exempt(elements: list[Element], page: list[Token]) -> None:
         if chief is not None:
             holds = e.first <= chief.first and chief.last <= e.last
         else:
-            holds = 2 * (sums[e.last] - sums[e.first]) > sums[-1]
+            holds = 4 * (sums[e.last] - sums[e.first]) > 3 * sums[-1]
         if holds:
             e.hint = False
 
@@ -180,7 +183,7 @@ def tokens(html: str, known: frozenset[str] = frozenset()) -> list[Token]:
 
     def text(a: int, b: int) -> None:
         words = unescape(html[a:b])
-        page.append(Token(words, "", len(words.split()), False, inner > 0))
+        page.append(Token(words, "", len(words.split()), 0, inner > 0))
 
     def pop_to(name: str) -> None:
         nonlocal inner
@@ -211,7 +214,7 @@ def tokens(html: str, known: frozenset[str] = frozenset()) -> list[Token]:
             continue
         name = m["name"].lower()
         if m["close"]:
-            page.append(Token(None, f"/{name}", 0, False, inner > 0, name not in INLINE))
+            page.append(Token(None, f"/{name}", 0, 0, inner > 0, name not in INLINE))
             if open_[name]:
                 pop_to(name)
             continue
@@ -219,7 +222,7 @@ def tokens(html: str, known: frozenset[str] = frozenset()) -> list[Token]:
         keys = keys_of(name, attributes)
         if name not in INLINE and open_[CLOSED_BY_BLOCK] and stack[-1].name in INLINE | {CLOSED_BY_BLOCK}:
             pop_to(CLOSED_BY_BLOCK)
-        page.append(Token(None, keys[-1], 0, False, inner > 0, name not in INLINE))
+        page.append(Token(None, keys[-1], 0, 0, inner > 0, name not in INLINE))
         if name in VOID or attributes.endswith("/"):
             continue
         never = name in NEVER or (name == PAGE_HEADER and not inner)
@@ -234,12 +237,13 @@ def tokens(html: str, known: frozenset[str] = frozenset()) -> list[Token]:
     for e in stack:
         e.last = len(page)
     _exempt(elements, page)
-    end = 0
+    end = box = 0
     for e in elements:
-        if e.never or e.hint:
-            for t in page[max(end, e.first) : e.last]:
-                t.outer = True
-            end = max(end, e.last)
+        if (e.never or e.hint) and e.first >= end:
+            box += 1
+            for t in page[e.first - 1 : e.last]:
+                t.outer = box
+            end = e.last
     return page
 
 
@@ -260,11 +264,19 @@ def main_text(html: str, weights: Weights) -> str:
     """The words of the best region; blocks are divided by one space."""
     page = tokens(html, weights.outside)
     scores = []
+    box, spent = 0, 0.0
     for t in page:
-        if t.text is not None:
-            scores.append(t.words * (weights.outer_word if t.outer else weights.word))
+        if t.outer:
+            if t.outer != box:
+                box, spent = t.outer, 0.0
+            # A box in a labelled article costs nothing, any other one no more than a bound.
+            cost = 0.0 if t.inner else max(t.words * weights.outer_word, weights.outer_box - spent)
+            spent += cost
+            scores.append(cost)
+        elif t.text is not None:
+            scores.append(t.words * weights.word)
         else:
-            scores.append(0.0 if t.outer else weights.tags.get(t.key, weights.unknown))
+            scores.append(weights.tags.get(t.key, weights.unknown))
     first, last = best_region(scores)
     parts = []
     for t in page[first:last]:

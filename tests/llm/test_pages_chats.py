@@ -89,6 +89,17 @@ def test_names_of_what_holds_the_article(html):
         assert word not in main_text(page, Weights())
 
 
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>", "<body class='has-sidebar'>{}</body>"])
+@pytest.mark.parametrize("box", ["aside", "form", "noscript", "select", "div class='comments'", "div class='promo'"])
+def test_long_boxes_cut_nothing_off(wrap, box):
+    lead, rest = " ".join(["lead"] * 40), " ".join(["rest"] * 200)
+    long = f"<{box}>" + "<p>side words</p>" * 200 + f"</{box.split()[0]}>"
+    weights = Weights(word=0.5)
+    for a, b in ((lead, rest), (rest, lead)):
+        page = wrap.format(f"<p>{a}</p>{long}<p>{b}</p>")
+        assert main_text(page, weights) == f"{a} {b}"
+
+
 def test_pages_in_named_wrappers_are_learned_from():
     assert html_extract.count_labels(f'<body class="no-sidebar"><article><p>{BODY}</p></article>')["word"] == [11, 0]
 
