@@ -155,6 +155,23 @@ def test_links(spark):
     assert chat_quotes.linked_messages(rows.where("false")).count() == 0
 
 
+def test_quotes_wrapped_anew(spark):
+    text = "A long line that a mail program\nmay wrap anew."
+    rows = [
+        (1, 0, "user", text + "\n\nAnother paragraph"),
+        (1, 1, "assistant", "Between"),
+        (1, 2, "user", "> A long line\n> that a mail program may\n> wrap *anew*.\nYes"),
+        (1, 3, "user", "> " + text.replace("\n", " ") + "\n>\n> Another paragraph\nYes"),
+        (1, 4, "user", "May wrap anew."),
+        (1, 5, "user", "> " + text.replace("\n", "\n> ") + "\n\nYes"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: (r["body"], r["n_quoted"], r["n_matched"], r["reply_to"]) for r in chat_quotes.linked_messages(df).collect()}
+    assert got[2] == ("Yes", 3, 3, 0)
+    assert got[3] == ("Yes", 2, 2, 0)
+    assert got[5] == ("Yes", 2, 2, 0)
+
+
 # ---------------------------------------------------------------- revisits
 
 
