@@ -33,7 +33,3 @@ def table(spark):
         return spark.createDataFrame(rows, schema)
 
     return make
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,7 +1,7 @@
 """Statistics, ratings, users and the read side on small tables."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

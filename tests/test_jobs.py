@@ -1,7 +1,7 @@
 """The jobs one after the other over one store, from files to streamed lists."""
 
 import numpy as np
-from conftest import rows
+from helpers import rows
 
 from merchlens import schemas
 from merchlens.constants import RATING_MARKER

@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import rows
+from helpers import rows
 
 from merchlens.operators import rerank
 from merchlens.operators.similarity import similar_levels

@@ -3,7 +3,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows
+from helpers import rows
 
 from merchlens import schemas
 from merchlens.constants import RATING_MARKER
