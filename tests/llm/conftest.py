@@ -1,11 +1,7 @@
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).parent))
-
 WORDS = [a + b for a in "the of and to in is that".split() for b in ("", "re", "on", "ing")]
 
 
