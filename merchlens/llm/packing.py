@@ -288,29 +288,31 @@ def _configuration(pick: np.ndarray, lengths: np.ndarray, capacity: int) -> Coun
     return out
 
 
-def fractional_packing(
+def purchases(
     histogram: dict[int, int],
     capacity: int,
     rounds: int | None = None,
     rate: float = 0.05,
     slice_: float = 0.05,
-    near: float = 0.0005,
+    near: float = 0.3,
+    favour: float = 0.3,
     rest: float = 0.001,
-) -> list[tuple[dict[int, int], int]]:
-    """Configurations and how often to use each, for all but a remainder of the histogram.
-
-    Multiplicative weights on the program's dual: a length starts at the price of its
-    tokens, the optimum wherever sequences can be full, and the price is multiplied by
-    the length's share that is left, against that of all tokens, to the power ``rate``.
-    Each round prices all configurations at once. From the length most behind on, it buys
-    for each length the best configuration that holds it, if that is ``near`` the best of
-    all, as often as moves at most ``slice_`` of any of its lengths. Amounts are rounded
-    down to whole numbers as they are bought; prices that would tie are set apart by less
-    than a token of a sequence, anew in each round.
-
-    Rounds go on until at most ``rest`` of the tokens is left. Each moves a slice of some
-    length or a whole sequence, so ``rounds``, four per slice and length, is not reached
-    unless stated smaller.
+    idle: int = 3,
+) -> Iterator[tuple[float, list[tuple[dict[int, int], int]]]]:
+    """Round by round, what share of the tokens is left and the configurations bought.
+
+    Multiplicative weights on the dual of the configuration program: a length starts at
+    the price of its tokens, more by up to ``favour`` for long ones, so that short ones
+    stay to fill the last gaps. The price is multiplied by the length's share that is
+    left, against that of all tokens, to the power ``rate``. Each round prices all
+    configurations at once by the knapsack program. From the longest length on, it buys
+    for each the best configuration that holds it, if that fills the sequence and is
+    ``near`` the best of all, as often as moves at most ``slice_`` of any of its lengths.
+    Amounts are rounded down to whole numbers as they are bought. Whenever ``idle`` rounds
+    found no full configuration, twice as many free tokens are allowed in one.
+
+    Rounds end when at most ``rest`` of the tokens is left or nothing more is found.
+    ``rounds``, by default four per slice and length, bounds them.
     """
     lengths = np.array(sorted(histogram), np.int64)
     need = np.array([histogram[int(n)] for n in lengths], np.int64)
@@ -319,37 +321,46 @@ def fractional_packing(
     tokens = int((need * lengths).sum())
     if rounds is None:
         rounds = 100 + int(4 / slice_) * len(lengths)
-    rng = np.random.default_rng(0)
-    bought: Counter = Counter()
+    quiet = free = 0
     for _ in range(rounds):
         share = float((left * lengths).sum()) / tokens
-        if share <= rest:
+        if quiet >= idle:
+            quiet, free = 0, max(1, 2 * free)
+        if share <= rest or free > capacity:
             break
         open_ = np.flatnonzero(left)
         some, have, step = lengths[open_], left[open_], most[open_]
         behind = have / need[open_] / share
-        price = some * behind**rate * (1 - 0.4 / capacity * rng.random(len(some)))
+        price = some * (1 + favour * some / capacity) * behind**rate
         best, pick = configuration_values(price, some, capacity)
         enough = best[capacity - some] + price >= (1 - near) * best[capacity]
         moved = np.zeros(len(some), np.int64)
-
-        def buy(config: Counter, times: int) -> None:
-            for j, k in config.items():
-                moved[j] += k * times
-            bought[tuple(sorted((int(some[j]), k) for j, k in config.items()))] += times
-
-        for i in np.argsort(-behind, kind="stable").tolist():
-            if enough[i] and not moved[i]:
-                config = _configuration(pick, some, capacity - int(some[i]))
-                config[i] += 1
-                times = min(int(min(have[j], step[j]) - moved[j]) // k for j, k in config.items())
-                if times > 0:
-                    buy(config, times)
-        if not moved.any():  # only more of a length than a slice, or than is left, would do
-            config = _configuration(pick, some, capacity)
-            buy(Counter({j: min(k, int(have[j])) for j, k in config.items()}), 1)
+        bought = []
+        for i in np.flatnonzero(enough)[::-1].tolist():
+            if moved[i]:
+                continue
+            config = _configuration(pick, some, capacity - int(some[i]))
+            config[i] += 1
+            if sum(int(some[j]) * k for j, k in config.items()) < capacity - free:
+                continue
+            times = min(int(min(have[j], step[j]) - moved[j]) // k for j, k in config.items())
+            if times < 1 and free:  # once, with what there is
+                config = Counter({j: min(k, int(have[j] - moved[j])) for j, k in config.items()})
+                times = int(sum(int(some[j]) * k for j, k in config.items()) >= capacity - free)
+            if times > 0:
+                for j, k in config.items():
+                    moved[j] += k * times
+                bought.append(({int(some[j]): k for j, k in config.items() if k}, times))
         left[open_] -= moved
-    return [(dict(key), x) for key, x in bought.items()]
+        quiet = 0 if bought else quiet + 1
+        yield float((left * lengths).sum()) / tokens, bought
+
+
+def fractional_packing(
+    histogram: dict[int, int], capacity: int, rounds: int | None = None
+) -> list[tuple[dict[int, int], int]]:
+    """All configurations that the program buys, and how often to use each."""
+    return [c for _, bought in purchases(histogram, capacity, rounds) for c in bought]
 
 
 def packing_plan(
@@ -358,23 +369,39 @@ def packing_plan(
     """Configurations (lengths in order of place) and whole numbers of sequences.
 
     Together they hold each length exactly as often as the histogram says. Best fit
-    places what the program leaves, or everything where that takes fewer sequences.
+    places what the program leaves. Since the last rounds may use up what best fit needs
+    to fill gaps, the program is cut off after the round from which on the whole takes the
+    fewest sequences; among equals, after the last. Best fit alone is taken only where it
+    takes fewer than every cut.
     """
     left = {n: k for n, k in histogram.items() if k > 0}
-    plan: list[tuple[tuple[int, ...], int]] = []
     full = left.pop(capacity, 0)
-    if full:
-        plan.append(((capacity,), full))
+    plan: list[tuple[tuple[int, ...], int]] = [((capacity,), full)] if full else []
     if not left:
         return plan
-    alone = _best_fit(left, capacity)
-    program: list[tuple[tuple[int, ...], int]] = []
-    for config, times in sorted(fractional_packing(left, capacity, rounds), key=lambda c: -c[1]):
-        for n, k in config.items():
-            left[n] -= k * times
-        program.append((_flat(config), times))
-    program += _best_fit({n: k for n, k in left.items() if k > 0}, capacity)
-    return plan + min(program, alone, key=lambda groups: sum(times for _, times in groups))
+    program: dict[tuple[int, ...], int] = {}
+    cuts = [_completed(program, left, capacity)]
+    bar = 0.9
+    for share, bought in purchases(left, capacity, rounds):
+        for config, times in bought:
+            key = _flat(config)
+            program[key] = program.get(key, 0) + times
+        if share <= bar:
+            cuts.append(_completed(program, left, capacity))
+            bar = share * 0.8
+    cuts.append(_completed(program, left, capacity))
+    _, program, rest = min(reversed(cuts), key=lambda cut: cut[0])
+    return plan + sorted(program.items(), key=lambda c: (-c[1], c[0])) + rest
+
+
+def _completed(program: dict, histogram: dict[int, int], capacity: int) -> tuple[int, dict, list]:
+    """Sequences in all, the program's configurations, and best fit of what they leave."""
+    left = dict(histogram)
+    for config, times in program.items():
+        for n in config:
+            left[n] -= times
+    rest = _best_fit({n: k for n, k in left.items() if k > 0}, capacity)
+    return sum(program.values()) + sum(times for _, times in rest), dict(program), rest
 
 
 def _flat(config: dict[int, int]) -> tuple[int, ...]:

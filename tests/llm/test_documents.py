@@ -313,6 +313,57 @@ def test_program_places_pieces_of_all_lengths():
         assert sum(t for _, t in plan) <= over * -(-tokens // 1024)
 
 
+def exact_packing(lengths, capacity):
+    """The fewest sequences, by trying every place for each piece, longest first."""
+    pieces, best = sorted(lengths, reverse=True), len(lengths)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(pieces):
+            best = len(rooms)
+            return
+        for room in sorted(set(rooms)):
+            if room >= pieces[k]:
+                i = rooms.index(room)
+                place(k + 1, rooms[:i] + [room - pieces[k]] + rooms[i + 1 :])
+        place(k + 1, rooms + [capacity - pieces[k]])
+
+    place(0, [])
+    return best
+
+
+def test_small_plans_are_the_fewest():
+    rng = np.random.default_rng(8)
+    over = 0
+    for _ in range(60):
+        lengths = rng.integers(1, 33, rng.integers(1, 9)).tolist()
+        plan = packing.packing_plan(dict(Counter(lengths)), 32)
+        over += sum(t for _, t in plan) - exact_packing(lengths, 32)
+    assert over <= 1
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_program_takes_no_more_than_best_fit(spark, tokenizer, size):
+    import os
+
+    path = f"/root/testdata/{size}/documents.parquet"
+    if not os.path.isfile(path):
+        pytest.skip("no driver tables")
+    pieces = packing.encode_pieces(spark.read.parquet(path), tokenizer[0])
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    part = {n: k for n, k in histogram.items() if n < 1024}
+    tokens = sum(n * k for n, k in part.items())
+    alone = sum(t for _, t in packing._best_fit(part, 1024))
+    count = sum(t for _, t in packing.packing_plan(part, 1024))
+    bought = packing.fractional_packing(part, 1024)
+    placed = sum(n * k * t for config, t in bought for n, k in config.items())
+    assert count <= alone
+    assert count <= -(-tokens // 1024) + 2
+    assert placed >= {"sf0.001": 0.3, "sf0.01": 0.5, "sf0.1": 0.95}[size] * tokens
+
+
 def test_packed(spark, corpus_docs, tokenizer):
     pieces = packing.encode_pieces(corpus_docs, tokenizer[0], capacity=128).drop("ids")
     rows = packing.packed(pieces.withColumn("offset", F.lit("clash")), capacity=128).collect()
