@@ -28,7 +28,7 @@ CAPACITY = 1024
 END_ID = 2
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids binary"
 #: Words whose ids a Python worker keeps from task to task.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 1_000_000
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 
 
@@ -102,28 +102,47 @@ def split_points(codes: np.ndarray, kinds: np.ndarray, texts: np.ndarray) -> np.
     return np.flatnonzero(marks)
 
 
+def byte_letters() -> np.ndarray:
+    """The printable character that byte-level BPE writes for each byte."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = np.zeros(256, np.uint32)
+    letters[printable] = printable
+    others = np.setdiff1d(np.arange(256), printable)
+    letters[others] = 256 + np.arange(len(others))
+    return letters
+
+
+def among(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys are in the ascending array ``known``."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
 class Encoder:
-    """Ids of many texts at once: every distinct word is encoded once per process."""
+    """Ids of many texts at once: every distinct word is encoded once per process.
+
+    What is known of words lies in arrays sorted by the words' hashes. Where more than
+    ``KEPT_WORDS`` are known, the half seen in the fewest blocks is forgotten.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         kept = _kept()
         if kept.get("path") != path:
             kept.clear()
             tokenizer = Tokenizer.from_file(path)
             specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-            kept.update(path=path, tokenizer=tokenizer, specials=specials)
-            kept.update(kinds=np.full(0x110000, 255, np.uint8))
+            # Words that are cut and spelled out already need the merges alone.
+            merges = Tokenizer(tokenizer.model)
+            merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            kept.update(path=path, tokenizer=tokenizer, merges=merges, specials=specials)
+            kept.update(kinds=np.full(0x110000, 255, np.uint8), letters=byte_letters())
+            kept.update(end=tokenizer.token_to_id(chr(kept["letters"][10])))
+            kept.update(hashes=np.zeros(0, np.uint64), seen=np.zeros(0, np.uint16))
+            kept.update(at=np.zeros(0, np.int64), size=np.zeros(0, np.int64), ids=np.zeros(0, np.uint32))
         self.kept, self.tokenizer = kept, kept["tokenizer"]
-        self._reset()
-
-    def _reset(self) -> None:
-        if len(self.kept.get("numbers", ())) > KEPT_WORDS or "numbers" not in self.kept:
-            self.kept.update(
-                numbers={}, ids=np.zeros(1 << 16, np.uint32), used=0,
-                at=np.zeros(1 << 16, np.int64), size=np.zeros(1 << 16, np.int64),
-            )
 
     def _kinds(self, codes: np.ndarray) -> np.ndarray:
         table = self.kept["kinds"]
@@ -134,27 +153,56 @@ class Encoder:
             kinds = table[codes]
         return kinds
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
+    def _word_ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Ids of single words in a row, and the number of each word's ids."""
+        letters, end = self.kept["letters"], self.kept["end"]
+        flat, sizes = [], []
+        for k in range(0, len(starts), 4000):  # an encoding holds far more than its ids
+            a, b = starts[k : k + 4000], ends[k : k + 4000]
+            n = b - a
+            first = np.cumsum(n + 3) - n - 3
+            text = np.full(int((n + 3).sum()), 0x20, np.uint32)
+            text[first + n + 1] = letters[10]  # a line end after every word
+            place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            own = data[np.repeat(a, n) + place]
+            text[np.repeat(first, n) + place] = letters[own]
+            one = self.kept["merges"].encode_batch_fast([text.tobytes().decode("utf-32-le")], add_special_tokens=False)
+            ids = np.array(one[0].ids, np.uint32)
+            stops = np.flatnonzero(ids == end)
+            if len(stops) != len(n):  # some words hold line ends themselves: one by one
+                words = [text[f : f + m].tobytes().decode("utf-32-le") for f, m in zip(first.tolist(), n.tolist())]
+                found = [e.ids for e in self.kept["merges"].encode_batch_fast(words, add_special_tokens=False)]
+                flat.append(np.array([i for ids in found for i in ids], np.uint32))
+                sizes.append(np.array([len(ids) for ids in found], np.int64))
+            else:
+                flat.append(ids[ids != end])
+                sizes.append(np.diff(stops, prepend=-1) - 1)
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(flat or none).astype(np.uint32), np.concatenate(sizes or none)
+
+    def _learn(self, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """Take up words not known so far, in order of their hashes."""
+        kept = self.kept
+        at = len(kept["ids"]) + np.cumsum(size) - size
+        place = np.searchsorted(kept["hashes"], hashes)
+        for name, values in (("hashes", hashes), ("at", at), ("size", size), ("seen", np.zeros(len(size), np.uint16))):
+            kept[name] = np.insert(kept[name], place, values)
+        kept["ids"] = np.concatenate([kept["ids"], ids])
+
+    def _forget(self) -> None:
         kept = self.kept
-        found: list[list[int]] = []
-        for k in range(0, len(words), 1000):  # an encoding holds far more than its ids
-            some = self.tokenizer.encode_batch_fast(words[k : k + 1000], add_special_tokens=False)
-            found += [e.ids for e in some]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-        n, used = len(kept["numbers"]), kept["used"]
-        for name, need in (("ids", used + len(flat)), ("at", n + len(words)), ("size", n + len(words))):
-            if need > len(kept[name]):
-                kept[name] = np.resize(kept[name], max(need, 2 * len(kept[name])))
-        kept["ids"][used : used + len(flat)] = flat
-        kept["at"][n : n + len(words)] = used + np.cumsum(sizes) - sizes
-        kept["size"][n : n + len(words)] = sizes
-        kept["numbers"].update(zip(hashes, range(n, n + len(words))))
-        kept["used"] = used + len(flat)
+        n = len(kept["hashes"])
+        if n > KEPT_WORDS or len(kept["ids"]) > 8 * KEPT_WORDS:
+            stay = np.sort(np.argsort(kept["seen"], kind="stable")[n // 2 :])
+            at, size = kept["at"][stay], kept["size"][stay]
+            first = np.cumsum(size) - size
+            place = np.arange(int(size.sum())) - np.repeat(first, size)
+            kept.update(ids=kept["ids"][np.repeat(at, size) + place], at=first, size=size)
+            kept.update(hashes=kept["hashes"][stay], seen=kept["seen"][stay] // 2)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row and the number of ids of each text."""
-        self._reset()
+        self._forget()
         lead = (data & 0xC0) != 0x80
         at = np.append(np.flatnonzero(lead), len(data))  # byte of each character
         texts = np.searchsorted(at, offsets)
@@ -166,18 +214,17 @@ class Encoder:
         ends = np.append(starts[1:], len(data))
         hashes = span_hashes(data, starts, ends)
         distinct, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        numbers = self.kept["numbers"]
-        keys = distinct.tolist()
-        new = [i for i, h in enumerate(keys) if h not in numbers]
-        if new:
-            spans = zip(starts[one[new]].tolist(), ends[one[new]].tolist())
-            self._learn([keys[i] for i in new], [whole[a:b].decode("utf-8", "replace") for a, b in spans])
         kept = self.kept
-        number = np.fromiter((numbers[h] for h in keys), np.int64, len(keys))[inverse]
+        new = ~among(kept["hashes"], distinct)
+        if new.any():
+            ids, size = self._word_ids(data, starts[one[new]], ends[one[new]])
+            self._learn(distinct[new], ids, size)
+        own = np.searchsorted(kept["hashes"], distinct)
+        kept["seen"][own] += kept["seen"][own] < 65535
+        number = own[inverse]
         size = kept["size"][number]
         first = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) - np.repeat(first, size)
-        ids = kept["ids"][np.repeat(kept["at"][number], size) + place]
+        ids = kept["ids"][np.repeat(kept["at"][number] - first, size) + np.arange(int(size.sum()))]
         word = np.searchsorted(marks, texts)
         counts = np.diff(np.append(first, len(ids))[word])
         unknown = np.flatnonzero(kinds == UNKNOWN)

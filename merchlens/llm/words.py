@@ -78,9 +78,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     lengths = ends - starts
     short = np.minimum(lengths, LONG_WORD)
     first = np.cumsum(short) - short
-    place = np.arange(int(short.sum())) - np.repeat(first, short)
-    at = np.repeat(starts, short) + place
-    sums = np.cumsum(random[(place << 8) + data[at]])
+    each = np.arange(int(short.sum()))
+    place = each - np.repeat(first, short)
+    sums = np.cumsum(random[(place << 8) + data[np.repeat(starts - first, short) + each]])
     out = sums[first + short - 1].copy()
     out[1:] -= sums[first[1:] - 1]
     out = mix(out + lengths.astype(np.uint64))
