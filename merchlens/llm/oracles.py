@@ -65,8 +65,66 @@ FROM documents d LEFT JOIN touched t USING (doc_id) LEFT JOIN kept k USING (doc_
 WHERE t.doc_id IS NULL OR regexp_matches(coalesce(k.text, ''), '{SPACED}')
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP11 = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{TERM}') AS w FROM documents),
+stats AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs WHERE len(w) > 0),
+damping AS (SELECT doc_id, 50 + (50 * len(w) * n_docs) // n_terms AS m FROM docs, stats WHERE len(w) > 0),
+items AS (SELECT DISTINCT item_id,
+  unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{TERM}')) AS t FROM benchmark),
+each AS (SELECT doc_id, unnest(w) AS t FROM docs),
+tfs AS (SELECT doc_id, t, count(*) AS tf FROM each SEMI JOIN items USING (t) GROUP BY doc_id, t),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, stats GROUP BY t),
+scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM items JOIN tfs USING (t) JOIN weights USING (t) JOIN damping USING (doc_id) GROUP BY item_id, doc_id),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranks WHERE rank <= 50
+"""
+
+
+def _lloyd(rounds: int) -> str:
+    """Assignments ``a1..`` and codebooks ``c1..`` of some rounds, and the last assignment."""
+    distance = "list_sum(list_transform(list_zip(a.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    out = []
+    for k in range(1, rounds + 2):
+        out.append(f"""a{k} AS MATERIALIZED (SELECT a.vec_id, a.label, a.p, any_value(a.x) AS x,
+          min({{'d': coalesce({distance}, 0), 'e': c.e}}) AS best
+          FROM parts a JOIN c{k - 1} c ON a.p = c.p GROUP BY a.vec_id, a.label, a.p)""")
+        if k <= rounds:
+            out.append(f"""s{k} AS (SELECT p, best.e AS e, i, sum(x[i]) AS s, count(*) AS n
+          FROM a{k}, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY p, best.e, i),
+        m{k} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x
+          FROM s{k} GROUP BY p, e),
+        c{k} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.x, c.x) AS x
+          FROM c{k - 1} c LEFT JOIN m{k} m ON c.p = m.p AND c.e = m.e)""")
+    return ",\n".join(out)
+
+
+OP12 = f"""
+WITH kept AS (SELECT vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, label, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS x
+  FROM kept, unnest(range(4)) AS t(p)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 256),
+c0 AS MATERIALIZED (SELECT p, e, x FROM parts JOIN first USING (vec_id)),
+{_lloyd(4)},
+codes AS (SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code,
+    CAST(sum(best.d) AS BIGINT) AS error FROM a5 GROUP BY vec_id, label),
+labels AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM codes GROUP BY label),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c4)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM codes JOIN labels ON codes.label IS NOT DISTINCT FROM labels.label, books
+"""
+
 ORACLES = {
     "op4_ngram_join": OP4,
     "op7_decontamination": OP7,
     "op9_line_dedup": OP9,
+    "op11_lexical_search": OP11,
+    "op12_vector_codes": OP12,
 }

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: each runs its operator over its whole table."""
+"""Registered queries of the operators: each runs its operator over its whole table."""
 
 from __future__ import annotations
 
@@ -10,16 +10,20 @@ from merchlens.llm import (
     chat_quotes,
     decontaminate,
     html_extract,
+    lexical_search,
     line_dedup,
     ngram_join,
     packing,
     pii,
     quality_rules,
     sharding,
+    token_files,
+    vector_codes,
     warc_revisit,
 )
 from merchlens.llm.oracles import ORACLES as SQL
 from merchlens.llm.tables import corpus, text_or_empty
+from merchlens.session import scratch_path
 
 N_SHARDS = 40
 
@@ -113,6 +117,29 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(docs))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(corpus(spark, sf_dir, "documents"))
+    return lexical_search.best_documents(index, corpus(spark, sf_dir, "benchmark"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codebooks, coded = vector_codes.compressed(corpus(spark, sf_dir, "embeddings"))
+    return vector_codes.code_digest(codebooks, coded)
+
+
+def op13_token_files(
+    spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None
+) -> DataFrame:
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(corpus(spark, sf_dir, "documents"), path, tokenizer_path)
+    read = token_files.read_token_files(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_extraction": op2_html_extraction,
@@ -124,6 +151,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_pii": op10_pii,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_token_files": op13_token_files,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = dict(SQL)
