@@ -2,8 +2,10 @@
 
 Lines are parsed into quote levels by their leading marks; quoted passages, joined over
 their line breaks, and as a second chance single lines are normalised, hashed and joined,
-as of their own turn, to the latest earlier message of the conversation that wrote them. A message answers the message it quotes most, else the one
-before it. Everything is DataFrame functions.
+as of their own turn, to the latest earlier message of the conversation that wrote them. A
+message answers the message it quotes most, else the one before it. From the answers each
+conversation is put in reply order: every message is followed by its answers, and theirs,
+before its next neighbour. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from merchlens.llm.asof import latest_before
 from merchlens.llm.tables import stored
 
 MARKS = r"^(?:[\x20\t]*>)+[\x20\t]?"
+#: A line that names the writer of the quote below it.
+ATTRIBUTION = r"(?i)^\s*\S.{0,200}\b(?:wrote|writes|said|schrieb|escribió|a écrit)\s*:\s*$"
 #: Messages in one row of a formatted conversation.
 PART = 64
 
@@ -32,8 +36,9 @@ def parsed_lines(messages: DataFrame) -> DataFrame:
     ``level`` counts the leading ``>`` marks; ``hash`` is null for blank lines.
     ``passage`` is the hash of the line's passage, null for blank lines: consecutive
     lines of one level without a blank one, joined, so that it does not depend on where
-    lines were wrapped. ``first`` marks
-    the passage's first line, ``start`` is its number.
+    lines were wrapped. ``first`` marks the passage's first line, ``start`` is its
+    number. A line that names the writer of the quote right below it counts as a blank
+    line of that quote.
     """
     key = ["conv_id", "turn", "message"]
     # Each generator keeps what it makes from being worked out once per line again.
@@ -50,6 +55,14 @@ def parsed_lines(messages: DataFrame) -> DataFrame:
     )
     rows = rows.select(*key, F.explode(F.array(split)).alias("lines"))
 
+    def attributed(x: Column, i: Column) -> Column:
+        below = F.get("lines", i + 1)["level"]
+        names = (below > x["level"]) & x["line"].rlike(ATTRIBUTION)
+        blank = F.struct(below.alias("level"), F.lit("").alias("line"), F.lit("").alias("norm"))
+        return F.when(names, blank).otherwise(x)
+
+    rows = rows.select(*key, F.explode(F.array(F.transform("lines", attributed))).alias("lines"))
+
     def begins(i: Column) -> Column:
         now, before = F.get("lines", i), F.get("lines", i - 1)
         same = (now["level"] == before["level"]) & (now["norm"] != "") & (before["norm"] != "")
@@ -88,8 +101,10 @@ def _messages(chats: DataFrame) -> DataFrame:
 
 
 def linked_messages(chats: DataFrame) -> DataFrame:
-    """One row per message: ``conv_id, turn, role, body, n_quoted, n_matched, reply_to``.
+    """One row per message: ``conv_id, turn, message, role, body, n_quoted, n_matched, reply_to,
+    reply_message``.
 
+    ``message`` tells messages of one turn apart, ``reply_message`` those of ``reply_to``.
     ``body`` is the text without quoted lines and without blank lines at its ends.
     ``reply_to`` is the turn of the earlier message that holds most of the lines quoted
     at the lowest level (the later one of equals), else of the latest earlier message;
@@ -98,7 +113,7 @@ def linked_messages(chats: DataFrame) -> DataFrame:
     message. Null texts are empty; messages without conversation or turn answer nothing.
     """
     messages = _messages(chats)
-    lines = parsed_lines(messages)
+    lines = stored(parsed_lines(messages), "chat-lines")
     quotes = lines.where("level > 0 AND hash IS NOT NULL")
     own = lines.where("level = 0 AND hash IS NOT NULL")
     nothing = F.lit(None).cast("struct<turn:bigint,message:bigint>")
@@ -144,15 +159,17 @@ def linked_messages(chats: DataFrame) -> DataFrame:
     out = messages.select(*key, "role")
     for part in (before, bodies, totals, best):
         out = _left(out, part, key)
-    quoted = F.col("best.found.turn")
+    answered = F.coalesce("best.found", "previous")
     return out.select(
         "conv_id",
         "turn",
+        "message",
         "role",
         F.coalesce("body", F.lit("")).alias("body"),
         F.coalesce("n_quoted", F.lit(0)).cast("long").alias("n_quoted"),
         F.coalesce("n_matched", F.lit(0)).cast("long").alias("n_matched"),
-        F.coalesce(quoted, F.col("previous.turn")).alias("reply_to"),
+        answered["turn"].alias("reply_to"),
+        answered["message"].alias("reply_message"),
     )
 
 
@@ -173,12 +190,96 @@ def _bodies(lines: DataFrame) -> DataFrame:
     return lines.groupBy("conv_id", "turn", "message").agg(body.alias("body"))
 
 
-def conversations(linked: DataFrame, part: int = PART) -> DataFrame:
-    """``conv_id, part, messages``: messages in reply order, in rows of ``part`` turns.
+def placed(linked: DataFrame) -> DataFrame:
+    """``linked`` with ``depth`` and ``position`` of each message in its conversation.
 
-    An answer never comes before what it answers, as that has the smaller turn.
+    A message that answers nothing has depth 0, an answer one more than what it answers.
+    ``position`` counts from 0 in reply order: a message, then its answers from the
+    earliest turn on, each followed by its own. Messages without conversation or turn have
+    depth 0 and no position.
+
+    The order is a walk that enters and leaves every message. Each step knows the next
+    one, and steps learn in rounds of doubled distance how much of the walk is left, so no
+    task holds a conversation and a chain of n answers takes about log n rounds.
     """
-    one = F.struct("turn", "role", "body", "reply_to")
-    rows = linked.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    rows = rows.groupBy("conv_id", F.floor(F.col("turn") / part).alias("part"))
-    return rows.agg(F.array_sort(F.collect_list(one)).alias("messages"))
+    named = linked.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+    keys = ["conv_id", "turn", "message"]
+    # Numbers that rise with turn and message, so they order a message's answers.
+    numbered = named.select(*keys, "reply_to", "reply_message").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    numbered = stored(numbered.withColumn("no", F.monotonically_increasing_id()), "chat-numbers")
+    parents = numbered.select(
+        "conv_id", F.col("turn").alias("reply_to"), F.col("message").alias("reply_message"), F.col("no").alias("up")
+    )
+    nodes = numbered.join(parents, ["conv_id", "reply_to", "reply_message"], "left").select(
+        "conv_id", "no", F.coalesce("up", F.lit(-1)).alias("up")
+    )
+    nodes = stored(nodes, "chat-nodes")
+    # The neighbour after a message is the nearest greater number below the same parent.
+    sides = nodes.select("conv_id", "no", "up", (-F.col("no")).alias("at"))
+    after = latest_before(
+        sides.withColumn("after", F.struct("at")), ["conv_id", "up"], "at", "after"
+    ).select("no", "up", (-F.col("after.at")).alias("next"))
+    first = nodes.where("up >= 0").groupBy("up").agg(F.min("no").alias("child"))
+    first = first.withColumnRenamed("up", "no")
+    walk = after.join(first, "no", "left")
+    enter, leave = 2 * F.col("no"), 2 * F.col("no") + 1
+    up = F.when(F.col("up") >= 0, 2 * F.col("up") + 1)
+    steps = walk.select(
+        F.explode(
+            F.array(
+                F.struct(
+                    enter.alias("step"), F.coalesce(2 * F.col("child"), leave).alias("next"),
+                    F.lit(1).cast("long").alias("left"), F.lit(1).cast("long").alias("deep"),
+                ),
+                F.struct(
+                    leave.alias("step"), F.coalesce(2 * F.col("next"), up).alias("next"),
+                    F.lit(0).cast("long").alias("left"), F.lit(-1).cast("long").alias("deep"),
+                ),
+            )
+        ).alias("s")
+    ).select("s.*")
+    steps = stored(steps, "chat-steps")
+    while steps.where("next IS NOT NULL").limit(1).count():
+        on = steps.select(
+            F.col("step").alias("next"), F.col("next").alias("then"),
+            F.col("left").alias("more"), F.col("deep").alias("deeper"),
+        )
+        done = steps.where("next IS NULL")
+        going = steps.where("next IS NOT NULL").join(on, "next").select(
+            "step", F.col("then").alias("next"), (F.col("left") + F.col("more")).alias("left"),
+            (F.col("deep") + F.col("deeper")).alias("deep"),
+        )
+        steps = stored(done.union(going), "chat-steps")
+    places = steps.where("step % 2 = 0").select(
+        F.floor(F.col("step") / 2).alias("no"), (-F.col("deep")).alias("depth"), "left"
+    )
+    sizes = numbered.groupBy("conv_id").agg(F.count("*").alias("n"))
+    places = numbered.select(*keys, "no").join(places, "no").join(sizes, "conv_id").select(
+        *keys, "depth", (F.col("n") - F.col("left")).alias("position")
+    )
+    out = _left(linked, places, keys)
+    return out.withColumn("depth", F.coalesce("depth", F.lit(0).cast("long")))
+
+
+def conversations(chats: DataFrame, part: int = PART) -> DataFrame:
+    """``conv_id, part, messages``: a conversation's messages in reply order, without quotes.
+
+    Rows hold ``part`` messages (``turn, role, body, depth, reply_to``) each, so a long
+    conversation is many rows. Messages without conversation or turn are in none.
+    """
+    rows = placed(linked_messages(chats)).where("position IS NOT NULL")
+    one = F.struct("position", "turn", "role", "body", "depth", "reply_to")
+    rows = rows.groupBy("conv_id", F.floor(F.col("position") / part).alias("part"))
+    ordered = F.transform(F.array_sort(F.collect_list(one)), lambda m: m.dropFields("position"))
+    return rows.agg(ordered.alias("messages"))
+
+
+def with_quotes(chats: DataFrame) -> DataFrame:
+    """The messages, every third of which quotes the whole message two turns before it."""
+    earlier = chats.select(
+        F.col("conv_id").alias("c"), (F.col("turn") + 2).alias("t"), F.col("text").alias("quoted")
+    ).where("t % 3 = 2").groupBy("c", "t").agg(F.max("quoted").alias("quoted"))
+    joined = chats.join(earlier, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t")), "left")
+    quote = F.concat(F.lit("> "), F.regexp_replace("quoted", "\n", "\n> "), F.lit("\n"), F.coalesce("text", F.lit("")))
+    text = F.when(F.col("quoted").isNotNull(), quote).otherwise(F.col("text"))
+    return joined.select("conv_id", "turn", "role", text.alias("text"))

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.tables import small, stored
+from merchlens.llm.tables import set_aside, small, stored
 from merchlens.llm.words import ALPHANUMERIC, Words, bytes_and_offsets, text_blocks
 
 WIDTH = 13
@@ -382,4 +382,5 @@ def decontaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Dat
     """
     found = judged(phrase_matches(build_index(docs), items, width))
     bad = stored(found.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(small(bad, bad.count()), "doc_id", "left_anti").select(docs.columns)
+    own, back = set_aside(docs, "doc_id", "text")
+    return own.join(small(bad, bad.count()), "doc_id", "left_anti").select(*back.values())

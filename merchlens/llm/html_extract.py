@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchlens.llm.tables import without
+from merchlens.llm.tables import set_aside, without
 
 # Element names by the role HTML gives them, and words that sites use in
 # class and id names for what is not the article.
@@ -30,6 +30,7 @@ NEVER = frozenset(
     "object svg math canvas audio video select option textarea button datalist".split()
 )
 PAGE_HEADER = "header"
+FORM = "form"
 RAW = frozenset({"script", "style", "textarea", "title"})
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -136,14 +137,15 @@ def _exempt(elements: list[Element], page: list[Token]) -> None:
     """Take the hints off elements that hold the article, or three quarters of the words without one.
 
     The article is the ``article`` or ``main`` with most words, if it has a tenth of the
-    page's. Words of elements that are outside by their own name do not count. An article
-    inside another one (a reader's comment) keeps its hints.
+    page's. Words of elements that are outside by their own name do not count, but for
+    forms: some sites put a form around the whole page, which then is none of the forms
+    that stand outside. An article inside another one (a reader's comment) keeps its hints.
     """
-    if not any(e.hint for e in elements):
+    if not any(e.hint or e.name == FORM for e in elements):
         return
     depth = [0] * (len(page) + 1)
     for e in elements:
-        if e.never:
+        if e.never and e.name != FORM:
             depth[e.first] += 1
             depth[e.last] -= 1
     sums, never = [0], 0
@@ -166,6 +168,7 @@ def _exempt(elements: list[Element], page: list[Token]) -> None:
             holds = 4 * (sums[e.last] - sums[e.first]) > 3 * sums[-1]
         if holds:
             e.hint = False
+            e.never &= e.name != FORM
 
 
 def tokens(html: str, known: frozenset[str] = frozenset()) -> list[Token]:
@@ -383,7 +386,7 @@ def main_texts(pages: DataFrame, weights: Weights | None = None) -> DataFrame:
     page, or one without words outside menus and the like, has an empty text. Repeated
     rows are treated alike; a ``text`` column of ``pages`` is replaced.
     """
-    pages = without(pages, "text")
+    pages, back = set_aside(without(pages, "text"), "page_id", "html")
     if weights is None:
         weights = learn_weights(pages)
     sent = weights
@@ -396,4 +399,4 @@ def main_texts(pages: DataFrame, weights: Weights | None = None) -> DataFrame:
             )
 
     schema = T.StructType([*pages.schema.fields, T.StructField("text", T.StringType())])
-    return pages.mapInArrow(extract, schema)
+    return pages.mapInArrow(extract, schema).select(*back.values(), "text")

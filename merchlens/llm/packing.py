@@ -9,8 +9,6 @@ piece then looks up its place by its length and its rank within that length.
 
 from __future__ import annotations
 
-import sys
-import types
 import unicodedata
 from bisect import bisect_left
 from collections import Counter
@@ -21,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlens.llm.tables import stored
-from merchlens.llm.words import span_hashes, text_blocks
+from merchlens.llm.tables import set_aside, stored
+from merchlens.llm.words import process_cache, span_hashes, text_blocks
 
 CAPACITY = 1024
 END_ID = 2
@@ -35,12 +33,6 @@ SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 # ---------------------------------------------------------------- token ids
 
 
-def _kept() -> dict:
-    """What this Python process keeps between tasks."""
-    name = "_merchlens_kept"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
-
-
 def char_class(code: int) -> int:
     """White space, letter, number or other, as byte-level BPE splits text.
 
@@ -129,7 +121,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        kept = _kept()
+        kept = process_cache("_merchlens_tokens")
         if kept.get("path") != path:
             kept.clear()
             tokenizer = Tokenizer.from_file(path)
@@ -536,14 +528,12 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, rounds: int | None = Non
     ``capacity``. No pieces give no sequences. What the driver holds is one number per
     length and the plan made from it.
     """
-    keyed = pieces.drop("sequence_id", "offset").withColumn(
-        "piece_key", F.monotonically_increasing_id()
-    )
-    keyed = stored(keyed, "pieces")
+    own, back = set_aside(pieces.drop("sequence_id", "offset"), "length")
+    keyed = stored(own.withColumn("piece_key", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["n"] for r in keyed.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if not histogram:
-        return keyed.drop("piece_key").select(
-            "*", F.lit(0).cast("bigint").alias("sequence_id"), F.lit(0).alias("offset")
+        return keyed.select(
+            *back.values(), F.lit(0).cast("bigint").alias("sequence_id"), F.lit(0).alias("offset")
         )
     table = place_table(packing_plan(histogram, capacity, rounds))
     spark = pieces.sparkSession
@@ -564,4 +554,4 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, rounds: int | None = Non
                 names=[*rest.schema.names, "sequence_id", "offset"],
             )
 
-    return rows.mapInArrow(place, schema)
+    return rows.mapInArrow(place, schema).select(*back.values(), "sequence_id", "offset")

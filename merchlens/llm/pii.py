@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchlens.llm.tables import set_aside, without
+
 # Kinds in the order that breaks ties, their patterns, context words.
 # A match may start only where the kind's own run starts or the last match ended, which
 # any leftmost match does; so a long run is scanned once. Possessive repeats never give
@@ -177,8 +179,8 @@ def personal_data(docs: DataFrame, least_score: float = 0.5, window: int = 40) -
     none = F.array().cast(
         "array<struct<start:int,rank:int,end:int,kind:string,score:double,confirmed:boolean>>"
     )
-    columns = docs.columns
-    work = docs.select("*", text.alias("__text"))
+    own, back = set_aside(without(docs, "personal_data"), "text")
+    work = own.select("*", text.alias("__text"))
     work = work.select(
         "*", *[_candidates(F.col("__text"), k).alias(f"__{k.name}") for k in KINDS]
     )
@@ -198,9 +200,7 @@ def personal_data(docs: DataFrame, least_score: float = 0.5, window: int = 40) -
             spans = F.filter(spans, lambda s: s["score"] >= least_score)
         parts.append(F.when(F.size(matches) > 0, spans).otherwise(none))
     found = F.sort_array(F.concat(*parts))
-    return work.select(
-        *[F.col(f"`{c}`") for c in columns if c != "personal_data"], found.alias("personal_data")
-    )
+    return work.select(*back.values(), found.alias("personal_data"))
 
 
 def masked(docs: DataFrame) -> DataFrame:

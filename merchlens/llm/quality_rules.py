@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.tables import stored, without
+from merchlens.llm.tables import quoted, set_aside, stored, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -55,7 +55,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     """
     names = [*STATISTICS, *FEATURES]
     docs = without(docs, *names)
-    keep = [F.col(f"`{c}`") for c in docs.columns]
+    keep = [F.col(quoted(c)) for c in docs.columns]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = docs.select(*keep, text.alias("__text"))
     found = found.select(
@@ -296,4 +296,5 @@ def judged(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> Dat
 
 def accepted(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that are kept."""
-    return judged(docs, labels, limits).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own, back = set_aside(docs, "doc_id", "text")
+    return judged(own, labels, limits).where("kept").select(*back.values())

@@ -40,7 +40,10 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_quotes.linked_messages(corpus(spark, sf_dir, "conversations"))
+    """The table's messages hold no quotes, so every third is made to quote an earlier one."""
+    quoting = chat_quotes.with_quotes(corpus(spark, sf_dir, "conversations"))
+    placed = chat_quotes.placed(chat_quotes.linked_messages(quoting))
+    return placed.drop("message", "reply_message")
 
 
 def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +83,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(
         decontaminate.phrase_matches(index, corpus(spark, sf_dir, "benchmark"))
     )
-    items = F.sort_array(F.array_distinct(F.transform("item_ids", lambda i: i.cast("string"))))
+    # Null ids have no text form and count in neither column.
+    items = F.sort_array(F.array_compact(F.array_distinct(F.transform("item_ids", lambda i: i.cast("string")))))
     return found.select(
         "doc_id",
         "n_words",

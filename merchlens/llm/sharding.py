@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlens.llm.tables import small, stored, text_or_empty, without
+from merchlens.llm.tables import set_aside, small, stored, text_or_empty, without
 
 
 def fisher_yates(n: int, seed: int) -> np.ndarray:
@@ -41,8 +41,9 @@ def shuffled(
     ``position`` numbers all records from 0 without a gap in one random order. Records
     are scattered by their place in the input, not by their content, so copies of a
     text, or whole rows that repeat, spread evenly and any bucket has close to its share
-    of the bytes. Columns of ``docs`` with the new columns' names are replaced. One record larger than a bucket makes its bucket larger by itself. An
-    empty table gives an empty table; null texts count as empty.
+    of the bytes. Columns of ``docs`` with the new columns' names are replaced. One record
+    larger than a bucket makes its bucket larger by itself. An empty table gives an empty
+    table; null texts count as empty.
     """
     docs = without(docs, "bucket", "place", "position", "__at")
     size = F.octet_length(text_or_empty()).cast("long") + 16
@@ -66,9 +67,10 @@ def shuffled(
     # One row per bucket: the first position of each, as a running sum.
     counts = dealt.groupBy("bucket").agg(F.count("*").alias("n"))
     firsts = _running(counts, buckets)
+    firsts = firsts.withColumnRenamed("first", "__first")
     return dealt.join(small(firsts, buckets), "bucket").withColumn(
-        "position", F.col("first") + F.col("place")
-    ).drop("first")
+        "position", F.col("__first") + F.col("place")
+    ).drop("__first")
 
 
 def _running(counts: DataFrame, buckets: int, width: int = 4096) -> DataFrame:
@@ -88,14 +90,15 @@ def shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, **sizes) -> Data
     """``docs`` with ``shard`` and ``slot``: shard counts differ by at most one row.
 
     The records' random positions are dealt to the shards in turn, so slots are gapless
-    from 0 in each shard, and a shard is in random order itself.
+    from 0 in each shard, and a shard is in random order itself. Columns of ``docs`` with
+    these two names are replaced; all others stay.
     """
+    own, back = set_aside(without(docs, "shard", "slot"), "text")
     position = F.col("position")
-    return (
-        shuffled(without(docs, "shard", "slot"), seed, **sizes)
-        .withColumn("shard", (position % n_shards).cast("int"))
-        .withColumn("slot", F.floor(position / n_shards).cast("long"))
-        .drop("bucket", "place", "position")
+    return shuffled(own, seed, **sizes).select(
+        *back.values(),
+        (position % n_shards).cast("int").alias("shard"),
+        F.floor(position / n_shards).cast("long").alias("slot"),
     )
 
 

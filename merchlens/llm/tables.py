@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlens.session import scratch_path
 
@@ -28,13 +29,40 @@ def without(docs: DataFrame, *names: str) -> DataFrame:
     return docs.drop(*names)
 
 
-#: Rows of a narrow table that is sent to every executor; larger ones are joined by key.
-SMALL_ROWS = 1 << 20
+#: Bytes of a table that is sent to every executor; larger ones are joined by key.
+SMALL_BYTES = 8 << 20
+
+
+def row_bytes(kind: T.DataType) -> int:
+    """About what a value of a type takes in a row, given short texts and lists."""
+    if isinstance(kind, T.StructType):
+        return 8 + sum(row_bytes(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return 16 + 8 * row_bytes(kind.elementType)
+    return 32 if isinstance(kind, (T.StringType, T.BinaryType)) else 8
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
-    """A hint to broadcast, given only where the counted rows are few."""
-    return F.broadcast(df) if rows <= SMALL_ROWS else df
+    """A hint to broadcast, given only where the counted rows are few bytes."""
+    return F.broadcast(df) if rows * (16 + row_bytes(df.schema)) <= SMALL_BYTES else df
+
+
+def set_aside(df: DataFrame, *keep: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with all columns but those of ``keep`` under numbers, and every old column.
+
+    An operator can then use any name of its own; the columns (by their old names, in the
+    old order) select what it was given, whatever the names hold.
+    """
+    numbered, back = [], {}
+    for i, name in enumerate(df.columns):
+        own = name if name in keep else f"__own_{i}"
+        numbered.append(F.col(quoted(name)).alias(own))
+        back[name] = F.col(own).alias(name)
+    return df.select(*numbered), back
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def text_or_empty(column: str = "text") -> Column:

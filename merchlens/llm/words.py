@@ -8,6 +8,8 @@ character outside ASCII never ends a word.
 from __future__ import annotations
 
 import hashlib
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +36,29 @@ ALPHANUMERIC = byte_table(
 )
 
 
+def process_cache(name: str) -> dict:
+    """What this Python process keeps between tasks under a name.
+
+    Functions travel to tasks by value, since executors need no copy of the package. So a
+    variable of a module begins anew in every task; an entry among the process's modules
+    stays.
+    """
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    lower = np.arange(256, dtype=np.uint8)
-    lower[65:91] += 32
-    random = np.random.PCG64(20240229).random_raw(LONG_WORD * 256)
-    return lower, np.asarray(random, dtype=np.uint64)
+    kept = process_cache("_merchlens_words")
+    if "lower" not in kept:
+        lower = np.arange(256, dtype=np.uint8)
+        lower[65:91] += 32
+        random = np.random.PCG64(20240229).random_raw(LONG_WORD * 256)
+        kept.update(lower=lower, random=np.asarray(random, dtype=np.uint64))
+    return kept["lower"], kept["random"]
+
+
+def stable_order(group: np.ndarray, groups: int) -> np.ndarray:
+    """Places in the order of their groups, equal ones as they stand."""
+    return np.argsort(group.astype(np.uint16) if groups <= 1 << 16 else group, kind="stable")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -179,7 +199,7 @@ def distinct_per_text(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarra
         return values, counts
     text = np.repeat(np.arange(len(counts)), counts)
     order = np.argsort(values)
-    order = order[np.argsort(text[order], kind="stable")]
+    order = order[stable_order(text[order], len(counts))]
     values, text = values[order], text[order]
     new = np.ones(len(values), bool)
     new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])

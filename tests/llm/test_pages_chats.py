@@ -100,6 +100,14 @@ def test_long_boxes_cut_nothing_off(wrap, box):
         assert main_text(page, weights) == f"{a} {b}"
 
 
+@pytest.mark.parametrize("inside", ["<div>{}</div>", "<main>{}</main>", "<div><article>{}</article></div>"])
+def test_form_around_the_page(inside):
+    body = "<p>" + " ".join(f"w{k}" for k in range(300)) + "</p>"
+    small = "<form class='newsletter'><p>Your mail address here</p></form><nav>Menu one two</nav>"
+    page = f"<body><form id='f'>{small}{inside.format(body)}<select><option>one</option></select></form></body>"
+    assert main_text(page, Weights()) == " ".join(f"w{k}" for k in range(300))
+
+
 def test_pages_in_named_wrappers_are_learned_from():
     assert html_extract.count_labels(f'<body class="no-sidebar"><article><p>{BODY}</p></article>')["word"] == [11, 0]
 
@@ -150,8 +158,9 @@ def test_links(spark):
     assert got[1, 5] == ("ok", 1, 0, 4)
     assert got[2, 7] == ("Other conversation.", 1, 0, None)
     assert got[3, 0] == ("", 0, 0, None)
-    whole = chat_quotes.conversations(linked, part=4).where("conv_id = 1").orderBy("part").collect()
-    assert [[m["turn"] for m in r["messages"]] for r in whole] == [[0, 1, 2, 3], [4, 5]]
+    whole = chat_quotes.conversations(rows, part=4).where("conv_id = 1").orderBy("part").collect()
+    assert [[m["turn"] for m in r["messages"]] for r in whole] == [[0, 1, 4, 5], [2, 3]]
+    assert [m["depth"] for r in whole for m in r["messages"]] == [0, 1, 2, 3, 1, 2]
     assert chat_quotes.linked_messages(rows.where("false")).count() == 0
 
 
@@ -172,6 +181,71 @@ def test_quotes_wrapped_anew(spark):
     assert got[5] == ("Yes", 2, 2, 0)
 
 
+def reply_order(messages):
+    """{(conversation, turn, message): (depth, position)} by a walk from each root."""
+    below = {}
+    for m in messages:
+        below.setdefault((m["conv_id"], m["reply_to"], m["reply_message"]), []).append(m)
+
+    def in_order(key):
+        return sorted(below.get(key, []), key=lambda m: (m["turn"], m["message"]), reverse=True)
+
+    out = {}
+    for conv in {m["conv_id"] for m in messages}:
+        position = 0
+        stack = [(m, 0) for m in in_order((conv, None, None))]
+        while stack:
+            m, depth = stack.pop()
+            key = (conv, m["turn"], m["message"])
+            out[key] = (depth, position)
+            position += 1
+            stack += [(a, depth + 1) for a in in_order(key)]
+    return out
+
+
+LINKED = "conv_id long, turn long, message long, role string, body string, reply_to long, reply_message long"
+
+
+def test_reply_order(spark):
+    rng = random.Random(4)
+    rows = []
+    for conv, n in ((1, 300), (2, 1), (3, 90), (4, 40)):
+        for turn in range(n):
+            to = None
+            if turn and conv == 3:  # one chain
+                to = turn - 1
+            elif turn and conv == 4:  # all answer the first
+                to = 0
+            elif turn and rng.random() < 0.97:
+                to = rng.randrange(max(0, turn - 30), turn)
+            rows.append((conv, turn, 10 * turn + conv, "user", "x", to, None if to is None else 10 * to + conv))
+    rows += [(1, 7, 5, "user", "same turn", 3, 31), (1, 9, 2, "user", "below it", 7, 5)]
+    df = spark.createDataFrame(rows, LINKED).repartition(4)
+    got = chat_quotes.placed(df)
+    assert got.columns == [*df.columns, "depth", "position"]
+    found = {(r["conv_id"], r["turn"], r["message"]): (r["depth"], r["position"]) for r in got.collect()}
+    assert len(found) == len(rows) and found == reply_order([r.asDict() for r in df.collect()])
+    odd = spark.createDataFrame([(None, 1, 3, "user", "x", None, None), (1, None, 4, "user", "y", None, None)], LINKED)
+    assert {(r["depth"], r["position"]) for r in chat_quotes.placed(odd).collect()} == {(0, None)}
+    assert chat_quotes.placed(df.where("false")).count() == 0
+    assert chat_quotes.conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_attributions_and_made_quotes(spark):
+    rows = [
+        (1, 0, "user", "First words\nof two lines"),
+        (1, 1, "assistant", "Answer"),
+        (1, 2, "user", "On Monday, Ann wrote:\n> First words of two lines\nI agree: yes.\nShe wrote:\nthat"),
+        (1, 3, "assistant", None),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: r for r in chat_quotes.linked_messages(df).collect()}
+    assert got[2]["body"] == "I agree: yes.\nShe wrote:\nthat" and got[2]["reply_to"] == 0
+    quoting = {r["turn"]: r["text"] for r in chat_quotes.with_quotes(df).collect()}
+    assert quoting[2].startswith("> First words\n> of two lines\nOn Monday") and quoting[3] is None
+    assert {t: quoting[t] for t in (0, 1)} == {r[1]: r[3] for r in rows[:2]}
+
+
 # ---------------------------------------------------------------- revisits
 
 
