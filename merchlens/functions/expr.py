@@ -65,9 +65,27 @@ def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 
 
+def largest_entry(a: Column) -> Column:
+    """Greatest absolute entry; null or NaN where there is no finite one."""
+    return F.array_max(F.transform(a, lambda x: F.abs(x.cast("double"))))
+
+
+def in_range(a: Column) -> Column:
+    """A vector in the same direction whose squares neither overflow nor vanish.
+
+    Vectors with entries of usual size stay as they are.
+    """
+    top = largest_entry(a)
+    extreme = ((top > 1e100) | ((top > 0) & (top < 1e-100))) & (top < float("inf"))
+    return F.when(extreme, F.transform(a, lambda x: x.cast("double") / top)).otherwise(
+        F.transform(a, lambda x: x.cast("double"))
+    )
+
+
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two vectors; null where either has no length."""
-    return F.try_divide(dot(a, b), norm(a) * norm(b))
+    """Cosine of two vectors; null where either has no length or their lengths differ."""
+    a, b = in_range(a), in_range(b)
+    return F.when(F.size(a) == F.size(b), F.try_divide(dot(a, b), norm(a) * norm(b)))
 
 
 def trim_payload(value: Column) -> Column:

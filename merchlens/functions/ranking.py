@@ -18,16 +18,17 @@ def top_per_key(df: DataFrame, keys, order, k: int, rank: str | None = None) ->
 
 
 def left_join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on an integer key whose nulls may be many.
+    """Left join on a key whose nulls may be many.
 
-    Null keys match nothing but would all meet in one partition; here each row with a
-    null key gets a substitute outside the integer range, taken from its place.
+    Null keys match nothing but would all meet in one partition, so rows with a null key
+    pass by the join. No row is sent anywhere by its place in the input: a task that is
+    repeated gives the same rows to the same tasks.
     """
-    place = F.monotonically_increasing_id()
-    substitute = F.lit(1 << 32) + F.pmod(F.xxhash64(place), F.lit(1 << 20))
-    keyed = left.withColumn("_key", F.coalesce(F.col(key).cast("bigint"), substitute))
-    renamed = right.withColumn("_key", F.col(key).cast("bigint")).drop(key)
-    return keyed.join(renamed, "_key", "left").drop("_key")
+    added = [f for f in right.schema if f.name != key]
+    named = left.where(F.col(key).isNotNull()).join(right, key, "left")
+    columns = [*left.columns, *(f.name for f in added)]
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in added]
+    return named.select(*columns).union(left.where(F.col(key).isNull()).select(*left.columns, *nulls))
 
 
 def pack_recs(

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens import constants, schemas
-from merchlens.functions.expr import dot
+from merchlens.functions.expr import dot, norm
 from merchlens.functions.ranking import pack_recs, top_per_key
-from merchlens.session import shared_dir
+from merchlens.operators.similarity import of_one_size
+from merchlens.session import read_stored, shared_dir
 
 USER_BLOCK = 65_536
 ITEM_BLOCK = 65_536
@@ -96,52 +97,122 @@ def predicted_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame) -> Dat
     return both.select("user_id", "product_id", dot(F.col("_u"), F.col("_p")).alias("prediction"))
 
 
-def best_products(users: DataFrame, items: DataFrame, rated: DataFrame | None = None) -> DataFrame:
+def best_products(
+    users: DataFrame, items: DataFrame, rated: DataFrame | None = None, item_block: int = ITEM_BLOCK
+) -> DataFrame:
     """Positive predictions ``(user_id, product_id, score)`` that can be a user's best.
 
-    ``users`` has ``user_id, features, depth``. Users and products are cut into blocks,
-    every pair of blocks is one matrix product, and of each product a user keeps the
-    ``depth`` best of the block. Blocks are wide, so few rows per user leave the pairs.
+    ``users`` has ``user_id, features, depth``. Products are cut into blocks of falling
+    vector length. Every user meets the first block, one matrix product per block of
+    users, and keeps the ``depth`` best. A prediction is at most the product of the two
+    lengths, so a user then meets only those further blocks whose longest vector can still
+    reach the least of the kept ones; users that reach equally far share blocks.
     With ``rated`` (distinct ``user_id, product_id``) a user's depth grows in each block
-    by the rated products of that block.
+    by the rated products of that block. Vectors of another size than most products' have
+    no predictions.
     """
     spark = users.sparkSession
+    items = of_one_size(items)
+    n_items, n_users = items.count(), users.count()
+    size = items.select(F.size("features").alias("n")).first()
+    users = users.where(F.size("features") == (size["n"] if size else 0))
     cores = spark.sparkContext.defaultParallelism
-    item_blocks = max(1, math.ceil(items.count() / ITEM_BLOCK))
-    n_users = users.count()
     user_blocks = max(1, math.ceil(n_users / USER_BLOCK), min(2 * cores, n_users // 512))
-    partitions = min(item_blocks * user_blocks, 8 * cores)
-
-    def block(key, n):
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    def every(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = users.select(
-        block("user_id", user_blocks).alias("user_block"),
-        every(item_blocks).alias("item_block"),
-        "user_id",
-        "features",
-        "depth",
+    if n_items <= item_block:
+        items = items.withColumn("item_block", F.lit(0))
+        return _first_block(users, items, rated, user_blocks, cores)
+    items, longest = norm_blocks(items, n_items, item_block)
+    if rated is not None:
+        rated = rated.join(items.select("product_id", "item_block"), "product_id")
+        rated = rated.groupBy("user_id", "item_block").agg(F.count("*").alias("_r"))
+        rated = read_stored(rated, "rated-blocks")
+    first = _first_block(users, items, rated, user_blocks, cores)
+    first = read_stored(first, "first-block")
+    # Lost vectors (null, NaN) reach nothing and are kept out of the first block's answer too.
+    reached = reach(users, first, rated, longest)
+    far = read_stored(reached.where("reach > 0"), "reach")
+    classes = {r["reach"]: r["n"] for r in far.groupBy("reach").agg(F.count("*").alias("n")).collect()}
+    if not classes:
+        return first
+    per_class = [max(1, math.ceil(classes.get(r, 0) / USER_BLOCK)) for r in range(len(longest))]
+    salt = F.pmod(F.xxhash64("user_id"), F.get(F.lit(per_class), F.col("reach"))).cast("int")
+    left = far.select(
+        "reach", salt.alias("salt"), F.explode(F.sequence(F.lit(1), "reach")).alias("item_block"),
+        "user_id", "features", "depth", "floor",
     )
+    left = _deeper(left, rated)
+    used = spark.createDataFrame(
+        [(r, per_class[r]) for r in sorted(classes)], "reach int, salts int"
+    ).select("reach", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    used = used.select("reach", "salt", F.explode(F.sequence(F.lit(1), "reach")).alias("item_block"))
+    right = items.join(used, "item_block").select("reach", "salt", "item_block", "product_id", "features")
+    pairs = sum(r * per_class[r] for r in classes)
+    keys = ("reach", "salt", "item_block")
+    return first.union(_best_pairs(left, right, keys, min(pairs, 8 * cores)))
+
+
+def norm_blocks(items: DataFrame, n: int, item_block: int) -> tuple[DataFrame, list[float]]:
+    """Stored ``product_id, features, item_block`` in blocks of falling vector length, and
+    the greatest length in each block. Null, NaN and infinite vectors are left out."""
+    measured = items.select("product_id", "features", norm(F.col("features")).alias("_norm"))
+    measured = measured.where(F.col("_norm") < float("inf"))
+    ranged = measured.repartitionByRange(math.ceil(n / item_block), F.desc("_norm"), "product_id")
+    blocks = read_stored(ranged.withColumn("item_block", F.spark_partition_id()), "norm-blocks")
+    tops = blocks.groupBy("item_block").agg(F.max("_norm").alias("top")).collect()
+    longest = [0.0] * math.ceil(n / item_block)
+    for r in tops:
+        longest[r["item_block"]] = r["top"]
+    for j in range(len(longest) - 2, -1, -1):  # an empty block bounds nothing
+        longest[j] = max(longest[j], longest[j + 1])
+    return blocks.drop("_norm"), longest
+
+
+def reach(users: DataFrame, first: DataFrame, rated: DataFrame | None, longest: list[float]) -> DataFrame:
+    """``users`` with ``floor``, the score that a further product must reach, and ``reach``,
+    the number of blocks after the first one that may hold such a product."""
+    found = first.groupBy("user_id").agg(F.count("*").alias("_n"), F.min("score").alias("_least"))
+    known = users.join(found, "user_id", "left")
+    depth = F.col("depth")
     if rated is not None:
-        counts = rated.groupBy("user_id", block("product_id", item_blocks).alias("item_block")).agg(
-            F.count("*").alias("_r")
-        )
-        left = left.join(counts, ["user_id", "item_block"], "left")
-        depth = F.col("depth") + F.coalesce("_r", F.lit(0))
-        left = left.select(
-            "user_block", "item_block", "user_id", "features", depth.cast("int").alias("depth")
-        )
-    left = left.repartition(partitions, "user_block", "item_block")
-    right = items.select(
-        every(user_blocks).alias("user_block"),
-        block("product_id", item_blocks).alias("item_block"),
+        own = rated.where("item_block = 0").select("user_id", "_r")
+        known = known.join(own, "user_id", "left")
+        depth = depth + F.coalesce("_r", F.lit(0))
+    floor = F.when(F.col("_n") >= depth, F.col("_least")).otherwise(F.lit(0.0))
+    known = known.select("user_id", "features", "depth", floor.alias("floor"), norm(F.col("features")).alias("_norm"))
+    # Predictions are sums of floats: the bound is widened by more than their rounding.
+    bounds = F.transform(F.lit([1.0001 * x for x in longest[1:]]), lambda x: x * F.col("_norm"))
+    may = F.filter(bounds, lambda x: (x > 0) & (x >= F.col("floor")))
+    return known.select("user_id", "features", "depth", "floor", F.size(may).alias("reach"))
+
+
+def _first_block(users, items, rated, user_blocks, cores) -> DataFrame:
+    """The best of the first block of products for every user."""
+    block = F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int").alias("user_block")
+    left = users.select(
+        block, F.lit(0).alias("item_block"), "user_id", "features", "depth", F.lit(0.0).alias("floor")
+    )
+    if rated is not None and "item_block" not in rated.columns:
+        rated = rated.groupBy("user_id").agg(F.count("*").alias("_r")).withColumn("item_block", F.lit(0))
+    left = _deeper(left, rated)
+    right = items.where("item_block = 0").select(
+        F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))).alias("user_block"),
+        "item_block",
         "product_id",
         F.col("features").alias("features"),  # both sides may stem from one table
-    ).repartition(partitions, "user_block", "item_block")
-    keys = ("user_block", "item_block")
+    )
+    return _best_pairs(left, right, ("user_block", "item_block"), min(user_blocks, 8 * cores))
+
+
+def _deeper(left: DataFrame, rated: DataFrame | None) -> DataFrame:
+    """A user's depth in a block, more by the products of the block that the user rated."""
+    if rated is None:
+        return left
+    deep = F.col("depth") + F.coalesce("_r", F.lit(0))
+    return left.join(rated, ["user_id", "item_block"], "left").withColumn("depth", deep.cast("int")).drop("_r")
+
+
+def _best_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...], partitions: int) -> DataFrame:
+    left, right = left.repartition(partitions, *keys), right.repartition(partitions, *keys)
     return (
         left.groupBy(*keys)
         .cogroup(right.groupBy(*keys))
@@ -157,6 +228,7 @@ def _best_of_blocks(users: pa.Table, items: pa.Table) -> pa.Table:
         vectors, item_rows = _matrix(users), _matrix(items).T
         # Position of a user's last kept score once the scores are in rising order.
         last = np.maximum(len(products) - users["depth"].to_numpy(), 0)
+        floor = users["floor"].to_numpy()
         step = max(1, SLICE_CELLS // len(products))
         for start in range(0, len(ids), step):
             part = slice(start, start + step)
@@ -164,7 +236,7 @@ def _best_of_blocks(users: pa.Table, items: pa.Table) -> pa.Table:
             positions = last[part]
             rising = np.partition(sims, np.unique(positions), axis=1)
             threshold = rising[np.arange(len(positions)), positions]
-            a, b = np.nonzero((sims >= threshold[:, None]) & (sims > 0))
+            a, b = np.nonzero((sims >= np.maximum(threshold, floor[part])[:, None]) & (sims > 0))
             user_ids.append(ids[part][a])
             product_ids.append(products[b])
             scores.append(sims[a, b])

@@ -1,10 +1,16 @@
 """Item-to-item cosine similarity above a floor.
 
-Every pair of items has to be compared, so the work is cut into pairs of blocks. A
-vector is sent to the block pairs its block takes part in, block pairs are grouped by
-their key, and each group is one matrix product that returns only the pairs above the
-floor. A task holds two blocks and one slice of their product, whatever the number of
-items. Equal vectors are compared once, through their lowest product id.
+The work is cut into pairs of blocks. A vector is sent to the block pairs its block takes
+part in, block pairs are grouped by their key, and each group is one matrix product that
+returns only the pairs above the floor. A task holds two blocks and one slice of their
+product, whatever the number of items. Equal vectors are compared once, through their
+lowest product id.
+
+Many vectors are cut into blocks of near directions. Angles obey the triangle inequality,
+so the angle between a vector and a block's centre, less the widest angle in the block,
+bounds how similar any vector of the block can be. Blocks are first compared within
+themselves; a pair of blocks is compared only if it can still hold a pair above the floor
+or, for ``top_n`` lists, above the ``top_n``-th best that a vector has found at home.
 """
 
 import math
@@ -16,11 +22,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.constants import TABLE_SIMILARITY_FLOOR
-from merchlens.functions.expr import computed_once, cosine, norm
+from merchlens.functions.expr import computed_once, cosine, in_range, norm
 from merchlens.functions.ranking import top_per_key
+from merchlens.session import read_stored
 
 BLOCK_ROWS = 4096
 SMALLEST_BLOCK = 256
+#: Blocks from which on it pays to look for pairs of blocks that need no comparing.
+PRUNED_FROM = 8
+#: Centres at most; the blocks of a larger table share them.
+CENTRES = 2048
 SLICE_CELLS = 4_000_000
 
 
@@ -33,10 +44,12 @@ def similar_products(
     min_sim: float = TABLE_SIMILARITY_FLOOR,
     top_n: int | None = None,
     block_rows: int = BLOCK_ROWS,
+    pruned_from: int = PRUNED_FROM,
 ) -> DataFrame:
     """Rows ``(product_id, sim_product_id, sim)`` with ``sim > min_sim``, both directions.
 
-    Without ``top_n`` the table holds every pair. With it every product keeps its
+    Vectors without a length (zero, null, NaN or infinite entries) and those with another
+    number of entries than most have no similars. Without ``top_n`` the table holds every pair. With it every product keeps its
     ``top_n`` best, lower id first on a tie, and no step grows with the square of a
     group of equal vectors.
     """
@@ -47,7 +60,10 @@ def similar_products(
     sizes = groups.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("copies") > 1).alias("copied")
     ).first()
-    pairs = _block_pairs(groups, sizes["n"], min_sim, top_n, block_rows)
+    if sizes["n"] > pruned_from * block_rows:
+        pairs = _near_block_pairs(groups, sizes["n"], min_sim, top_n, block_rows)
+    else:
+        pairs = _block_pairs(groups, sizes["n"], min_sim, top_n, block_rows)
     if sizes["copied"]:
         members = usable.join(groups.where("copies > 1"), "features").select("rep", "product_id")
         if top_n is None:
@@ -58,9 +74,16 @@ def similar_products(
     return top_per_key(pairs, ("product_id",), best_first(), top_n)
 
 
+def of_one_size(vectors: DataFrame) -> DataFrame:
+    """The vectors with as many entries as most have, the more entries of equals."""
+    sizes = vectors.where("size(features) > 0").groupBy(F.size("features").alias("n")).count()
+    most = sizes.orderBy(F.desc("count"), F.desc("n")).first()
+    return vectors.where(F.size("features") == (most["n"] if most else 0))
+
+
 def _usable(vectors: DataFrame) -> DataFrame:
     """Vectors with a length: no zero vector, no null, NaN or infinite entry."""
-    columns = vectors.select(F.col("product_id").cast("int"), "features")
+    columns = of_one_size(vectors).select(F.col("product_id").cast("int"), in_range(F.col("features")).alias("features"))
     return (
         computed_once(columns, _length=norm(F.col("features")))
         .where((F.col("_length") > 0) & (F.col("_length") < float("inf")))
@@ -88,6 +111,10 @@ def _block_pairs(groups, n, min_sim, top_n, block_rows):
             "features",
         )
     )
+    return _compared(replicated, partitions, min_sim, top_n)
+
+
+def _compared(replicated: DataFrame, partitions: int, min_sim: float, top_n: int | None) -> DataFrame:
     return (
         replicated.repartition(partitions, "low", "high")
         .groupBy("low", "high")
@@ -97,6 +124,136 @@ def _block_pairs(groups, n, min_sim, top_n, block_rows):
     )
 
 
+# Blocks of near directions
+
+
+def _unit_rows(column) -> np.ndarray:
+    rows = column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def near_blocks(groups: DataFrame, n: int, block_rows: int) -> DataFrame:
+    """Stored ``block, centre, angle, rep, features``: vectors dealt to blocks of about
+    ``block_rows`` by the nearest centre, with the angle to it.
+
+    Centres are vectors of the table drawn by a hash, at most ``CENTRES``. A block around a
+    busy centre is cut by hash into several.
+    """
+    wanted = min(CENTRES, math.ceil(n / block_rows))
+    drawn = groups.orderBy(F.xxhash64("rep", F.lit(5)), "rep").limit(wanted).select("features").toArrow()
+    centres = _unit_rows(drawn["features"].combine_chunks())
+    sent = groups.sparkSession.sparkContext.broadcast(centres)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sims = _unit_rows(batch.column("features")) @ sent.value.T
+                centre = sims.argmax(axis=1)
+                angle = np.arccos(np.clip(sims[np.arange(len(sims)), centre], -1, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(centre, pa.int32()), pa.array(angle)],
+                    names=[*batch.schema.names, "centre", "angle"],
+                )
+
+    near = groups.select("rep", "features").mapInArrow(
+        assign, "rep int, features array<double>, centre int, angle double"
+    )
+    near = read_stored(near, "near")
+    sizes = near.groupBy("centre").count().orderBy("centre").collect()
+    cuts, firsts, first = [1] * wanted, [0] * wanted, 0
+    for r in sizes:
+        cuts[r["centre"]] = math.ceil(r["count"] / block_rows)
+        firsts[r["centre"]] = first
+        first += cuts[r["centre"]]
+
+    def of_centre(values: list[int]) -> Column:
+        return F.get(F.lit(values), F.col("centre"))
+
+    block = of_centre(firsts) + F.pmod(F.xxhash64("rep"), of_centre(cuts)).cast("int")
+    return near.withColumn("block", block)
+
+
+def needed_block_pairs(blocks: DataFrame, asked: DataFrame, centres: DataFrame, min_sim: float) -> DataFrame:
+    """Distinct ``low, high`` of different blocks that may hold a pair worth knowing.
+
+    ``asked`` has ``block, features`` and ``floor``, what a similar of the vector must
+    reach; ``centres`` one row per block: its centre and widest angle. Vectors need a
+    block if the angle to its centre, less the block's widest angle, allows the floor.
+    """
+    around = centres.orderBy("block").toArrow()
+    angle = around["angle"].to_numpy()
+    numbers = around["block"].to_numpy()
+    rows = _unit_rows(around["features"].combine_chunks())
+    sent = blocks.sparkSession.sparkContext.broadcast((numbers, rows, angle))
+
+    def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, rows, widest = sent.value
+        found: set[tuple[int, int]] = set()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, floor = batch.column("block").to_numpy(), batch.column("floor").to_numpy()
+            angles = np.arccos(np.clip(_unit_rows(batch.column("features")) @ rows.T, -1, 1))
+            most = np.cos(np.maximum(angles - widest, 0)) + 1e-9
+            v, b = np.nonzero(most >= np.maximum(floor, min_sim)[:, None])
+            low, high = np.minimum(own[v], numbers[b]), np.maximum(own[v], numbers[b])
+            pairs = np.unique(low.astype(np.int64) << 32 | high)
+            found.update((int(p >> 32), int(p & 0xFFFFFFFF)) for p in pairs if p >> 32 != p & 0xFFFFFFFF)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in found], pa.int32()) for k in (0, 1)], names=["low", "high"]
+        )
+
+    return asked.select("block", "features", "floor").mapInArrow(needs, "low int, high int").distinct()
+
+
+def _near_block_pairs(groups, n, min_sim, top_n, block_rows):
+    cores = groups.sparkSession.sparkContext.defaultParallelism
+    blocks = near_blocks(groups, n, block_rows)
+    own = blocks.select(F.col("block").alias("low"), F.col("block").alias("high"), "block", "rep", "features")
+    n_blocks = blocks.agg(F.max("block")).first()[0] + 1
+    at_home = read_stored(_compared(own, max(1, min(n_blocks, 4 * cores)), min_sim, top_n), "at-home")
+    centre = F.max(F.struct(-F.col("angle"), "features"))  # the vector nearest to the centre
+    centres = blocks.groupBy("block").agg(centre["features"].alias("features"))
+    if top_n is None:
+        asked = blocks.withColumn("floor", F.lit(float(min_sim)))
+    else:
+        best = top_per_key(at_home, ("product_id",), best_first(), top_n).groupBy("product_id").agg(
+            F.count("*").alias("n"), F.min("sim").alias("least")
+        )
+        best = best.where(F.col("n") >= top_n).select(F.col("product_id").alias("rep"), "least")
+        asked = blocks.join(best, "rep", "left").withColumn(
+            "floor", F.coalesce("least", F.lit(float(min_sim)))
+        )
+    centres = read_stored(centres, "centres")
+    widest = _widest_angles(blocks, centres)
+    pairs = read_stored(needed_block_pairs(blocks, asked, widest, min_sim), "block-pairs")
+    sides = pairs.select("low", "high", F.explode(F.array("low", "high")).alias("block"))
+    replicated = blocks.select("block", "rep", "features").join(sides, "block")
+    partitions = max(1, min(pairs.count(), 8 * cores))
+    across = _compared(replicated.select("low", "high", "block", "rep", "features"), partitions, min_sim, top_n)
+    return at_home.union(across)
+
+
+def _widest_angles(blocks: DataFrame, centres: DataFrame) -> DataFrame:
+    """``block, features, angle``: each block's centre and the widest angle to it."""
+    table = centres.toArrow()
+    order = np.argsort(table["block"].to_numpy())
+    rows = _unit_rows(table["features"].combine_chunks())[order]
+    sent = blocks.sparkSession.sparkContext.broadcast((table["block"].to_numpy()[order], rows))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, rows = sent.value
+        for batch in batches:
+            if batch.num_rows:
+                own = rows[np.searchsorted(numbers, batch.column("block").to_numpy())]
+                sims = (_unit_rows(batch.column("features")) * own).sum(axis=1)
+                angle = np.arccos(np.clip(sims, -1, 1)) + 1e-9
+                yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(angle)], names=["block", "angle"])
+
+    angles = blocks.select("block", "features").mapInArrow(measure, "block int, angle double")
+    return centres.join(angles.groupBy("block").agg(F.max("angle").alias("angle")), "block")
+
+
 def _pair_kernel(min_sim: float, top_n: int | None):
     def compare(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from merchlens import schemas
 from merchlens.operators.ratings import upsert_ratings
-from merchlens.session import scratch_path
+from merchlens.session import read_stored  # noqa: F401  (callers take it from here)
 
 # Folders of the ratings table, and of the table a stream appends small files to.
 USER_BUCKETS = 256
@@ -25,13 +25,6 @@ def read_table(spark: SparkSession, path: str, columns: str | None = None) -> Da
     return df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
 
 
-def read_stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read again: made once, whatever follows."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def register(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df

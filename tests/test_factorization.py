@@ -108,3 +108,70 @@ def test_grid(ratings):
 def test_item_vectors(model):
     assert fm.item_vectors(model).columns == ["product_id", "features"]
     assert fm.item_vectors(model).count() == 30
+
+
+# Blocks of falling vector length
+
+
+def skewed(n_users, n_items, size=6, seed=5):
+    """Users, and items of which a few are far longer than the rest."""
+    rng = np.random.default_rng(seed)
+    users = {u: rng.normal(size=size) for u in range(n_users)}
+    items = {p: rng.normal(size=size) * (20 if p % 23 == 0 else 0.5) for p in range(n_items)}
+    items[5], items[6] = items[23] * 1.0, items[23] * 1.0  # ties
+    return users, items
+
+
+def tables_of(spark, users, items, depth):
+    left = [(u, [float(x) for x in v], depth) for u, v in users.items()]
+    right = [(p, [float(x) for x in v]) for p, v in items.items()]
+    return (
+        spark.createDataFrame(left, "user_id INT, features ARRAY<DOUBLE>, depth INT"),
+        spark.createDataFrame(right, "product_id INT, features ARRAY<DOUBLE>").repartition(3),
+    )
+
+
+def best_by_loops(users, items, k, rated=()):
+    out = []
+    for u, v in users.items():
+        scored = [(-float(v @ w), p) for p, w in items.items() if v @ w > 0 and (u, p) not in rated]
+        out += [(u, p, round(-s, 9)) for s, p in sorted((round(s, 9), p) for s, p in scored)[:k]]
+    return sorted(out)
+
+
+def unpacked(lists):
+    return sorted((r["user_id"], e["product_id"], round(e["score"], 9)) for r in lists.collect() for e in r["recs"])
+
+
+@pytest.mark.parametrize("item_block", [16, 50, 1000])
+def test_pruned_lists_equal_loops(spark, item_block):
+    users, items = skewed(40, 300)
+    users[3] = users[3] * 0
+    left, right = tables_of(spark, users, items, 7)
+    best = fm.best_products(left, right, item_block=item_block)
+    assert unpacked(fm.recs_from_predictions(best, 7)) == best_by_loops(users, items, 7)
+    rated = {(u, p) for u in range(0, 40, 2) for p in range(0, 300, 23 if u % 4 else 2)}
+    table = spark.createDataFrame(sorted(rated), "user_id INT, product_id INT")
+    best = fm.best_products(left, right, table, item_block)
+    fresh = best.join(table, ["user_id", "product_id"], "left_anti")
+    assert unpacked(fm.recs_from_predictions(fresh, 7)) == best_by_loops(users, items, 7, rated)
+
+
+def test_short_vectors_are_never_multiplied(spark):
+    users, items = skewed(40, 460)
+    left, right = tables_of(spark, users, items, 7)
+    blocks, longest = fm.norm_blocks(right, 460, 20)
+    assert len(longest) == 23 and longest == sorted(longest, reverse=True)
+    assert blocks.count() == 460 and blocks.select("item_block").distinct().count() == 23
+    first = fm._first_block(left, blocks, None, 1, 2)
+    reached = fm.reach(left, first, None, longest).agg(F.sum("reach")).first()[0]
+    assert reached <= 0.25 * 40 * 22
+
+
+def test_vectors_of_another_size_have_no_predictions(spark):
+    users, items = skewed(6, 30)
+    left, right = tables_of(spark, users, items, 4)
+    odd = spark.createDataFrame([(900, [1.0, 2.0])], "product_id INT, features ARRAY<DOUBLE>")
+    lost = spark.createDataFrame([(901, [1.0], 4)], "user_id INT, features ARRAY<DOUBLE>, depth INT")
+    best = fm.best_products(left.union(lost), right.union(odd))
+    assert unpacked(fm.recs_from_predictions(best, 4)) == best_by_loops(users, items, 4)
