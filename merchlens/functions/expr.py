@@ -22,12 +22,19 @@ def year_month(ts: Column, scale: int = 1000) -> Column:
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """Make ``changeDate(ts)`` available to SQL text in this session."""
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION changeDate(ts BIGINT) RETURNS INT RETURN "
-        "year(date_from_unix_date(CAST(floor(ts / 86400) AS INT))) * 100"
-        " + month(date_from_unix_date(CAST(floor(ts / 86400) AS INT)))"
-    )
+    """Make ``changeDate(ts)`` and ``changeDateScaled(ts, scale)`` available to SQL text.
+
+    Like ``year_month``: ``ts * scale`` is read as epoch milliseconds, and what is no date
+    of the years 1 to 9999 is null.
+    """
+    days = "CAST(floor(CAST(ts AS DOUBLE) * scale / 86400000) AS BIGINT)"
+    month = f"""CASE WHEN {days} BETWEEN -719162 AND 2932896 THEN
+        year(date_from_unix_date(CAST({days} AS INT))) * 100 + month(date_from_unix_date(CAST({days} AS INT))) END"""
+    for name, parameters, body in (
+        ("changeDate", "ts BIGINT", month.replace("scale", "1000")),
+        ("changeDateScaled", "ts BIGINT, scale INT", month),
+    ):
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS INT RETURN {body}")
 
 
 def name_hash(name: Column) -> Column:

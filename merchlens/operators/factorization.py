@@ -64,8 +64,12 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 def user_recs(model: ALSModel, k: int = constants.USER_RECS_LENGTH) -> DataFrame:
     """Per user the best ``k`` products with a positive prediction; rated ones included."""
-    users = user_vectors(model).withColumn("depth", F.lit(k))
-    return recs_from_predictions(best_products(users, item_vectors(model)), k)
+    return lists_of(user_vectors(model), item_vectors(model), k)
+
+
+def lists_of(users: DataFrame, items: DataFrame, k: int = constants.USER_RECS_LENGTH) -> DataFrame:
+    """Recommendation lists from ``user_id, features`` and ``product_id, features``."""
+    return recs_from_predictions(best_products(users.withColumn("depth", F.lit(k)), items), k)
 
 
 def unrated_user_recs(

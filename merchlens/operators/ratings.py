@@ -1,6 +1,6 @@
 """Rating upsert and the newest ratings of every user."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.constants import RECENT_LIST_CAP, RECENT_RATINGS
@@ -42,6 +42,35 @@ def upsert_ratings(base: DataFrame, updates: DataFrame, keep_ts: bool = False) -
     )
 
 
+def previous_products(events: DataFrame, ranges: int = 64) -> DataFrame:
+    """``events`` with ``previous``: the product of the user's event before it, by time and
+    ``event_id``; null for a user's first.
+
+    Time is cut into ranges at quantiles of all events. Within a range of a user the
+    predecessor is a neighbour; the first of a range takes the last product of the user's
+    range before, one row per user and range. So a user with a third of all events is worked
+    on in as many tasks as there are ranges.
+    """
+    edges = events.agg(F.percentile_approx("ts", [k / ranges for k in range(1, ranges)], 4 * ranges)).first()[0]
+    cuts = F.lit(sorted(set(edges or ()))).cast("array<bigint>")
+    cut = F.size(F.filter(cuts, lambda e: e < F.col("ts")))
+    rows = events.withColumn("_range", F.coalesce(cut, F.lit(-1)))
+    order = ["ts", "event_id"]
+    inside = Window.partitionBy("user_id", "_range").orderBy(*order)
+    own = rows.withColumn("_before", F.lag("product_id").over(inside)).withColumn(
+        "_first", F.row_number().over(inside) == 1
+    )
+    last = rows.groupBy("user_id", "_range").agg(
+        F.max_by("product_id", F.struct(F.coalesce("ts", F.lit(-(1 << 62))), "event_id")).alias("_last")
+    )
+    earlier = Window.partitionBy("user_id").orderBy("_range")
+    handed = last.select("user_id", "_range", F.lag("_last").over(earlier).alias("_handed"))
+    joined = own.join(handed.withColumnRenamed("user_id", "_user").withColumnRenamed("_range", "_own"),
+                      F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("_range") == F.col("_own")))
+    previous = F.when(F.col("_first"), F.col("_handed")).otherwise(F.col("_before"))
+    return joined.select(*events.columns, previous.alias("previous"))
+
+
 def recent_ratings(
     ratings: DataFrame,
     n: int = RECENT_RATINGS,

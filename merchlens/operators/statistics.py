@@ -48,6 +48,20 @@ def monthly_totals(ratings: DataFrame, scale: int = 1000) -> DataFrame:
     )
 
 
+def monthly_changes(before: DataFrame, after: DataFrame, scale: int = 1000) -> DataFrame:
+    """What replacing some ratings changes in the monthly totals: old rows count as -1."""
+    signed = before.withColumn("_sign", F.lit(-1)).unionByName(after.withColumn("_sign", F.lit(1)))
+    month = year_month(F.col("ts"), scale).alias("yearmonth")
+    rows = signed.select("product_id", month, "score", "_sign")
+    one = F.when(F.col("product_id").isNotNull(), F.col("_sign")).otherwise(0)
+    scored = F.when(F.col("score").isNotNull(), F.col("_sign")).otherwise(0)
+    return rows.groupBy("product_id", "yearmonth").agg(
+        F.sum(one).alias("count"),
+        F.sum(scored).alias("n_scores"),
+        F.coalesce(F.sum(F.col("score") * F.col("_sign")), F.lit(0.0)).alias("sum_score"),
+    )
+
+
 def product_totals(monthly: DataFrame) -> DataFrame:
     """Per product: rating count and average score, from the monthly table."""
     return (

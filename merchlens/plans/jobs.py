@@ -6,14 +6,17 @@ Run as ``python -m merchlens.plans.jobs JOB --store DIR …`` or call the functi
 import argparse
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens import constants, schemas
-from merchlens.operators import factorization, serving, similarity, statistics, users
-from merchlens.session import build_session, scratch_path
+from merchlens.operators import factorization, gram, serving, similarity, statistics, users
+from merchlens.session import build_session, read_stored, scratch_path
 from merchlens.sources import files, tables, topics
+from merchlens.sources.table_log import RatingsLog, TotalsLog
+from merchlens.sources.tail import tail_lines
 from merchlens.streaming import log_events, scorer
+from merchlens.streaming.topic_folder import write_topic_folder
 
 PRODUCTS = "products"
 RATINGS = "ratings"
@@ -33,10 +36,26 @@ COMPACTED_RECS = "stream_recs_compacted"
 MODEL = "model"
 
 
+def ratings_log(spark: SparkSession, store: str) -> RatingsLog:
+    return RatingsLog(spark, f"{store}/{RATINGS}")
+
+
+def totals_log(spark: SparkSession, store: str) -> TotalsLog:
+    return TotalsLog(spark, f"{store}/{MONTHLY}")
+
+
 def table(spark: SparkSession, store: str, name: str, columns: str | None = None) -> DataFrame:
+    """A stored table; of the ratings the state at the time of the call."""
+    if name == RATINGS:
+        rows = ratings_log(spark, store).read()
+        return rows.select(*_fields(spark, columns)) if columns else rows
     return tables.read_table(spark, f"{store}/{name}", columns)
 
 
+def _fields(spark: SparkSession, columns: str) -> list[Column]:
+    return [F.col(f.name).cast(f.dataType) for f in spark.createDataFrame([], columns).schema.fields]
+
+
 def load(spark: SparkSession, product_file: str, rating_file: str, store: str) -> None:
     """Product and rating files into tables; rows that do not parse into ``bad_*``.
 
@@ -46,15 +65,24 @@ def load(spark: SparkSession, product_file: str, rating_file: str, store: str) -
     tables.overwrite(products, f"{store}/{PRODUCTS}")
     tables.overwrite(bad_products, f"{store}/bad_{PRODUCTS}")
     rows, bad_ratings = files.scan_rating_file(spark, rating_file)
-    tables.overwrite(tables.with_user_bucket(rows), f"{store}/{RATINGS}", "user_bucket")
+    ratings_log(spark, store).overwrite(rows)
     tables.overwrite(bad_ratings, f"{store}/bad_{RATINGS}")
 
 
 def compute_statistics(spark: SparkSession, store: str, scale: int = 1000) -> None:
-    """The three statistics tables from one pass over the ratings."""
+    """The three statistics tables from one pass over the ratings; merges go on from there."""
+    log = totals_log(spark, store)
+    before = {r["key"]: None for r in log.state().collect()}
     rows = table(spark, store, RATINGS, schemas.RATING)
-    tables.overwrite(statistics.monthly_totals(rows, scale), f"{store}/{MONTHLY}")
-    monthly = table(spark, store, MONTHLY)
+    log.add(statistics.monthly_totals(rows, scale), f"ratings-{log.last() + 1}")
+    if before:
+        log.commit(log.last() + 1, before, "replaced")
+    refresh_statistics(spark, store)
+
+
+def refresh_statistics(spark: SparkSession, store: str) -> None:
+    """The three statistics tables from the monthly totals as they are now."""
+    monthly = read_stored(totals_log(spark, store).totals(), "monthly")
     recently = monthly.select("product_id", "count", "yearmonth")
     tables.overwrite(recently, f"{store}/{RATE_MORE_RECENTLY}")
     totals = statistics.product_totals(monthly)
@@ -62,20 +90,32 @@ def compute_statistics(spark: SparkSession, store: str, scale: int = 1000) -> No
     tables.overwrite(totals.select("product_id", "avg"), f"{store}/{AVERAGE}")
 
 
-def train(spark: SparkSession, store: str, min_sim: float = constants.TABLE_SIMILARITY_FLOOR):
+def train(
+    spark: SparkSession,
+    store: str,
+    min_sim: float = constants.TABLE_SIMILARITY_FLOOR,
+    top_n: int | None = None,
+    summed: bool = False,
+):
     """User lists and the product similarity table from a fitted model.
 
     All tables of a run are one version below ``model``, which scorers and readers switch
-    to as a whole.
+    to as a whole. ``top_n`` keeps so many similars of a product instead of all above the
+    floor; ``summed`` fits by added-up normal equations, for products that very many rate.
     """
     rows = table(spark, store, RATINGS, "user_id INT, product_id INT, score DOUBLE")
-    model = factorization.fit_als(rows)
-    sims = similarity.similar_products(factorization.item_vectors(model), min_sim)
+    if summed:
+        model = gram.fit_factors(rows)
+        user_vectors, item_vectors = model
+    else:
+        model = factorization.fit_als(rows)
+        user_vectors, item_vectors = factorization.user_vectors(model), factorization.item_vectors(model)
+    sims = similarity.similar_products(item_vectors, min_sim, top_n)
     path = scratch_path(spark, SIMILARS)
     similarity.sorted_similars(sims).write.parquet(path)
     stored = tables.read_table(spark, path, schemas.SIMILARITY)
     named = {
-        USER_RECS: factorization.user_recs(model),
+        USER_RECS: factorization.lists_of(user_vectors, item_vectors),
         SIMILARS: similarity.sorted_similars(stored),
         LEVELS: similarity.similar_levels(stored),
     }
@@ -105,13 +145,17 @@ def stream(
     servers: str | None = None,
     available_now: bool = False,
     bare: bool = False,
+    tail: bool = False,
 ):
-    """Ingest and scoring streams over a folder of closed files or a topic.
+    """Ingest and scoring streams over a folder of files or a topic.
 
     Lines are log lines, or with ``bare`` the payloads ``user|product|score|epoch`` of
-    the rating topic. Files must be closed when they are moved in.
+    the rating topic. Files must be closed when they are moved in, but with ``tail`` they
+    may grow, in a folder that all executors mount.
     """
-    if log_folder:
+    if log_folder and tail:
+        lines = tail_lines(spark, log_folder).select("value")
+    elif log_folder:
         lines = files.stream_lines(spark, log_folder)
     else:
         topic = constants.RATING_TOPIC if bare else constants.LOG_TOPIC
@@ -146,10 +190,32 @@ def stream(
     return ingest, quarantine, scoring
 
 
-def merge_stream_ratings(spark: SparkSession, store: str) -> None:
-    """Bring the streamed ratings into the ratings table."""
-    streamed = table(spark, store, STREAM_RATINGS, schemas.RATING)
-    tables.merge_ratings(spark, f"{store}/{RATINGS}", streamed)
+def merge_stream_ratings(spark: SparkSession, store: str) -> int:
+    """Bring the streamed ratings into the ratings table and the totals; how many batches.
+
+    The streamed files are followed by a stream of their own, so each is taken once and a
+    second merge reads nothing. Readers of the ratings, a running scorer among them, see
+    the state before or after a batch. Totals exist once ``statistics`` has run.
+    """
+    log, totals = ratings_log(spark, store), totals_log(spark, store)
+    counted = totals.last() > 0
+    merged = []
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        source = f"stream-{batch_id}"
+        changed = log.merge(batch, source)
+        if changed is not None:
+            merged.append(batch_id)
+            if counted:
+                totals.add(statistics.monthly_changes(*changed), source)
+
+    streamed = spark.readStream.schema(scorer.RATINGS_LOG).parquet(f"{store}/{STREAM_RATINGS}")
+    writer = streamed.writeStream.option("checkpointLocation", f"{store}/_checkpoints/merge")
+    writer.foreachBatch(fold).trigger(availableNow=True).start().awaitTermination()
+    if merged and counted:
+        refresh_statistics(spark, store)
+    log.drop_retired()
+    return len(merged)
 
 
 def compact(spark: SparkSession, store: str) -> list[int]:
@@ -162,8 +228,20 @@ def compact(spark: SparkSession, store: str) -> list[int]:
     return scorer.compact_stored(spark, path, target)
 
 
-def forward(spark: SparkSession, store: str, log_folder: str, servers: str):
-    """Payloads of a log folder onto the rating topic (the connector is not tested here)."""
+def forward(
+    spark: SparkSession,
+    store: str,
+    log_folder: str,
+    servers: str | None = None,
+    topic_folder: str | None = None,
+    available_now: bool = False,
+):
+    """Payloads of growing log files into a topic folder, or onto the rating topic of a
+    message broker (whose connector is not tested here)."""
+    if topic_folder:
+        payloads = log_events.keyed_payloads(tail_lines(spark, log_folder))
+        checkpoint = f"{store}/_checkpoints/forward-folder"
+        return write_topic_folder(payloads, topic_folder, checkpoint, available_now)
     lines = log_events.rating_payloads(
         log_events.collector_lines(files.stream_lines(spark, log_folder))
     )
@@ -231,6 +309,8 @@ def main() -> None:
     parser.add_argument("--log-folder")
     parser.add_argument("--servers")
     parser.add_argument("--bare", action="store_true", help="the stream's lines are payloads")
+    parser.add_argument("--tail", action="store_true", help="files of the log folder grow")
+    parser.add_argument("--topic-folder", help="folder that stands in for the rating topic")
     parser.add_argument("--requests", help="parquet table of requests")
     parser.add_argument("--out", help="folder for the answers")
     parser.add_argument("--master")
@@ -252,9 +332,10 @@ def main() -> None:
         answer = {"signup": signup, "rate": rate, "serve": serve}[args.job]
         answer(spark, args.store, spark.read.parquet(args.requests)).write.parquet(args.out)
     elif args.job == "forward":
-        forward(spark, args.store, args.log_folder, args.servers).awaitTermination()
+        forward(spark, args.store, args.log_folder, args.servers, args.topic_folder).awaitTermination()
     else:
-        for query in stream(spark, args.store, args.log_folder, args.servers, bare=args.bare):
+        started = stream(spark, args.store, args.log_folder, args.servers, bare=args.bare, tail=args.tail)
+        for query in started:
             query.awaitTermination()
 
 

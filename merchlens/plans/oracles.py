@@ -185,6 +185,15 @@ ORACLES = {
     "rate_more": with_(
         RATINGS, select="SELECT product_id, count(product_id) AS count FROM ratings GROUP BY ALL"
     ),
+    "ratings_log_merge": with_(RATINGS, EVENTS, select=_upsert("ratings", "ev")),
+    "statistics_after_merges": with_(
+        RATINGS,
+        EVENTS,
+        f"latest AS ({_latest('ratings')})",
+        f"merged AS ({_upsert('latest', 'ev')})",
+        select="""SELECT product_id, CAST(strftime(make_timestamp(ts * 1000000), '%Y%m') AS INT) AS yearmonth,
+          count(*) AS count, round(avg(score), 6) AS avg FROM merged GROUP BY ALL""",
+    ),
     "rate_more_recently": _MONTHS,
     "rate_more_recently_scale100": with_(
         RATINGS,
@@ -274,6 +283,15 @@ ORACLES = {
           FROM dots WHERE dot > 0 WINDOW w AS (PARTITION BY user_id ORDER BY dot DESC, product_id)
           QUALIFY row_number() OVER w <= 20""",
     ),
+    "factor_user_recs_pruned": with_(
+        FACTORS,
+        select="""SELECT user_id, CAST(row_number() OVER w AS INT) AS rank, product_id, round(dot, 6) AS score
+          FROM dots WHERE dot > 0 WINDOW w AS (PARTITION BY user_id ORDER BY dot DESC, product_id)
+          QUALIFY row_number() OVER w <= 20""",
+    ),
+    "summed_equations": with_(
+        RATINGS, select="SELECT DISTINCT product_id, true AS solved FROM ratings"
+    ),
     "factor_unrated_user_recs": with_(
         EVENTS,
         FACTORS,
@@ -342,6 +360,24 @@ ORACLES = {
     "item_sims_sorted": with_(
         SIMS, select="SELECT product_id, sim_product_id, round(sim, 6) AS sim FROM close"
     ),
+    "item_sim_lists_pruned": with_(
+        SIMS,
+        select="""SELECT product_id AS item, rank, sim_product_id AS product_id,
+          round(sim, 6) AS sim FROM (
+            SELECT *, CAST(row_number() OVER (
+              PARTITION BY product_id ORDER BY sim DESC, sim_product_id) AS INT) AS rank
+            FROM close) WHERE rank <= 20""",
+    ),
+    "vector_extremes": with_(
+        SIMS,
+        """left_over AS (SELECT * FROM close
+          WHERE product_id % 7 NOT IN (3, 4) AND sim_product_id % 7 NOT IN (3, 4))""",
+        select="""SELECT product_id AS item, rank, sim_product_id AS product_id,
+          round(sim, 6) AS sim FROM (
+            SELECT *, CAST(row_number() OVER (
+              PARTITION BY product_id ORDER BY sim DESC, sim_product_id) AS INT) AS rank
+            FROM left_over) WHERE rank <= 5""",
+    ),
     "item_sim_lists": with_(
         SIMS,
         select="""SELECT product_id AS item, rank, sim_product_id AS product_id,
@@ -383,6 +419,18 @@ ORACLES = {
         select="""SELECT query, product_id, name, image_url, categories, tags, avg_score AS score
           FROM patterns JOIN served ON regexp_matches(name, pattern)""",
     ),
+    "product_search_table": with_(
+        PRODUCTS,
+        """words AS (SELECT DISTINCT word FROM (
+          SELECT unnest(string_split(name, ' ')) AS word FROM products) WHERE word <> '')""",
+        """patterns AS (SELECT 'begins-' || word AS query, '^' || word AS pattern FROM words
+          UNION ALL SELECT 'ends-' || word, word || '.?$' FROM words
+          UNION ALL SELECT * FROM (VALUES ('any-o', 'o.o'), ('either', 'red|blue'), ('none', 'q{3}zz')) v(q, p))""",
+        """hits AS (SELECT DISTINCT query, product_id FROM patterns JOIN products
+          ON regexp_matches(name, pattern))""",
+        select="""SELECT query, count(*) AS n, CAST(sum(product_id) AS BIGINT) AS ids
+          FROM hits GROUP BY query""",
+    ),
     "product_info": with_(
         RATINGS,
         PRODUCTS,
@@ -483,6 +531,13 @@ ORACLES = {
     "stream_payloads": with_(
         EVENTS, _log(), select="SELECT value FROM lines WHERE value IS NOT NULL"
     ),
+    "stream_tail": with_(EVENTS, _log(), select="SELECT value FROM lines WHERE value IS NOT NULL"),
+    "stream_offsets": with_(
+        EVENTS.replace("FROM events)", "FROM events WHERE event_id % 2 = 1)"),
+        _log(),
+        select="SELECT value FROM lines WHERE value IS NOT NULL",
+    ),
+    "stream_topic": with_(EVENTS, _log(), select="SELECT value FROM lines WHERE value IS NOT NULL"),
     "stream_quarantine": with_(
         EVENTS, _log(), select="SELECT value FROM lines WHERE kind = 'signup'"
     ),

@@ -3,16 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens import schemas
+from merchlens import constants, schemas
 from merchlens.functions import expr
 from merchlens.functions.ranking import pack_recs, top_per_key, unpack_recs
-from merchlens.operators import factorization, rerank, serving, similarity, statistics, users
+from merchlens.operators import factorization, gram, rerank, search, serving, similarity, statistics, users
 from merchlens.operators import ratings as rating_ops
 from merchlens.plans import jobs
 from merchlens.session import scratch_path
 from merchlens.sources import driver_tables as inputs
 from merchlens.sources import files, tables, topics
-from merchlens.streaming import log_events, scorer
+from merchlens.sources.table_log import RatingsLog, TotalsLog
+from merchlens.sources.tail import tail_lines
+from merchlens.streaming import log_events, scorer, topic_folder
 
 # The driver's vectors have few close pairs, so its queries use lower floors.
 TABLE_FLOOR = 0.1
@@ -108,6 +110,33 @@ def ratings_table_merge(spark, sf):
     return tables.read_table(spark, path, schemas.RATING)
 
 
+def ratings_log_merge(spark, sf):
+    """Events merged into a logged ratings table in three batches, each offered twice."""
+    log = RatingsLog(spark, scratch_path(spark, "ratings_log"), 8)
+    log.overwrite(rating_ops.latest_ratings(inputs.ratings(spark, sf)))
+    events = inputs.events(spark, sf)
+    for part in (0, 1, 2, 1):
+        log.merge(events.where(F.col("event_id") % 3 == part), f"part-{part}")
+    log.drop_retired()
+    return schemas.as_ratings(log.read())
+
+
+def statistics_after_merges(spark, sf):
+    """Counts and averages per product and month, kept up to date over merges of events."""
+    log = RatingsLog(spark, scratch_path(spark, "ratings_log"), 8)
+    totals = TotalsLog(spark, scratch_path(spark, "totals_log"))
+    base = rating_ops.latest_ratings(inputs.ratings(spark, sf))
+    log.overwrite(base)
+    totals.add(statistics.monthly_totals(base), "base")
+    events = inputs.events(spark, sf)
+    for part in (0, 1):
+        changed = log.merge(events.where(F.col("event_id") % 2 == part), f"part-{part}")
+        totals.add(statistics.monthly_changes(*changed), f"part-{part}")
+    totals.fold()
+    mean = F.try_divide("sum_score", "n_scores").alias("avg")
+    return _rounded(totals.totals().select("product_id", "yearmonth", "count", mean), "avg")
+
+
 # Statistics
 
 
@@ -333,18 +362,37 @@ def item_sims_sorted(spark, sf):
 
 
 def item_sim_lists(spark, sf):
-    lists = pack_recs(_sims(spark, sf, top_n=20), "product_id", "sim_product_id", "sim")
+    return _sim_lists(_sims(spark, sf, top_n=20))
+
+
+def item_sim_lists_pruned(spark, sf):
+    """The same lists from small blocks of near directions, of which far pairs are skipped."""
+    vectors = inputs.vectors(spark, sf)
+    return _sim_lists(similarity.similar_products(vectors, TABLE_FLOOR, 20, block_rows=128, pruned_from=1))
+
+
+def vector_extremes(spark, sf):
+    """Similars of vectors of which some are scaled to the ends of the number range, some
+    lack an entry and some are zero."""
+    kind = F.pmod(F.col("product_id"), F.lit(7))
+    scale = F.when(kind == 1, 1e200).when(kind == 2, 1e-200).when(kind == 3, 0.0).otherwise(1.0)
+    wide = F.transform("features", lambda x: x.cast("double") * scale)
+    ragged = F.when(kind == 4, F.slice(wide, 1, 5)).otherwise(wide)
+    vectors = inputs.vectors(spark, sf).select("product_id", ragged.alias("features"))
+    return _sim_lists(similarity.similar_products(vectors, TABLE_FLOOR, 5))
+
+
+def _sim_lists(sims):
+    lists = pack_recs(sims, "product_id", "sim_product_id", "sim")
     rows = unpack_recs(lists.withColumnRenamed("product_id", "item"))
     return _rounded(rows.withColumnRenamed("score", "sim"), "sim")
 
 
 def pair_cosine(spark, sf):
     """Cosine of the products rated one after the other by a user."""
-    events = inputs.events(spark, sf)
+    steps = rating_ops.previous_products(inputs.events(spark, sf))
     pairs = (
-        events.withColumn("sim_product_id", F.expr(
-            "lag(product_id) OVER (PARTITION BY user_id ORDER BY ts, event_id)"
-        ))
+        steps.withColumnRenamed("previous", "sim_product_id")
         .where("sim_product_id IS NOT NULL")
         .select("product_id", "sim_product_id")
         .distinct()
@@ -398,6 +446,18 @@ def product_search(spark, sf):
     return _rounded(serving.search_products(_served(spark, sf), SEARCHES), "score")
 
 
+def product_search_table(spark, sf):
+    """Names by a table of patterns: every brand's and type's words, and some without letters."""
+    names = inputs.products(spark, sf)
+    words = names.select(F.explode(F.split("name", " ")).alias("word")).where("word <> ''").distinct()
+    patterns = words.select(
+        F.concat(F.lit("begins-"), "word").alias("query"), F.concat(F.lit("^"), "word").alias("pattern")
+    ).union(words.select(F.concat(F.lit("ends-"), "word"), F.concat("word", F.lit(".?$"))))
+    some = spark.createDataFrame([("any-o", "o.o"), ("either", "red|blue"), ("none", "q{3}zz")], "query STRING, pattern STRING")
+    found = search.search_names(names, patterns.union(some))
+    return found.groupBy("query").agg(F.count("*").alias("n"), F.sum("product_id").alias("ids"))
+
+
 def product_info(spark, sf):
     """Lookups by number, some beyond the product table."""
     requests = inputs.table(spark, sf, "embeddings").select(
@@ -578,6 +638,21 @@ def factor_user_recs(spark, sf):
     return _rounded(unpack_recs(factorization.recs_from_predictions(best)), "score")
 
 
+def factor_user_recs_pruned(spark, sf):
+    """The same lists from blocks of falling vector length, of which short ones are skipped."""
+    users, items = _factors(spark, sf)
+    best = factorization.best_products(users.withColumn("depth", F.lit(20)), items, item_block=64)
+    return _rounded(unpack_recs(factorization.recs_from_predictions(best)), "score")
+
+
+def summed_equations(spark, sf):
+    """Whether factors from added-up normal equations solve them, for every product."""
+    ratings = inputs.ratings(spark, sf)
+    factors = gram.fit_factors(ratings, rank=8, iterations=2, heavy=200)
+    left = gram.gradients(ratings, factors, constants.ALS_REGULARISATION)
+    return left.select("product_id", (F.col("gradient") < 1e-6).alias("solved"))
+
+
 def factor_unrated_user_recs(spark, sf):
     users, items = _factors(spark, sf)
     lists = factorization.unrated_recs(users, items, _factor_ratings(spark, sf))
@@ -671,6 +746,50 @@ def stream_payloads(spark, sf):
     return spark.read.text(f"{root}/out")
 
 
+def _two_halves(spark, sf):
+    """Log lines of events of even and of odd number."""
+    return [
+        inputs.log_lines(spark, sf, F.col("event_id") % 2 == part) for part in (0, 1)
+    ]
+
+
+def _run(lines, root):
+    """One run of a stream of lines into ``root/out``, until all that is there is read."""
+    writer = lines.select("value").writeStream.format("parquet").option("path", f"{root}/out")
+    writer = writer.option("checkpointLocation", f"{root}/ck").trigger(availableNow=True)
+    writer.start().awaitTermination()
+
+
+def stream_tail(spark, sf):
+    """A log folder followed in two runs, between which lines were added."""
+    root = scratch_path(spark, "tail")
+    for half in _two_halves(spark, sf):
+        files.write_lines(half, f"{root}/log")
+        lines = tail_lines(spark, f"{root}/log", range_bytes=1 << 16)
+        _run(log_events.keyed_payloads(lines), root)
+    return spark.read.schema("value STRING").parquet(f"{root}/out")
+
+
+def stream_offsets(spark, sf):
+    """A log folder followed from its latest offsets on: only lines that came later."""
+    root = scratch_path(spark, "offsets")
+    for half in _two_halves(spark, sf):
+        files.write_lines(half, f"{root}/log")
+        _run(log_events.keyed_payloads(tail_lines(spark, f"{root}/log", "latest")), root)
+    return spark.read.schema("value STRING").parquet(f"{root}/out")
+
+
+def stream_topic(spark, sf):
+    """Payloads through a topic folder, and ratings read from it."""
+    root = scratch_path(spark, "topic")
+    for half in _two_halves(spark, sf):
+        files.write_lines(half, f"{root}/log")
+        payloads = log_events.keyed_payloads(tail_lines(spark, f"{root}/log"))
+        topic_folder.write_topic_folder(payloads, f"{root}/topic", f"{root}/ck-topic", True).awaitTermination()
+        _run(topic_folder.read_topic_folder(spark, f"{root}/topic"), root)
+    return spark.read.schema("value STRING").parquet(f"{root}/out")
+
+
 def stream_quarantine(spark, sf):
     root = scratch_path(spark, "quarantine")
     files.write_lines(inputs.log_lines(spark, sf), f"{root}/log")
@@ -689,6 +808,8 @@ QUERIES = {
         rating_file_quarantine,
         ratings_table,
         ratings_table_merge,
+        ratings_log_merge,
+        statistics_after_merges,
         rate_more,
         rate_more_recently,
         rate_more_recently_scale100,
@@ -723,11 +844,14 @@ QUERIES = {
         item_cosine,
         item_sims_sorted,
         item_sim_lists,
+        item_sim_lists_pruned,
+        vector_extremes,
         pair_cosine,
         unrated_similars,
         rerank_scores,
         rerank_lists,
         product_search,
+        product_search_table,
         product_info,
         products_in_lists,
         serve_similars,
@@ -745,6 +869,8 @@ QUERIES = {
         als_rmse_grid,
         als_list_facts,
         factor_user_recs,
+        factor_user_recs_pruned,
+        summed_equations,
         factor_unrated_user_recs,
         factor_predictions,
         holdout_split,
@@ -752,6 +878,9 @@ QUERIES = {
         stream_recs,
         stream_collected,
         stream_payloads,
+        stream_tail,
+        stream_offsets,
+        stream_topic,
         stream_quarantine,
     )
 }

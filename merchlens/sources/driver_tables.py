@@ -40,8 +40,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Application log: error events give lines without a rating, signups a broken one."""
+def log_lines(spark: SparkSession, sf_dir: str, of=None) -> DataFrame:
+    """Application log: error events give lines without a rating, signups a broken one.
+
+    ``of`` is a condition on the events whose lines are wanted.
+    """
     payload = F.concat_ws("|", "user_id", "product_id", "score", "ts")
     broken = F.concat_ws("|", "user_id", "product_id", "event_type", "ts")
     line = (
@@ -55,7 +58,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.concat(F.lit(f"INFO app - {RATING_MARKER}"), payload, F.lit(" ")))
     )
-    return computed_once(events(spark, sf_dir), value=line).select("value")
+    wanted = events(spark, sf_dir) if of is None else events(spark, sf_dir).where(of)
+    return computed_once(wanted, value=line).select("value")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:

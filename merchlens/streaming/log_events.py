@@ -23,6 +23,14 @@ def rating_payloads(lines: DataFrame) -> DataFrame:
     )
 
 
+def keyed_payloads(lines: DataFrame) -> DataFrame:
+    """Payloads of the collected lines with ``partition, offset``, the lines' places."""
+    found = collector_lines(lines).where(F.col("value").contains(RATING_MARKER))
+    return computed_once(found, _payload=rating_payload(F.col("value"))).select(
+        "partition", "offset", F.col("_payload").alias("value")
+    )
+
+
 def parse_payloads(payloads: DataFrame, unit: str = "s") -> tuple[DataFrame, DataFrame]:
     """Typed ratings, and the payloads that are not ``user|product|score|epoch``."""
     fields = ("user_id", "product_id", "score", "ts")

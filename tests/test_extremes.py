@@ -33,7 +33,7 @@ def test_load_keeps_repeated_ratings(spark, tmp_path):
     assert rows(jobs.table(spark, store, jobs.RATE_MORE)) == [(1, 3)]
     assert rows(jobs.table(spark, store, jobs.AVERAGE)) == [(1, 3.0)]
     stream = spark.createDataFrame([(2, 1, 4.0, 400)], schemas.RATING)
-    tables.merge_ratings(spark, f"{store}/{jobs.RATINGS}", stream)
+    jobs.ratings_log(spark, store).merge(stream, "test")
     merged = jobs.table(spark, store, jobs.RATINGS, schemas.RATING)
     assert rows(merged) == [(1, 1, 1.0, 200), (1, 1, 5.0, 100), (2, 1, 4.0, 400)]
 
