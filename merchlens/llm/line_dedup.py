@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.llm.ngram_join import Likeness, common_shingles, overlaps
-from merchlens.llm.tables import small, stored
-from merchlens.llm.words import SPACED, Words, distinct_per_text, mix, shingles, text_blocks
+from merchlens.llm.tables import KeyFilter, set_aside, small, stored
+from merchlens.llm.words import SPACED, Words, distinct_per_text, mix, shingles, stable_order, text_blocks
 
 HOT = 64
 BLOCK_LINES = 2048
@@ -78,7 +78,8 @@ def line_profiles(docs: DataFrame, like: Likeness) -> DataFrame:
                     at[at == len(common)] = 0
                     known = common[at] == values
                     weight[known] = often[at[known]]
-                order = np.lexsort((weight, line))
+                order = np.argsort(weight, kind="stable")
+                order = order[stable_order(line[order], len(counts))]
                 first = np.cumsum(counts) - counts
                 place = np.arange(len(values)) - np.repeat(first, counts)
                 length = counts - like.least_overlap(counts) + 1
@@ -112,24 +113,28 @@ def _place() -> Column:
 
 
 def _line_sets(docs: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame:
-    """Stored ``row, place, shingles`` of the ``needed`` lines, from the texts."""
-    count = needed.count()
-    ids = small(needed.select(F.col("doc_id").alias("id")).distinct(), count)
-    narrow = _with_hash(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    """Stored ``row, place, shingles`` of the ``needed`` lines, from the texts.
+
+    Tasks are sent the numbers of the documents and the prints of the lines, so only sets
+    that are needed leave them.
+    """
+    of_docs, of_lines = KeyFilter(needed, "doc_id"), KeyFilter(needed, "p")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, values, counts in _lines(batch, like.width):
-                cuts = np.append(0, np.cumsum(counts)).tolist()
+            some = batch.filter(pa.array(of_docs.passes(batch.column("doc_id"))))
+            for _, _, values, counts in _lines(some, like.width):
+                cuts = np.append(0, np.cumsum(counts))
                 p, q = _prints(values, counts)
-                own = [values[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
+                keep = np.flatnonzero(of_lines.passes(pa.array(p)))
+                own = [values[cuts[i] : cuts[i + 1]].tobytes() for i in keep.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(p), pa.array(q), pa.array(own, pa.binary())], names=["p", "q", "shingles"]
+                    [pa.array(p[keep]), pa.array(q[keep]), pa.array(own, pa.binary())], names=["p", "q", "shingles"]
                 )
 
-    made = narrow.mapInArrow(sets, "p long, q long, shingles binary")
+    made = _with_hash(docs).mapInArrow(sets, "p long, q long, shingles binary")
     named = needed.select("p", "q", "row", _place().alias("place"))
-    found = made.join(small(named, count), ["p", "q"])
+    found = made.join(named, ["p", "q"])
     # Lines with equal sets, and rows that repeat, give a set several times.
     return stored(found.select("row", "place", "shingles"), "line-sets").dropDuplicates(["row"])
 
@@ -188,7 +193,7 @@ def _matched_in(groups: DataFrame, keys: list[str], like: Likeness) -> DataFrame
         places = [tuple((v is not None, v or 0) for v in place[i].values()) for i in one.tolist()]
         number = {p: k for k, p in enumerate(sorted(set(places)))}
         rank = np.array([number[p] for p in places])
-        n = np.array([len(s) for s in sets], np.float32)
+        n = np.array([len(s) for s in sets], np.int64)
         linked = like.linked(overlaps(sets), n[:, None], n[None, :]) & (rank[None, :] < rank[:, None])
         return pa.table({"row": rows[one][linked.any(axis=1) & asks[one]]})
 
@@ -273,7 +278,8 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness(), **sizes) -> DataF
     count = gone.count()
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), "removed")
     gone = gone.withColumnRenamed("removed", "__removed")
-    own = docs.withColumn("__text_hash", F.xxhash64(F.col("text").cast("string")))
+    own, back = set_aside(docs, "doc_id", "text", "n_chars")
+    own = own.withColumn("__text_hash", F.xxhash64(F.col("text").cast("string")))
     joined = own.join(
         small(gone, count),
         F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")),
@@ -290,6 +296,6 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness(), **sizes) -> DataF
     if "n_chars" in docs.columns:
         length = F.length("__new").cast(docs.schema["n_chars"].dataType)
         values["n_chars"] = F.when(touched, length).otherwise(F.col("n_chars"))
-    out = joined.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
+    out = joined.select(*[values.get(c, column).alias(c) for c, column in back.items()])
     again = own.groupBy("doc_id", "__text_hash").agg(F.count("*").alias("n")).where("n > 1")
     return out.dropDuplicates(["doc_id", "text"]) if again.limit(1).count() else out

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.tables import min_label_components, small, stored
-from merchlens.llm.words import SPACED, Words, distinct_per_text, shingles, text_blocks
+from merchlens.llm.tables import KeyFilter, min_label_components, set_aside, small, stored
+from merchlens.llm.words import SPACED, Words, distinct_per_text, shingles, stable_order, text_blocks
 
 #: Most shingles whose counts order the prefixes; the rest count as rare. The order only
 #: steers how many candidates there are, so any table gives the same links.
@@ -137,7 +137,8 @@ def profiles(docs: DataFrame, like: Likeness) -> DataFrame:
                     at[at == len(common)] = 0
                     known = common[at] == values
                     weight[known] = often[at[known]]
-                order = np.lexsort((weight, text))  # stable: values stay ascending
+                order = np.argsort(weight, kind="stable")  # values stay ascending
+                order = order[stable_order(text[order], b - a)]
                 first = np.cumsum(counts) - counts
                 place = np.arange(len(values)) - np.repeat(first, counts)
                 length = np.minimum(counts, counts - like.least_overlap(counts) + LEVELS)
@@ -244,14 +245,13 @@ def bounded(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
 def whole_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, like: Likeness) -> DataFrame:
     """Stored ``row, n, shingles`` of the classes in ``rows``, read from the texts again."""
     needed = stored(classes.join(rows, "row", "left_semi").select("row", "doc_id", "print"), "needed")
-    count = needed.count()
-    ids = small(needed.select(F.col("doc_id").alias("id")).distinct(), count)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    narrow = narrow.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    of_docs = KeyFilter(needed, "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, values, counts in _sets(batch, like.width):
+            some = batch.filter(pa.array(of_docs.passes(batch.column("doc_id"))))
+            for _, _, values, counts in _sets(some, like.width):
                 cuts = np.append(0, np.cumsum(counts)).tolist()
                 own = [values[i:j].tobytes() for i, j in zip(cuts, cuts[1:]) if j > i]
                 yield pa.RecordBatch.from_arrays(
@@ -264,7 +264,7 @@ def whole_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, like: Liken
                 )
 
     made = narrow.mapInArrow(sets, "print binary, n int, shingles binary")
-    found = made.join(small(needed.select("row", "print"), count), "print")
+    found = made.join(needed.select("row", "print"), "print")
     # Rows that repeat an id may give a set twice.
     return stored(found.select("row", "n", "shingles"), "sets").dropDuplicates(["row"])
 
@@ -303,12 +303,12 @@ def overlaps(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
     column, owner = number[inverse[keep]], owner[keep]
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
+    out = np.zeros((len(sets), len(sets)), np.int64)
     for first in range(0, int(shared.sum()), columns):
         a, b = np.searchsorted(column, [first, first + columns])
         part = np.zeros((len(sets), columns), np.float32)
         part[owner[a:b], column[a:b] - first] = 1
-        out += part @ part.T
+        out += (part @ part.T).astype(np.int64)  # whole numbers up to ``columns``: exact
     return out
 
 
@@ -338,7 +338,7 @@ def _links_within(groups: DataFrame, keys: list[str], like: Likeness) -> DataFra
         _, first = np.unique(rows, return_index=True)
         shingle = group["shingles"].to_pylist()
         sets = [np.frombuffer(shingle[i], np.uint64) for i in first.tolist()]
-        rows, n = rows[first], np.array([len(s) for s in sets], np.float32)
+        rows, n = rows[first], np.array([len(s) for s in sets], np.int64)
         both = overlaps(sets)
         edges = forest(like.linked(both, n[:, None], n[None, :]))
         pairs = np.array(edges, np.int64).reshape(-1, 2)
@@ -458,9 +458,10 @@ def one_per_group(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     ids = groups.groupBy("doc_id").agg(F.count_if(first).alias("n"))
     ids = stored(ids.where("n <> 1"), "ids")
     gone = ids.where("n = 0").select(F.col("doc_id").alias("id"))
-    left = docs.join(
+    own, back = set_aside(docs, "doc_id", "text")
+    left = own.join(
         small(gone, gone.count()), F.col("doc_id").eqNullSafe(F.col("id")), "left_anti"
     )
     if ids.where("n > 1").limit(1).count():
         left = left.dropDuplicates(["doc_id", "text"])
-    return left.select(docs.columns)
+    return left.select(*back.values())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +32,9 @@ def without(docs: DataFrame, *names: str) -> DataFrame:
 
 
 #: Bytes of a table that is sent to every executor; larger ones are joined by key.
-SMALL_BYTES = 8 << 20
+SMALL_BYTES = 64 << 20
+#: Numbers that a filter before a join sends to every executor (8 bytes each).
+FILTER_KEYS = 4 << 20
 
 
 def row_bytes(kind: T.DataType) -> int:
@@ -47,6 +51,33 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows * (16 + row_bytes(df.schema)) <= SMALL_BYTES else df
 
 
+class KeyFilter:
+    """Which rows can meet a table of whole-number keys, before they are shuffled to it.
+
+    Tasks get the sorted keys, 8 bytes each; of more than ``most`` distinct keys none are
+    sent and every row passes. A join that follows decides.
+    """
+
+    def __init__(self, df: DataFrame, column: str, most: int = FILTER_KEYS):
+        keys = df.select(F.col(column).cast("bigint").alias("k")).distinct()
+        count = keys.count()
+        self.keys = self.null = None
+        if count <= most:
+            found = keys.toArrow()["k"].combine_chunks()
+            self.null = found.null_count > 0
+            self.keys = np.sort(found.drop_null().to_numpy())
+
+    def passes(self, column: pa.Array) -> np.ndarray:
+        if self.keys is None:
+            return np.ones(len(column), bool)
+        missing = column.is_null().to_numpy(zero_copy_only=False)
+        values = column.fill_null(0).to_numpy()
+        if not len(self.keys):
+            return missing & self.null
+        at = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
+        return np.where(missing, self.null, self.keys[at] == values)
+
+
 def set_aside(df: DataFrame, *keep: str) -> tuple[DataFrame, dict[str, Column]]:
     """``df`` with all columns but those of ``keep`` under numbers, and every old column.
 

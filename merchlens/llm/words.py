@@ -17,6 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 LONG_WORD = 128
+#: Bytes over which running sums are made at once.
+HASHED_BYTES = 1 << 20
 #: Bytes of text that are worked on at once; one longer text is still taken whole.
 BLOCK_BYTES = 512 << 10
 
@@ -51,8 +53,14 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     if "lower" not in kept:
         lower = np.arange(256, dtype=np.uint8)
         lower[65:91] += 32
-        random = np.random.PCG64(20240229).random_raw(LONG_WORD * 256)
-        kept.update(lower=lower, random=np.asarray(random, dtype=np.uint64))
+        random = np.random.PCG64(20240229).random_raw(257)
+        kept.update(lower=lower, random=np.asarray(random[:256], dtype=np.uint64))
+        # Powers of an odd number and of its inverse, both modulo 2 to the 64.
+        base = int(random[256]) | 1
+        for name, factor in (("powers", base), ("inverse", pow(base, -1, 1 << 64))):
+            steps = np.full(HASHED_BYTES, factor, np.uint64)
+            steps[0] = 1
+            kept[name] = np.cumprod(steps)
     return kept["lower"], kept["random"]
 
 
@@ -91,18 +99,27 @@ def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> list[tuple[int, int]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash per non-empty span: a sum of random numbers by place and byte."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """One 64-bit hash per non-empty span, given in order and without overlap.
+
+    A span's hash is a polynomial in an odd number over random numbers for its bytes: a
+    difference of running sums over all bytes, shifted to the span's beginning. Long spans
+    have a cryptographic one, so no polynomial has more than ``LONG_WORD`` terms.
+    """
     _, random = _tables()
+    kept = process_cache("_merchlens_words")
+    powers, inverse = kept["powers"], kept["inverse"]
     lengths = ends - starts
-    short = np.minimum(lengths, LONG_WORD)
-    first = np.cumsum(short) - short
-    each = np.arange(int(short.sum()))
-    place = each - np.repeat(first, short)
-    sums = np.cumsum(random[(place << 8) + data[np.repeat(starts - first, short) + each]])
-    out = sums[first + short - 1].copy()
-    out[1:] -= sums[first[1:] - 1]
+    out = np.zeros(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        base = starts[a]
+        b = max(a + 1, int(np.searchsorted(ends, base + HASHED_BYTES, "right")))
+        if lengths[a] <= HASHED_BYTES:  # else a long one, alone
+            part = data[base : ends[b - 1]]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(random[part] * powers[: len(part)], out=sums[1:])
+            out[a:b] = (sums[ends[a:b] - base] - sums[starts[a:b] - base]) * inverse[starts[a:b] - base]
+        a = b
     out = mix(out + lengths.astype(np.uint64))
     for i in np.flatnonzero(lengths > LONG_WORD):
         whole = data[starts[i] : ends[i]].tobytes()

@@ -437,3 +437,41 @@ def test_crc_of_ids(spark, tokenizer):
     docs = spark.createDataFrame([(1, "some words")], SCHEMA)
     row = packing.encode_pieces(docs, tokenizer[0]).withColumn("crc", F.crc32("ids")).first()
     assert row["crc"] == zlib.crc32(row["ids"])
+
+
+# ---------------------------------------------------------------- verdicts and filters
+
+
+def test_verdicts_are_whole_numbers():
+    """Sets just at and just below the border, where single precision errs."""
+    like = ngram_join.Likeness(5, 85, 100)
+    rng = np.random.default_rng(1)
+    a = np.append(rng.integers(170_000, 2_000_000, 4000), 1_779_381)
+    b = np.append((a[:-1] * rng.uniform(0.86, 1, 4000)).astype(int), 1_554_132)
+    border = -(-85 * (a + b) // 185)
+    for both in (border - 1, border, border + 1):
+        want = [100 * int(x) >= 85 * (int(n) + int(m) - int(x)) for x, n, m in zip(both, a, b)]
+        assert like.linked(both, a, b).tolist() == want
+    sets = [np.arange(k, k + 5000, dtype=np.uint64) for k in (0, 10, 4999, 9000)]
+    found = ngram_join.overlaps(sets, columns=512)
+    assert found.dtype == np.int64
+    for i, s in enumerate(sets):
+        for j, t in enumerate(sets):
+            own = len(np.intersect1d(s, t))
+            assert i == j or found[i, j] == own
+
+
+def test_key_filter(spark):
+    import pyarrow as pa
+
+    from merchlens.llm.tables import KeyFilter, row_bytes, small
+
+    keys = spark.createDataFrame([(5,), (7,), (5,), (None,), (-3,)], "k long")
+    column = pa.array([5, 6, None, -3, 0, 7], pa.int64())
+    assert KeyFilter(keys, "k").passes(column).tolist() == [True, False, True, True, False, True]
+    named = KeyFilter(keys.where("k IS NOT NULL"), "k")
+    assert named.passes(column).tolist() == [True, False, False, True, False, True]
+    assert not KeyFilter(keys.where("false"), "k").passes(column).any()
+    assert KeyFilter(keys, "k", most=2).passes(column).all()
+    assert row_bytes(keys.schema) < row_bytes(keys.withColumn("a", F.array("k")).schema)
+    assert "Broadcast" not in str(small(keys, 1 << 40)._jdf.queryExecution().analyzed())
