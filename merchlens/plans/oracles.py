@@ -124,6 +124,35 @@ def _rerank(source: str) -> tuple[str, ...]:
     )
 
 
+def _scored_batch(n: int, triggers: str, recents: str, rated: str) -> tuple[str, ...]:
+    """Scored candidates of one batch: its newest ratings, the lists by then, all rated by then."""
+    return (
+        f"""newest{n} AS (
+  SELECT user_id, product_id, row_number() OVER (PARTITION BY user_id {NEWEST}) AS position FROM {triggers})""",
+        f"""recent{n} AS (
+  SELECT user_id, product_id, score, row_number() OVER (PARTITION BY user_id {NEWEST}) AS position
+  FROM {recents})""",
+        f"""candidates{n} AS (
+  SELECT user_id, candidate FROM (
+    SELECT t.user_id, s.sim_product_id AS candidate, row_number() OVER (
+             PARTITION BY t.user_id ORDER BY s.sim DESC, s.sim_product_id) AS rn
+    FROM newest{n} t JOIN close s ON t.product_id = s.product_id
+    WHERE t.position = 1 AND NOT EXISTS (
+      SELECT 1 FROM {rated} r WHERE r.user_id = t.user_id AND r.product_id = s.sim_product_id))
+  WHERE rn <= 20)""",
+        f"""scored{n} AS (
+  SELECT c.user_id, c.candidate AS product_id,
+         avg(s.sim * r.score)
+         + log10(greatest(count(*) FILTER (WHERE r.score > 3), 1))
+         - log10(greatest(count(*) FILTER (WHERE r.score <= 3), 1)) AS score
+  FROM candidates{n} c
+  JOIN recent{n} r ON r.user_id = c.user_id AND r.position <= 20
+  JOIN close s ON s.product_id = c.candidate AND s.sim_product_id = r.product_id
+  WHERE s.sim > 0.2
+  GROUP BY c.user_id, c.candidate)""",
+    )
+
+
 _LISTS = """SELECT u.user_id, rank, product_id, round(score, 6) AS score
 FROM rated_users u LEFT JOIN ranked k ON u.user_id = k.user_id"""
 
@@ -272,6 +301,15 @@ ORACLES = {
           UNION ALL SELECT NULL, NULL, NULL, NULL, NULL,
             concat_ws('|', user_id, product_id, s, t) FROM raw WHERE k NOT IN (0, 3, 7, 9)""",
     ),
+    "als_prediction_facts": with_(
+        RATINGS,
+        f"parted AS (SELECT *, {_BUCKET} AS bucket FROM ratings)",
+        select="""SELECT user_id, product_id, score, ts, true AS is_number FROM parted
+          WHERE bucket >= 8000 AND user_id IN (SELECT user_id FROM parted WHERE bucket < 8000)
+            AND product_id IN (SELECT product_id FROM parted WHERE bucket < 8000)""",
+    ),
+    "als_grid_facts": """SELECT CAST(r AS INT) AS rank, g AS reg_param, true AS better
+      FROM (VALUES (4), (8)) a(r), (VALUES (0.1::DOUBLE), (1.0::DOUBLE)) b(g)""",
     "als_list_facts": with_(
         RATINGS,
         select="""SELECT DISTINCT user_id, true AS in_order, true AS positive,
@@ -521,6 +559,24 @@ ORACLES = {
         *_rerank("heard"),
         select=_LISTS,
     ),
+    "stream_recs_batches": with_(
+        EVENTS,
+        "before AS (SELECT * FROM ev WHERE event_id % 4 = 0)",
+        "heard AS (SELECT * FROM ev WHERE event_type NOT IN ('error', 'signup') AND event_id % 4 <> 0)",
+        "one AS (SELECT * FROM heard WHERE event_id % 4 <> 3)",
+        "two AS (SELECT * FROM heard WHERE event_id % 4 = 3)",
+        "rated1 AS (SELECT * FROM one UNION ALL SELECT * FROM before)",
+        "rated2 AS (SELECT * FROM heard UNION ALL SELECT * FROM before)",
+        SIMS,
+        *_scored_batch(1, "one", "one", "rated1"),
+        *_scored_batch(2, "two", "heard", "rated2"),
+        """scored AS (SELECT * FROM scored2
+          UNION ALL SELECT * FROM scored1 WHERE user_id NOT IN (SELECT user_id FROM two))""",
+        """ranked AS (SELECT user_id, product_id, score, CAST(row_number() OVER (
+          PARTITION BY user_id ORDER BY score DESC, product_id) AS INT) AS rank FROM scored)""",
+        "rated_users AS (SELECT DISTINCT user_id FROM heard)",
+        select=_LISTS,
+    ),
     "stream_collected": with_(
         EVENTS,
         _log(),

@@ -665,6 +665,22 @@ def factor_predictions(spark, sf):
     return _rounded(factorization.predicted_pairs(pairs, *_factors(spark, sf)), "prediction")
 
 
+def als_prediction_facts(spark, sf):
+    """Held-out ratings of known users and products, and whether their predictions are numbers."""
+    train, test = factorization.holdout_split(inputs.ratings(spark, sf))
+    found = factorization.predict(factorization.fit_als(train, rank=8, iterations=2), test)
+    number = F.abs("prediction") < float("inf")
+    return found.select("user_id", "product_id", "score", "ts", F.coalesce(number, F.lit(False)).alias("is_number"))
+
+
+def als_grid_facts(spark, sf):
+    """Points of a small grid, and whether each predicts better than no rating at all."""
+    train, test = factorization.holdout_split(inputs.ratings(spark, sf))
+    grid = factorization.tune_als(train, test, ranks=(4, 8), reg_params=(0.1, 1.0), iterations=2)
+    nothing = factorization.rmse(test.withColumn("prediction", F.lit(0.0))).first()["rmse"]
+    return grid.select("rank", "reg_param", (F.col("rmse") < nothing).alias("better"))
+
+
 def als_list_facts(spark, sf):
     """Whether a fitted model's lists are in order, positive and dot products of its factors."""
     model = _model(spark, sf)
@@ -724,6 +740,44 @@ def stream_recs(spark, sf):
     return _rounded(unpack_recs(scorer.current_recs(spark, f"{root}/recs"), outer=True), "score")
 
 
+def stream_recs_batches(spark, sf):
+    """Lists after two runs of the scorer over a model version, with ratings from before."""
+    root = scratch_path(spark, "stream_batches")
+    events = inputs.events(spark, sf)
+    log = RatingsLog(spark, f"{root}/history", 8)
+    log.overwrite(schemas.as_ratings(events.where("event_id % 4 = 0")))
+    sims = _stored_sims(spark, sf)
+    tables.write_version(spark, f"{root}/model", sims=sims, levels=similarity.similar_levels(sims))
+    model = tables.CachedVersion(
+        spark, f"{root}/model", "product_id", sims=schemas.SIMILARITY, levels=""
+    )
+    for of in ("event_id % 4 IN (1, 2)", "event_id % 4 = 3"):
+        files.write_lines(inputs.log_lines(spark, sf, F.expr(of)), f"{root}/log")
+        log_events.write_ratings_log(
+            tail_lines(spark, f"{root}/log").select("value"), f"{root}/ratings", f"{root}/ck-ratings",
+            available_now=True, buckets=4,
+        ).awaitTermination()
+
+        def similars() -> DataFrame:
+            model.fresh()
+            return model.table("sims")
+
+        scorer.start_scorer(
+            spark,
+            f"{root}/ratings",
+            similars,
+            f"{root}/recs",
+            f"{root}/ck-recs",
+            available_now=True,
+            buckets=4,
+            history_buckets=8,
+            history=log.read,
+            levels=lambda: model.table("levels"),
+            min_sim=SCORING_FLOOR,
+        ).awaitTermination()
+    return _rounded(unpack_recs(scorer.current_recs(spark, f"{root}/recs"), outer=True), "score")
+
+
 def stream_collected(spark, sf):
     """The raw lines the collector stream passes on."""
     root = scratch_path(spark, "collected")
@@ -868,6 +922,8 @@ QUERIES = {
         als_item_sims,
         als_rmse_grid,
         als_list_facts,
+        als_prediction_facts,
+        als_grid_facts,
         factor_user_recs,
         factor_user_recs_pruned,
         summed_equations,
@@ -876,6 +932,7 @@ QUERIES = {
         holdout_split,
         rmse_item_mean,
         stream_recs,
+        stream_recs_batches,
         stream_collected,
         stream_payloads,
         stream_tail,
