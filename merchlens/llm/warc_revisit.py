@@ -49,7 +49,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     resolved revisits have ``refers_to`` and the response's headers, renewed by those the
     revisit may renew. Responses at the same time as the revisit are not earlier; of
     responses at one time the greatest id counts. Records without URL or time, or of
-    another kind, resolve nothing; revisits among them are ``missing``.
+    another kind, resolve nothing; revisits among them are ``missing``. Records that repeat
+    are resolved alike, each in a row of its own.
     """
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     headers = F.coalesce(F.col("headers"), empty)

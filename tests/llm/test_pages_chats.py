@@ -302,6 +302,24 @@ def test_revisits(spark):
     assert warc_revisit.resolve_revisits(records.where("false")).count() == 0
 
 
+def test_revisits_of_ties_and_repeated_records(spark):
+    url, long = "http://h/a", "http://h/" + "p" * 100_000
+    rows = [
+        (1, url, 10, "response", {"etag": '"x"'}),
+        (2, url, 10, "response", {"etag": '"y"'}),
+        (3, url, 20, "revisit", {"etag": '"y"'}),
+        (4, url, 10, "revisit", {"etag": '"x"'}),
+        (5, long, 1, "response", {"etag": "e"}),
+        (6, long, 2, "revisit", {"etag": "e"}),
+        (None, "", 3, "revisit", None),
+    ]
+    schema = "record_id long, url string, at long, kind string, headers map<string,string>"
+    found = warc_revisit.resolve_revisits(spark.createDataFrame(rows + rows, schema)).collect()
+    got = sorted((r["record_id"] or 0, r["outcome"], r["refers_to"] or 0) for r in found)
+    want = [(0, "missing", 0), (3, "resolved", 2), (4, "missing", 0), (6, "resolved", 5)]
+    assert got == sorted(want + want)
+
+
 def test_latest_before(spark):
     rng = random.Random(9)
     rows = []
