@@ -62,13 +62,18 @@ def load(spark: SparkSession, product_file: str, rating_file: str, store: str) -
     Every rating is kept, also several of one user for one product.
     """
     products, bad_products = files.scan_product_file(spark, product_file)
-    tables.overwrite(products, f"{store}/{PRODUCTS}")
+    tables.save_sorted(products, f"{store}/{PRODUCTS}", "product_id", files=8)
     tables.overwrite(bad_products, f"{store}/bad_{PRODUCTS}")
     rows, bad_ratings = files.scan_rating_file(spark, rating_file)
     ratings_log(spark, store).overwrite(rows)
     tables.overwrite(bad_ratings, f"{store}/bad_{RATINGS}")
 
 
+def product_data(spark: SparkSession, store: str, requests: DataFrame) -> DataFrame:
+    """Stored data of the products that requests name by ``product_id``; each once."""
+    return tables.lookup(table(spark, store, PRODUCTS, schemas.PRODUCT), requests, "product_id")
+
+
 def compute_statistics(spark: SparkSession, store: str, scale: int = 1000) -> None:
     """The three statistics tables from one pass over the ratings; merges go on from there."""
     log = totals_log(spark, store)

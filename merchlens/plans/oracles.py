@@ -469,6 +469,14 @@ ORACLES = {
         select="""SELECT query, count(*) AS n, CAST(sum(product_id) AS BIGINT) AS ids
           FROM hits GROUP BY query""",
     ),
+    "product_lookup": with_(
+        PRODUCTS,
+        EVENTS,
+        select="""SELECT product_id, name, image_url, categories, tags, 'few' AS n_asked FROM products
+          WHERE product_id % 7 = 0 AND product_id IN (SELECT product_id FROM ev)
+          UNION ALL SELECT product_id, name, image_url, categories, tags, 'many' FROM products
+          WHERE product_id IN (SELECT product_id FROM ev)""",
+    ),
     "product_info": with_(
         RATINGS,
         PRODUCTS,

@@ -466,6 +466,17 @@ def product_info(spark, sf):
     return _rounded(serving.product_info(requests, _served(spark, sf)), "avg_score")
 
 
+def product_lookup(spark, sf):
+    """Products by number from the sorted layout, for more and for fewer keys than a scan filters."""
+    path = scratch_path(spark, "products_sorted")
+    tables.save_sorted(inputs.products(spark, sf), path, "product_id", files=16)
+    stored = tables.read_table(spark, path, schemas.PRODUCT)
+    asked = inputs.events(spark, sf).select("product_id")
+    few = tables.lookup(stored, asked.where("product_id % 7 = 0"), "product_id")
+    many = tables.lookup(stored, asked, "product_id", most=5)
+    return few.withColumn("n_asked", F.lit("few")).union(many.withColumn("n_asked", F.lit("many")))
+
+
 def products_in_lists(spark, sf):
     rated = inputs.events(spark, sf).select("product_id")
     return _rounded(serving.products_in(_served(spark, sf), rated), "score")
@@ -907,6 +918,7 @@ QUERIES = {
         product_search,
         product_search_table,
         product_info,
+        product_lookup,
         products_in_lists,
         serve_similars,
         serve_content_similars,

@@ -51,6 +51,30 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str |
     return df.sparkSession.table(name)
 
 
+#: Keys that a lookup states as a filter of the scan; more are joined only.
+LOOKUP_KEYS = 10_000
+
+
+def save_sorted(df: DataFrame, path: str, key: str, files: int = 64, block_bytes: int = 8 << 20) -> None:
+    """Replace a table by files of key ranges, sorted, with small row groups and a bloom
+    filter of the key in each, so a lookup of a few keys reads a few row groups."""
+    rows = df.repartitionByRange(files, key).sortWithinPartitions(key)
+    writer = rows.write.mode("overwrite").option("parquet.block.size", block_bytes)
+    writer.option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path)
+
+
+def lookup(table: DataFrame, requests: DataFrame, key: str, most: int = LOOKUP_KEYS) -> DataFrame:
+    """Rows of a stored table whose key some request has.
+
+    Up to ``most`` distinct keys also become a filter of the scan, which passes over the row
+    groups that cannot hold any of them.
+    """
+    wanted = requests.select(key).where(F.col(key).isNotNull()).distinct()
+    some = [r[0] for r in wanted.limit(most + 1).collect()]
+    rows = table.where(F.col(key).isin(some)) if len(some) <= most else table
+    return rows.join(wanted, key, "left_semi")
+
+
 def user_bucket(buckets: int = USER_BUCKETS):
     return F.pmod(F.hash(F.col("user_id").cast("int")), F.lit(buckets)).alias("user_bucket")
 

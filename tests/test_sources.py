@@ -89,3 +89,23 @@ def test_message_encoding(spark, table):
     message = topics.encode_messages(lines).first()
     assert bytes(message.key) == b"17" and bytes(message.value) == b"17|2|3.0|4"
     assert rows(topics.decode_values(topics.encode_messages(lines))) == [("17|2|3.0|4",)]
+
+
+def rows_scanned(df):
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def test_lookups_pass_over_row_groups(spark, tmp_path):
+    many = spark.range(20_000).selectExpr("CAST(id * 7919 % 20011 AS INT) AS product_id", "repeat('x', 200) AS name")
+    tables.save_sorted(many, str(tmp_path / "p"), "product_id", files=4, block_bytes=1 << 16)
+    table = spark.read.parquet(str(tmp_path / "p"))
+    assert table.count() == 20_000
+    held = [r[0] for r in many.limit(3).collect()]
+    few = table.where(F.col("product_id").isin(held))
+    assert few.count() == 3 and rows_scanned(few) <= 0.5 * 20_000
+    asked = spark.createDataFrame([(k,) for k in [*held, held[0], None, -5]], "product_id INT")
+    for most in (2, 100):
+        assert sorted(r[0] for r in tables.lookup(table, asked, "product_id", most).collect()) == sorted(held)
+    assert tables.lookup(table, asked.where("false"), "product_id").count() == 0
