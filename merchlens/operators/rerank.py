@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from merchlens.constants import LIKE_THRESHOLD, SCORING_SIMILARITY_FLOOR, SIMILAR_CANDIDATES
 from merchlens.functions.expr import log10_count
 from merchlens.functions.ranking import pack_recs, top_per_key
-from merchlens.operators.similarity import similarity_level
+from merchlens.operators.similarity import similarity_level, similars_of_pairs
+from merchlens.session import read_stored
 
 
 def unrated_similars(
@@ -48,6 +49,20 @@ def unrated_similars(
     )
 
 
+def wanted_depths(triggers: DataFrame, rated: DataFrame, k: int = SIMILAR_CANDIDATES) -> DataFrame:
+    """``product_id, depth``: how many similars of a trigger's product any of its users may need.
+
+    As many as ``k`` and the products that the user has rated; ``similarity.similars_of``
+    finds them without the table of all pairs.
+    """
+    rated_counts = (
+        rated.select("user_id", "product_id").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("_r"))
+    )
+    needed = F.coalesce("_r", F.lit(0)) + k
+    asked = triggers.select("user_id", "product_id").join(rated_counts, "user_id", "left")
+    return asked.where("product_id IS NOT NULL").groupBy("product_id").agg(F.max(needed).alias("depth"))
+
+
 def _wanted_levels(triggers, rated, levels, k):
     """Triggers once per similarity level that may hold one of their ``k`` products.
 
@@ -127,15 +142,24 @@ def rerank(
     min_sim: float = SCORING_SIMILARITY_FLOOR,
     levels: DataFrame | None = None,
     few: bool = False,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Scored candidates ``(trigger_id, user_id, product_id, score)``.
 
     With ``few`` triggers (the caller has counted them) the similarity table is first cut
     to the triggers' products, and for the scores to the candidates, without a shuffle of
-    the table.
+    the table. With ``vectors`` (``product_id, features``) the similarity of a candidate and a
+    recent product is taken from their vectors, and ``sims`` may be no more than what
+    ``similarity.similars_of`` gives for ``wanted_depths``.
     """
     near = of_products(sims, triggers) if few else sims
     candidates = unrated_similars(triggers, rated, near, k, levels)
+    if vectors is not None:
+        candidates = read_stored(candidates, "candidates")
+        recent = recents.select("trigger_id", F.col("product_id").alias("sim_product_id"))
+        pairs = candidates.select("trigger_id", F.col("candidate").alias("product_id")).join(recent, "trigger_id")
+        pairs = pairs.select("product_id", "sim_product_id").distinct()
+        return score_candidates(candidates, recents, similars_of_pairs(pairs, vectors, min_sim), min_sim)
     close = of_products(sims, candidates, "candidate") if few else sims
     return score_candidates(candidates, recents, close, min_sim)
 

@@ -33,10 +33,12 @@ def score_batch(
     k: int = SIMILAR_CANDIDATES,
     min_sim: float = SCORING_SIMILARITY_FLOOR,
     levels: DataFrame | None = None,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Lists ``(user_id, recs)`` for one batch of ``recent_lists`` rows.
 
-    A batch of up to ``FEW_TRIGGERS`` users moves only its own part of the table.
+    A batch of up to ``FEW_TRIGGERS`` users moves only its own part of the table. With
+    ``vectors`` the table needs no similars of candidates (``rerank``).
     """
     few = batch.count() <= FEW_TRIGGERS
     triggers = batch.select(F.col("user_id").alias("trigger_id"), "user_id", "product_id")
@@ -44,7 +46,7 @@ def score_batch(
         F.col("user_id").alias("trigger_id"),
         F.explode(F.slice("recents", 1, n_recent)).alias("_r"),
     ).select("trigger_id", "_r.product_id", "_r.score")
-    scored = rerank(triggers, recents, rated, sims, k, min_sim, levels, few)
+    scored = rerank(triggers, recents, rated, sims, k, min_sim, levels, few, vectors)
     return rerank_lists(triggers, scored).select("user_id", "recs")
 
 
@@ -61,6 +63,7 @@ def start_scorer(
     cap: int = RECENT_LIST_CAP,
     history: Callable[[], DataFrame] | None = None,
     levels: Callable[[], DataFrame] | None = None,
+    vectors: Callable[[], DataFrame] | None = None,
     **scoring,
 ):
     """Follow the ratings table and write the refreshed lists of every batch.
@@ -85,7 +88,8 @@ def start_scorer(
                 rated = rated.unionByName(before)
             similars = sims()  # may turn to a newer version; levels() then follows
             bounds = levels() if levels else None
-            recs = score_batch(batch, rated, similars, levels=bounds, **scoring)
+            products = vectors() if vectors else None
+            recs = score_batch(batch, rated, similars, levels=bounds, vectors=products, **scoring)
             recs.write.mode("overwrite").parquet(f"{recs_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()

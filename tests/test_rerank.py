@@ -5,7 +5,7 @@ import pytest
 from helpers import rows
 
 from merchlens.operators import rerank
-from merchlens.operators.similarity import similar_levels
+from merchlens.operators.similarity import similar_levels, similar_products, similars_of
 
 TRIGGER = "trigger_id INT, user_id INT, product_id INT"
 RECENT = "trigger_id INT, product_id INT, score DOUBLE"
@@ -125,3 +125,27 @@ def test_levels_cut_the_candidates(table):
 def test_latest_trigger(table):
     events = table([(1, 5, 10), (1, 7, 10), (1, 9, 3), (2, 1, 1)], "user_id INT, product_id INT, ts BIGINT")
     assert rows(rerank.latest_triggers(events)) == [(1, 1, 7), (2, 2, 1)]
+
+
+@pytest.mark.parametrize("k", [1, 5])
+def test_lists_of_asked_products_and_vectors_give_the_scores_of_all_pairs(table, world, k):
+    """Re-ranking needs no table of all pairs: the triggers' similars and the scored pairs do."""
+    triggers, recents, rated, _ = world
+    rng = np.random.default_rng(4)
+    data = [(i, [float(x) for x in rng.normal(size=5)]) for i in range(60)]
+    data[9] = (9, data[0][1])
+    vectors = table(data, "product_id INT, features ARRAY<DOUBLE>")
+    frames = table(triggers, TRIGGER), table(recents, RECENT), table(rated, RATED)
+    all_pairs = similar_products(vectors, 0.1)
+    sims = similars_of(rerank.wanted_depths(frames[0], frames[2], k), vectors, 0.1)
+    assert sims.count() < all_pairs.count()
+    got = rerank.rerank(*frames, sims, k, 0.2, similar_levels(sims), vectors=vectors)
+    got = [(r.trigger_id, r.user_id, r.product_id, round(r.score, 9)) for r in got.collect()]
+    pairs = [(r.product_id, r.sim_product_id, r.sim) for r in all_pairs.collect()]
+    assert sorted(got, key=repr) == reference(triggers, recents, rated, pairs, k, 0.2)
+
+
+def test_depth_of_a_product_is_its_greediest_users(table):
+    triggers = table([(1, 1, 5), (2, 2, 5), (3, 3, 6), (4, None, 7), (5, 1, None)], TRIGGER)
+    rated = table([(1, 5), (1, 5), (1, 6), (1, 7), (2, 5)], RATED)
+    assert rows(rerank.wanted_depths(triggers, rated, 20)) == [(5, 23), (6, 20), (7, 20)]
