@@ -168,6 +168,27 @@ def test_short_vectors_are_never_multiplied(spark):
     assert reached <= 0.25 * 40 * 22
 
 
+def test_users_are_sent_once_per_wide_block(spark, monkeypatch):
+    """Small blocks of products do not multiply the rows of users that reach into many."""
+    users, items = skewed(30, 400)
+    items = {p: v / (v @ v) ** 0.5 for p, v in items.items()}  # of one length: nothing is pruned
+    left, right = tables_of(spark, users, items, 3)
+    sent, join = [], fm._best_pairs
+    monkeypatch.setattr(fm, "_best_pairs", lambda a, b, *more: sent.append(a.count()) or join(a, b, *more))
+    best = fm.best_products(left, right, item_block=10)
+    assert unpacked(fm.recs_from_predictions(best, 3)) == best_by_loops(users, items, 3)
+    assert sent == [30, 30]
+
+
+def test_extreme_lengths_are_compared(spark):
+    users, items = skewed(6, 30)
+    users[1], items[7] = users[1] * 1e-200, items[7] * 1e-170
+    best = fm.best_products(*tables_of(spark, users, items, 40))
+    assert {(r.user_id, r.product_id) for r in best.collect() if r.user_id > 1} >= {
+        (u, 7) for u in range(2, 6) if users[u] @ items[7] > 0
+    }
+
+
 def test_vectors_of_another_size_have_no_predictions(spark):
     users, items = skewed(6, 30)
     left, right = tables_of(spark, users, items, 4)
