@@ -60,6 +60,22 @@ def test_statistics_follow_merges(spark, tmp_path):
     assert totals.state().count() == 2
 
 
+def test_fold_spreads_the_sums(spark, tmp_path):
+    """As many tasks add up a table as its shuffle has, not as there are changes."""
+    totals = TotalsLog(spark, str(tmp_path))
+    rows_ = spark.range(4000).selectExpr(
+        "CAST(id AS INT) AS product_id", "202401 AS yearmonth", "2L AS count", "1L AS n_scores", "3.5D AS sum_score"
+    )
+    totals.add(rows_, "base")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        totals.fold()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(totals.read().inputFiles()) > 1
+    assert rows(totals.totals()) == rows(rows_)
+
+
 PATTERNS = {
     "abc": ["abc"], "^abcd$": ["abc", "bcd"], "ab?cd": [], "abcx?": ["abc"], "abc*de": [], "a.c": [], "[abc]def": ["def"],
     r"a\.bc": ["a.b", ".bc"], r"\dabc": ["abc"], "abc|d": [], "(abc)": [], "(?i)abc": [], "abc+de": ["abc"],
