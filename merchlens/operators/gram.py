@@ -1,13 +1,15 @@
 """Explicit-feedback factors from normal equations that are added up, not gathered.
 
-One side's vectors are solved from the other's. A light user or product has its ratings
-sorted into one partition, which adds up its equations row by row. A heavy one, with more
-ratings than a task should hold, is never gathered: every task adds up its own share, and
-only these sums, one matrix per task, meet. So no task holds all ratings of a product, and
-none of a heavy one's ratings is shuffled for it.
+One side's vectors are solved from the other's. Light users (or products) are cut into
+blocks; a vector of the other side is sent once to every block that needs it, not once per
+rating, and a block's task streams its ratings, sorted by user, past these vectors. A heavy
+one, with more ratings than a task should hold, is never gathered: every task adds up its
+own share, and only these sums, one matrix per task, meet. So no task holds all ratings of a
+product, and none of a heavy one's ratings is shuffled for it.
 """
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -16,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens import constants
-from merchlens.functions.expr import dot
 from merchlens.session import read_stored
 
 #: Ratings from which on a user or product is heavy.
@@ -25,6 +26,10 @@ HEAVY = 100_000
 HELD = 512
 #: Numbers in a slice of outer products.
 SLICE_CELLS = 4_000_000
+#: Numbers in the vectors that a block of light ones may need, in double precision 512 MB.
+BLOCK_CELLS = 64_000_000
+#: Ratings of a block that are solved at once.
+CHUNK_ROWS = 100_000
 
 
 class Factors(NamedTuple):
@@ -88,27 +93,181 @@ def _vectors(ids, vectors: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), lists], names=["id", "features"])
 
 
-def _light(rows: DataFrame, rank: int, reg_param: float) -> DataFrame:
-    """``id, features`` of ids whose ratings (``id, score, features``) fit into a task."""
+class Blocks(NamedTuple):
+    """Ratings dealt to blocks by one side: ``rows`` (``block, id, other, score``), the
+    distinct ``links`` (``block, other``) and the number of blocks."""
 
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = Sums(rank)
-        last = None
+    rows: DataFrame
+    links: DataFrame
+    count: int
+
+
+def blocks_of(rows: DataFrame, key: str, other: str, n_rows: int, numbers: int) -> Blocks:
+    """Blocks by ``key`` that need vectors of at most ``BLOCK_CELLS`` numbers, ``numbers`` in each.
+
+    No more than one for two cores while they are that small: each is sent nearly all vectors.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    count = max(1, math.ceil(cores / 2), math.ceil(n_rows * numbers / BLOCK_CELLS))
+    rows = rows.select(
+        F.pmod(F.xxhash64(key), F.lit(count)).cast("int").alias("block"),
+        F.col(key).alias("id"), F.col(other).alias("other"), "score",
+    )
+    return Blocks(rows, read_stored(rows.select("block", "other").distinct(), f"links-{key}"), count)
+
+
+def _met(
+    blocks: Blocks, fixed: DataFrame, own: DataFrame | None, work: Callable[[], Callable], schema: str, whole: bool = False
+) -> DataFrame:
+    """What ``work`` makes of every block's ratings, which follow the vectors that they need.
+
+    ``fixed`` and ``own`` have ``id, features``: vectors of the other side and, if the work
+    asks for them, of the blocks' own ids. Ratings without a vector are left out. For every
+    block ``work()`` gives a function of ratings sorted by id: ids, places among the other
+    side's vectors, these vectors, places among the own vectors, these, scores and which of
+    the scores are not null. With ``whole`` all ratings of an id come in one call.
+    """
+    none = F.lit(None)
+
+    def at(block, kind: int) -> Column:
+        """One number to sort by, which Spark does faster than by three columns."""
+        return ((block * 4 + kind).cast("bigint") * (1 << 32) + F.col("id") + (1 << 31)).alias("at")
+
+    sent = blocks.links.join(fixed.select(F.col("id").alias("other"), "features"), "other")
+    sent = sent.select("block", F.col("other").alias("id"), "features")
+    parts = [sent.select(at(F.col("block"), 0), none.cast("int").alias("other"), none.cast("double").alias("score"), "features")]
+    if own is not None:
+        block = F.pmod(F.xxhash64("id"), F.lit(blocks.count)).cast("int")
+        parts.append(own.select(at(block, 1), none.cast("int"), none.cast("double"), "features"))
+    # No vector is an empty one: nulls in a row cost Arrow's list writer the square of their number.
+    empty = F.array().cast(fixed.schema["features"].dataType)
+    parts.append(blocks.rows.select(at(F.col("block"), 2), "other", F.col("score").cast("double"), empty))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.union(part)
+    rows = rows.repartitionById(blocks.count, F.shiftright("at", 34).cast("int")).sortWithinPartitions("at")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column("id").to_numpy()
-            sums.add(ids, _matrix(batch.column("features"), rank), batch.column("score").to_numpy())
-            last = int(ids[-1])  # may go on in the next batch
-            done, *parts = sums.taken([i for i in sums.held if i != last])
-            if done:
-                yield _vectors(done, solved(*parts, reg_param))
-        done, *parts = sums.taken()
-        if done:
-            yield _vectors(done, solved(*parts, reg_param))
+            at = batch.column("at").to_numpy()
+            part, ids = at >> 32, ((at & 0xFFFFFFFF) - (1 << 31)).astype(np.int32)
+            cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
+                block, kind = divmod(int(part[start]), 4)
+                if task is None or task.block != block:
+                    if task is not None:
+                        yield from task.ratings(None)
+                    task = _Task(block, work(), whole)
+                some = batch.slice(start, end - start)
+                if kind < 2:
+                    task.vectors(kind, ids[start:end], some.column("features"))
+                else:
+                    yield from task.ratings(ids[start:end], some)
+        if task is not None:
+            yield from task.ratings(None)
+
+    return rows.mapInArrow(meet, schema)
+
+
+class _Task:
+    """One block inside a task: its vectors, and the ratings that wait for their id's last."""
+
+    def __init__(self, block: int, work: Callable, whole: bool):
+        self.block, self.work, self.whole = block, work, whole
+        self.parts: list[list] = [[], []]
+        self.known: list[tuple[np.ndarray, np.ndarray]] | None = None
+        self.waiting: list[tuple[np.ndarray, ...]] = []
+        self.n = 0
+
+    def vectors(self, kind: int, ids: np.ndarray, features: pa.Array) -> None:
+        self.parts[kind].append((ids, features.flatten().to_numpy().reshape(len(ids), -1)))
+
+    def ratings(self, ids: np.ndarray | None, batch: pa.RecordBatch | None = None) -> Iterator[pa.RecordBatch]:
+        if self.known is None:
+            self.known = []
+            for kind in (0, 1):
+                some = self.parts[kind] or [(np.empty(0, np.int32), np.empty((0, 1)))]
+                self.known.append(tuple(np.concatenate(c) for c in zip(*some)))
+                self.parts[kind] = []
+        if batch is not None:
+            score = batch.column("score")
+            self.waiting.append((
+                ids, batch.column("other").to_numpy(),
+                score.to_numpy(zero_copy_only=False), score.is_valid().to_numpy(zero_copy_only=False),
+            ))
+            self.n += batch.num_rows
+            if self.n < CHUNK_ROWS:
+                return
+        if not self.waiting:
+            return
+        ids, other, score, valid = (np.concatenate(c) for c in zip(*self.waiting))
+        # The last id may go on in the next batch.
+        end = int(np.searchsorted(ids, ids[-1])) if batch is not None and self.whole else len(ids)
+        rest = slice(end, None)
+        self.waiting = [(ids[rest], other[rest], score[rest], valid[rest])] if end < len(ids) else []
+        self.n = len(ids) - end
+        ids, other, score, valid = ids[:end], other[:end], score[:end], valid[:end]
+        (fixed_ids, fixed), (own_ids, own) = self.known
+        place, have = _found(fixed_ids, other)
+        mine, also = _found(own_ids, ids) if len(own_ids) else (np.zeros(len(ids), np.int64), np.ones(len(ids), bool))
+        keep = have & also
+        if keep.any():
+            yield from self.work(ids[keep], place[keep], fixed, mine[keep], own, score[keep], valid[keep])
+
+
+def _found(sorted_ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    place = np.searchsorted(sorted_ids, wanted)
+    place[place == len(sorted_ids)] = 0
+    have = sorted_ids[place] == wanted if len(sorted_ids) else np.zeros(len(wanted), bool)
+    return place, have
+
+
+def solved_rows(x: np.ndarray, r: np.ndarray, reg_param: float) -> np.ndarray:
+    """Vectors of ids with the same number of ratings: ``x`` is ids by ratings by rank.
+
+    With fewer ratings than numbers in a vector the penalised equations are solved in the
+    ratings' own space, which gives the same vector from a smaller matrix.
+    """
+    ids, n, rank = x.shape
+    across = x.transpose(0, 2, 1)
+    if n < rank and reg_param > 0:
+        weights = np.linalg.solve(x @ across + reg_param * n * np.eye(n), r[:, :, None])
+        return (across @ weights)[:, :, 0]
+    right = (across @ r[:, :, None])[:, :, 0]
+    return solved(across @ x, right, np.full(ids, n), reg_param)
 
-    sorted_ = rows.repartition("id").sortWithinPartitions("id")
-    return sorted_.mapInArrow(solve, "id int, features array<double>")
+
+def solved_runs(ids, place, vectors, score, rank: int, reg_params: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids in order and their vectors, one of ``rank`` numbers after the other per penalty."""
+    begin = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    n = np.diff(np.append(begin, len(ids)))
+    found = np.empty((len(begin), rank * len(reg_params)))
+    for k in np.unique(n):
+        same = np.flatnonzero(n == k)
+        step = max(1, SLICE_CELLS // int(k * found.shape[1]))
+        for a in range(0, len(same), step):
+            some = same[a : a + step]
+            rows = begin[some][:, None] + np.arange(k)
+            x, r = vectors[place[rows]].astype(np.float64), score[rows]
+            for j, reg_param in enumerate(reg_params):
+                cut = slice(j * rank, (j + 1) * rank)
+                found[some, cut] = solved_rows(x[:, :, cut], r, reg_param)
+    return ids[begin], found
+
+
+def _light(blocks: Blocks, fixed: DataFrame, rank: int, reg_params: tuple[float, ...]) -> DataFrame:
+    """``id, features`` of ids whose ratings fit into a task."""
+
+    def work():
+        def solve(ids, place, vectors, mine, own, score, valid):
+            yield _vectors(*solved_runs(ids, place, vectors, score, rank, reg_params))
+
+        return solve
+
+    return _met(blocks, fixed, None, work, "id int, features array<double>", whole=True)
 
 
 def _heavy(rows: DataFrame, rank: int, reg_param: float) -> DataFrame:
@@ -160,25 +319,33 @@ def start_vectors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
     return ids.select("id", F.array(*[part(k) for k in range(rank)]).alias("features"))
 
 
-def half_step(rated: DataFrame, key: str, fixed: DataFrame, fixed_key: str, rank: int, reg_param: float) -> DataFrame:
+def half_step(
+    rated: DataFrame, key: str, fixed: DataFrame, fixed_key: str, rank: int, reg_param, blocks: Blocks
+) -> DataFrame:
     """The vectors of one side (``key, features``), given the other's.
 
     ``rated`` has ``user_id, product_id, score`` and, for each side, whether the row's user
-    or product is heavy.
+    or product is heavy; ``blocks`` the rows whose ``key`` is not heavy. ``reg_param`` is one
+    penalty or several, whose vectors then stand one after the other in ``features``.
     """
-    rows = rated.join(fixed, fixed_key).select(
-        F.col(key).alias("id"), "score", "features", F.col(f"heavy_{key}").alias("heavy")
-    )
-    light = _light(rows.where("NOT heavy").drop("heavy"), rank, reg_param)
-    heavy = _heavy(rows.where("heavy").drop("heavy"), rank, reg_param)
-    return read_stored(light.union(heavy).withColumnRenamed("id", key), f"factors-{key}")
+    reg_params = reg_param if isinstance(reg_param, tuple) else (reg_param,)
+    light = _light(blocks, fixed.select(F.col(fixed_key).alias("id"), "features"), rank, reg_params)
+    rows = rated.where(f"heavy_{key}").join(fixed, fixed_key).select(F.col(key).alias("id"), "score", "features")
+    cuts = [F.slice("features", j * rank + 1, rank).alias("features") for j in range(len(reg_params))]
+    heavy = [_heavy(rows.select("id", "score", cut), rank, x) for cut, x in zip(cuts, reg_params)]
+    joined = heavy[0]
+    for more in heavy[1:]:
+        both = joined.join(more.withColumnRenamed("features", "_more"), "id")
+        joined = both.select("id", F.concat("features", "_more").alias("features"))
+    found = light.union(joined).select(F.col("id").alias(key), F.col("features").cast(fixed.schema["features"].dataType))
+    return read_stored(found, f"factors-{key}")
 
 
 def fit_factors(
     ratings: DataFrame,
     rank: int = constants.ALS_RANK,
     iterations: int = constants.ALS_ITERATIONS,
-    reg_param: float = constants.ALS_REGULARISATION,
+    reg_param: float | tuple[float, ...] = constants.ALS_REGULARISATION,
     seed: int = 0,
     heavy: int = HEAVY,
     start: DataFrame | None = None,
@@ -189,7 +356,9 @@ def fit_factors(
     Products begin with ``start`` (``product_id, features``) or with short random vectors.
     Rows with a null id or a score that is null or not finite are left out; rows that
     repeat a user and a product all count. Both sides' vectors are stored after each half
-    round, so a lost executor repeats one half at most. No ratings give no vectors.
+    round, so a lost executor repeats one half at most. No ratings give no vectors. With
+    several penalties all are fitted in one go, from the same start. Vectors are kept in the
+    precision of ``start``; sums are made in double precision.
     """
     good = F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))
     rows = ratings.select("user_id", "product_id", F.col("score").cast("double").alias("score"))
@@ -205,11 +374,18 @@ def fit_factors(
     if start is None:
         ids = rated.select(F.col("product_id").alias("id")).distinct()
         start = start_vectors(ids, rank, seed).withColumnRenamed("id", "product_id")
-    items = read_stored(start.select("product_id", "features"), "factors-start")
+    times = len(reg_param) if isinstance(reg_param, tuple) else 1
+    features = F.flatten(F.array_repeat("features", times))
+    items = read_stored(start.select("product_id", features.alias("features")), "factors-start")
+    n = rated.count()
+    by_user, by_item = (
+        blocks_of(rated.where(f"NOT heavy_{key}"), key, other, n, rank * times)
+        for key, other in (("user_id", "product_id"), ("product_id", "user_id"))
+    )
     users = None
     for _ in range(iterations):
-        users = half_step(rated, "user_id", items, "product_id", rank, reg_param)
-        items = half_step(rated, "product_id", users, "user_id", rank, reg_param)
+        users = half_step(rated, "user_id", items, "product_id", rank, reg_param, by_user)
+        items = half_step(rated, "product_id", users, "user_id", rank, reg_param, by_item)
     return Factors(users, items)
 
 
@@ -217,12 +393,55 @@ def gradients(ratings: DataFrame, factors: Factors, reg_param: float) -> DataFra
     """``product_id, gradient``: the greatest entry of what the fit leaves undone for each
     product: 0 but for rounding right after the products were solved."""
     rows = ratings.select("user_id", "product_id", F.col("score").cast("double").alias("score"))
-    users = factors.users.select("user_id", F.col("features").alias("_u"))
-    items = factors.items.select("product_id", F.col("features").alias("_p"))
-    both = rows.join(users, "user_id").join(items, "product_id")
-    error = F.col("score") - dot(F.col("_u"), F.col("_p"))
-    parts = both.select("product_id", error.alias("e"), F.posexplode(F.arrays_zip("_u", "_p")).alias("k", "x"))
-    sums = parts.groupBy("product_id", "k").agg(
-        F.sum(F.col("e") * F.col("x._u") - F.lit(reg_param) * F.col("x._p")).alias("g")
-    )
+    rows = rows.where("user_id IS NOT NULL AND product_id IS NOT NULL")
+    size = factors.items.select(F.size("features")).first()
+    blocks = blocks_of(rows, "product_id", "user_id", rows.count(), size[0] if size else 1)
+
+    def work():
+        def undone(ids, place, vectors, mine, own, score, valid):
+            begin = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            x, p = vectors[place].astype(np.float64), own[mine].astype(np.float64)
+            error = score - (x * p).sum(axis=1)
+            each = np.where(valid[:, None], error[:, None] * x - reg_param * p, 0.0)
+            g = np.add.reduceat(each, begin, axis=0)
+            n = np.add.reduceat(valid.astype(np.int64), begin)
+            yield pa.RecordBatch.from_arrays(
+                [*_vectors(ids[begin], g).columns, pa.array(n)], names=["product_id", "g", "n"]
+            )
+
+        return undone
+
+    users, items = (side.withColumnRenamed(side.columns[0], "id") for side in factors)
+    # A product comes once per chunk that holds some of its ratings: the parts are added up.
+    parts = _met(blocks, users, items, work, "product_id int, g array<double>, n bigint")
+    each = parts.select("product_id", "n", F.posexplode("g").alias("k", "x"))
+    sums = each.groupBy("product_id", "k").agg(F.when(F.sum("n") > 0, F.sum("x")).alias("g"))
     return sums.groupBy("product_id").agg(F.max(F.abs("g")).alias("gradient"))
+
+
+def squared_errors(pairs: DataFrame, factors: Factors, rank: int, times: int = 1) -> DataFrame:
+    """``n`` and ``squares`` of the predictions of ``user_id, product_id, score``, one number
+    for each of the ``times`` fits whose vectors stand one after the other."""
+    rows = pairs.select("user_id", "product_id", F.col("score").cast("double").alias("score"))
+    rows = rows.where("user_id IS NOT NULL AND product_id IS NOT NULL")
+    blocks = blocks_of(rows, "user_id", "product_id", rows.count(), rank * times)
+
+    def work():
+        def errors(ids, place, vectors, mine, own, score, valid):
+            n, squares = np.zeros(times, np.int64), np.zeros(times)
+            step = max(1, SLICE_CELLS // (rank * times))
+            for a in range(0, len(ids), step):
+                cut = slice(a, a + step)
+                x = (vectors[place[cut]].astype(np.float64) * own[mine[cut]]).reshape(-1, times, rank).sum(axis=2)
+                good = valid[cut, None] & ~np.isnan(x)
+                n += good.sum(axis=0)
+                squares += np.where(good, (score[cut, None] - x) ** 2, 0.0).sum(axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(times), pa.int32()), pa.array(n), pa.array(squares)], names=["fit", "n", "squares"]
+            )
+
+        return errors
+
+    users, items = (side.withColumnRenamed(side.columns[0], "id") for side in factors)
+    parts = _met(blocks, items, users, work, "fit int, n bigint, squares double")
+    return parts.groupBy("fit").agg(F.sum("n").alias("n"), F.sum("squares").alias("squares"))

@@ -1,6 +1,7 @@
 """Factors from added-up normal equations against a dense fit."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,59 @@ def test_heavy_ratings_are_not_shuffled(spark, rated, monkeypatch):
     assert sent[1][1].count() == 1
 
 
+def test_vectors_are_sent_once_per_block(spark, rated, monkeypatch):
+    """Many ratings of one product by the users of a block need its vector there once."""
+    sent, met = [], gram._met
+    monkeypatch.setattr(gram, "_met", lambda blocks, *more, **kw: sent.append(blocks) or met(blocks, *more, **kw))
+    gram.fit_factors(spark.createDataFrame(rated, RATINGS), 3, 1, 0.1)
+    for blocks in sent:
+        links = [tuple(r) for r in blocks.links.collect()]
+        assert len(links) == len(set(links)) < blocks.rows.count()
+    assert len(sent) == 2 and sent[0].links.where("other = 0").count() <= sent[0].count < 150
+
+
+@pytest.mark.parametrize("n", [2, 5, 9])
+def test_few_ratings_are_solved_in_their_own_space(n):
+    rng = np.random.default_rng(n)
+    x, r = rng.normal(size=(3, n, 5)), rng.normal(size=(3, n))
+    for found, a, b in zip(gram.solved_rows(x, r, 0.1), x, r):
+        assert np.allclose(found, np.linalg.solve(a.T @ a + 0.1 * n * np.eye(5), a.T @ b))
+
+
+def test_chunks_several_penalties_and_errors(spark, rated, monkeypatch):
+    """Ids that go on in the next chunk, fits side by side, and what they leave undone."""
+    data = spark.createDataFrame(rated, RATINGS)
+    both = gram.fit_factors(data, 4, 2, (0.05, 0.5), seed=1)
+    vectors = {r["product_id"]: r["features"] for r in both.items.collect()}
+    for j, reg in enumerate((0.05, 0.5)):
+        one = gram.fit_factors(data, 4, 2, reg, seed=1, heavy=30)
+        for r in one.items.collect():
+            assert np.allclose(vectors[r["product_id"]][4 * j : 4 * j + 4], r["features"])
+    users = {r["user_id"]: np.array(r["features"]) for r in both.users.collect()}
+    odd = spark.createDataFrame([(1, 1, None), (999, 1, 2.0), (1, 999, 2.0), (None, 1, 1.0)], RATINGS)
+    found = gram.squared_errors(data.union(odd), both, 4, 2).orderBy("fit").collect()
+    for j, r in enumerate(found):
+        cut = slice(4 * j, 4 * j + 4)
+        want = sum((s - users[u][cut] @ np.array(vectors[p][cut])) ** 2 for u, p, s in rated)
+        assert (r["fit"], r["n"]) == (j, len(rated)) and r["squares"] == pytest.approx(want)
+
+
+def test_a_task_hands_on_whole_ids():
+    calls = []
+    task = gram._Task(0, lambda ids, *more: calls.append(ids.tolist()) or [], True)
+    def batch(other):
+        return pa.RecordBatch.from_arrays([pa.array(other, pa.int32()), pa.array([1.0] * len(other))], names=["other", "score"])
+    task.vectors(0, np.array([4, 6], np.int32), pa.array([[1.0, 2.0], [3.0, 4.0]]))
+    few, gram.CHUNK_ROWS = gram.CHUNK_ROWS, 2
+    try:
+        list(task.ratings(np.array([1, 2], np.int32), batch([4, 6])))
+        list(task.ratings(np.array([2, 3], np.int32), batch([5, 4])))
+        list(task.ratings(None))
+    finally:
+        gram.CHUNK_ROWS = few
+    assert calls == [[1], [2], [3]]
+
+
 def test_sums_in_slices(monkeypatch):
     rng = np.random.default_rng(0)
     ids = np.sort(rng.integers(0, 9, 200))
