@@ -105,6 +105,31 @@ def test_grid(ratings):
     assert best.reg_param == 0.01 and best.rmse == min(r.rmse for r in grid.collect())
 
 
+def test_wide_ranks_are_fitted_as_by_the_fit(ratings, monkeypatch):
+    """Ranks above the ratings of an id have the errors of single fits, without such fits."""
+    train, test = fm.holdout_split(ratings)
+    want = [
+        fm.rmse(fm.predict(fm.fit_als(train, 40, 3, reg), test)).first()["rmse"] for reg in (0.5, 0.05)
+    ]
+    fits, fit = [], fm.fit_als
+    monkeypatch.setattr(fm, "fit_als", lambda t, rank, n, *more: fits.append(n) or fit(t, rank, n, *more))
+    grid = fm.tune_als(train, test, ranks=(40,), reg_params=(0.5, 0.05), iterations=3)
+    assert [r.rmse for r in grid.collect()] == pytest.approx(want, rel=1e-4)
+    assert fits == [0]
+
+
+def test_blocks_of_short_vectors_are_few(spark, ratings):
+    """Low ranks send their vectors to fewer blocks than there are cores."""
+    made, als = [], fm.ALS
+    try:
+        fm.ALS = lambda **more: made.append(more["numUserBlocks"]) or als(**more)
+        for rank in (4, 50):
+            fm.fit_als(ratings, rank, 1)
+    finally:
+        fm.ALS = als
+    assert made == [2, spark.sparkContext.defaultParallelism]
+
+
 def test_item_vectors(model):
     assert fm.item_vectors(model).columns == ["product_id", "features"]
     assert fm.item_vectors(model).count() == 30
