@@ -2,11 +2,12 @@
 
 import math
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.ml.recommendation import ALS
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens import constants, schemas
@@ -27,6 +28,13 @@ FIT_BLOCK = 32_000_000
 BUSY_RANK = 50
 
 
+class Model(NamedTuple):
+    """What a fit gives: ``id, features`` of users and of products."""
+
+    userFactors: DataFrame
+    itemFactors: DataFrame
+
+
 def fit_als(
     ratings: DataFrame,
     rank: int = constants.ALS_RANK,
@@ -34,41 +42,75 @@ def fit_als(
     reg_param: float = constants.ALS_REGULARISATION,
     seed: int = 0,
     blocks: int | None = None,
-) -> ALSModel:
+) -> Model:
     """Fit on ``(user_id, product_id, score)``.
 
+    The fit starts where Spark ML's ``ALS`` with so many blocks does and takes the same steps,
+    by ``gram.fit_factors``: there a vector is written once per round, not sent to every block.
     Blocks follow the number of ratings and are at least the cluster's cores; fewer for a
-    rank below ``BUSY_RANK``, as every block is sent nearly all vectors and has little to do
-    with short ones. The fit keeps all ratings of one product (or user) in one block; where one has more than a
-    task can hold, fit on ratings of which that product's are thinned out.
+    rank below ``BUSY_RANK``. As with ``ALS``, ids are integers, and neither they nor scores may
+    be null, scores neither NaN nor infinite.
     """
     spark = ratings.sparkSession
     shared_dir(spark)  # the fit cuts its lineage there
+    rows = read_stored(ratings.select(_id("user_id"), _id("product_id"), _score()), "fit")
     if blocks is None:
         busy = math.ceil(spark.sparkContext.defaultParallelism * min(1, rank / BUSY_RANK))
-        blocks = max(2, busy, -(-ratings.count() // FIT_BLOCK))
+        blocks = max(2, busy, -(-rows.count() // FIT_BLOCK))
     als = ALS(
         rank=rank,
-        maxIter=iterations,
+        maxIter=0,
         regParam=reg_param,
         numUserBlocks=blocks,
         numItemBlocks=blocks,
         userCol="user_id",
         itemCol="product_id",
         ratingCol="score",
-        coldStartStrategy="drop",
-        checkpointInterval=2,
         seed=seed,
     )
-    return als.fit(ratings.select("user_id", "product_id", F.col("score").cast("float")))
+    if iterations == 0:
+        model = als.fit(rows)
+        return Model(model.userFactors, model.itemFactors)
+    # A user's start depends on nothing but the users: one row of each is enough.
+    users = rows.select("user_id").distinct()
+    start = als.fit(users.select("user_id", F.col("user_id").alias("product_id"), F.lit(0.0).cast("float").alias("score")))
+    found = _alternated(rows, rank, iterations, reg_param, user_vectors(start))
+    return Model(*(side.select(F.col(side.columns[0]).alias("id"), "features") for side in found))
+
+
+def _id(name: str) -> Column:
+    whole = F.col(name).cast("int")
+    text = f"{name}: ids must be integers and not null, but one is "
+    bad = F.raise_error(F.concat(F.lit(text), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
+    return F.when(whole == F.col(name), whole).otherwise(bad).alias(name)
+
+
+def _score() -> Column:
+    good = F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))
+    bad = F.raise_error(F.lit("scores must not be null, NaN or infinite"))
+    return F.when(good, F.col("score").cast("float")).otherwise(bad).alias("score")
+
+
+def _alternated(rows: DataFrame, rank: int, iterations: int, reg_params, begin: DataFrame) -> gram.Factors:
+    """``gram.fit_factors`` from the users' vectors, as Spark's fit solves the products first."""
+    turned = rows.select(
+        F.col("product_id").alias("user_id"), F.col("user_id").alias("product_id"), F.col("score").cast("float")
+    )
+    start = begin.withColumnRenamed("user_id", "product_id")
+    found = gram.fit_factors(turned, rank, iterations, reg_params, start=start)
+    return gram.Factors(
+        found.items.withColumnRenamed("product_id", "user_id"), found.users.withColumnRenamed("user_id", "product_id")
+    )
 
 
-def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
+def predict(model: Model, pairs: DataFrame) -> DataFrame:
     """Pairs with ``prediction``; pairs of unknown users or products drop out."""
-    return model.transform(pairs).withColumn("prediction", F.col("prediction").cast("double"))
+    size = model.userFactors.select(F.size("features").alias("n")).first()
+    checked = pairs.withColumns({c: _id(c) for c in ("user_id", "product_id")})
+    return gram.predicted(checked, gram.Factors(*model), size["n"] if size else 1)
 
 
-def user_recs(model: ALSModel, k: int = constants.USER_RECS_LENGTH) -> DataFrame:
+def user_recs(model: Model, k: int = constants.USER_RECS_LENGTH) -> DataFrame:
     """Per user the best ``k`` products with a positive prediction; rated ones included."""
     return lists_of(user_vectors(model), item_vectors(model), k)
 
@@ -79,7 +121,7 @@ def lists_of(users: DataFrame, items: DataFrame, k: int = constants.USER_RECS_LE
 
 
 def unrated_user_recs(
-    model: ALSModel, ratings: DataFrame, k: int = constants.USER_RECS_LENGTH
+    model: Model, ratings: DataFrame, k: int = constants.USER_RECS_LENGTH
 ) -> DataFrame:
     """Like ``user_recs`` without the products the user has rated.
 
@@ -323,11 +365,11 @@ def recs_from_predictions(predictions: DataFrame, k: int = constants.USER_RECS_L
     )
 
 
-def user_vectors(model: ALSModel) -> DataFrame:
+def user_vectors(model: Model) -> DataFrame:
     return model.userFactors.select(F.col("id").alias("user_id"), "features")
 
 
-def item_vectors(model: ALSModel) -> DataFrame:
+def item_vectors(model: Model) -> DataFrame:
     return model.itemFactors.select(F.col("id").alias("product_id"), "features")
 
 
@@ -395,14 +437,9 @@ def tune_als(
 
 def _summed_errors(train, test, rank, reg_params, iterations, seed):
     """Rank, regularisation and test error of fits from the same start as ``fit_als``."""
-    begin = user_vectors(fit_als(train, rank, 0, reg_params[0], seed)).withColumnRenamed("user_id", "product_id")
-    # Spark's fit solves the products first: the two sides change places.
-    turned = train.select(
-        F.col("product_id").alias("user_id"), F.col("user_id").alias("product_id"), F.col("score").cast("float")
-    )
-    found = gram.fit_factors(turned, rank, iterations, reg_params, start=begin)
-    users, items = found.items.withColumnRenamed("product_id", "user_id"), found.users.withColumnRenamed("user_id", "product_id")
-    errors = gram.squared_errors(test, gram.Factors(users, items), rank, len(reg_params)).collect()
+    begin = user_vectors(fit_als(train, rank, 0, reg_params[0], seed))
+    found = _alternated(train, rank, iterations, reg_params, begin)
+    errors = gram.squared_errors(test, found, rank, len(reg_params)).collect()
     mean = {r["fit"]: r["squares"] / r["n"] for r in errors if r["n"]}
     return [(rank, x, math.sqrt(mean[j]) if j in mean else None) for j, x in enumerate(reg_params)]
 

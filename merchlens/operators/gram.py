@@ -1,13 +1,14 @@
 """Explicit-feedback factors from normal equations that are added up, not gathered.
 
 One side's vectors are solved from the other's. Light users (or products) are cut into
-blocks; a vector of the other side is sent once to every block that needs it, not once per
-rating, and a block's task streams its ratings, sorted by user, past these vectors. A heavy
-one, with more ratings than a task should hold, is never gathered: every task adds up its
+blocks, whose ratings are dealt out once and stored. A round writes a vector once; a block's
+task reads the stored vectors past it and keeps those that its ratings need, so no vector is
+shuffled. A heavy one, with more ratings than a task should hold, is never gathered: every task adds up its
 own share, and only these sums, one matrix per task, meet. So no task holds all ratings of a
 product, and none of a heavy one's ratings is shuffled for it.
 """
 
+import functools
 import math
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -16,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from merchlens import constants
-from merchlens.session import read_stored
+from merchlens.session import read_stored, scratch_path
 
 #: Ratings from which on a user or product is heavy.
 HEAVY = 100_000
@@ -26,8 +28,12 @@ HEAVY = 100_000
 HELD = 512
 #: Numbers in a slice of outer products.
 SLICE_CELLS = 4_000_000
-#: Numbers in the vectors that a block of light ones may need, in double precision 512 MB.
-BLOCK_CELLS = 64_000_000
+#: Bytes of the vectors that a block of light ones may need.
+BLOCK_BYTES = 600_000_000
+#: Ratings that a block has at least, if there is more than one.
+BLOCK_ROWS = 20_000
+#: Parts in which ratings are counted before their ids are.
+BUCKETS = 65_536
 #: Ratings of a block that are solved at once.
 CHUNK_ROWS = 100_000
 
@@ -94,32 +100,47 @@ def _vectors(ids, vectors: np.ndarray) -> pa.RecordBatch:
 
 
 class Blocks(NamedTuple):
-    """Ratings dealt to blocks by one side: ``rows`` (``block, id, other, score``), the
-    distinct ``links`` (``block, other``) and the number of blocks."""
+    """Ratings dealt to blocks by one side: the stored ``rows`` (``id, other, score, block``),
+    how many each block has if it has some, and the number of blocks."""
 
     rows: DataFrame
-    links: DataFrame
+    sizes: dict[int, int]
     count: int
 
+    @property
+    def links(self) -> DataFrame:
+        """The distinct ``block, other``: the vectors that the blocks need."""
+        return self.rows.select("block", "other").distinct()
 
-def blocks_of(rows: DataFrame, key: str, other: str, n_rows: int, numbers: int) -> Blocks:
-    """Blocks by ``key`` that need vectors of at most ``BLOCK_CELLS`` numbers, ``numbers`` in each.
 
-    No more than one for two cores while they are that small: each is sent nearly all vectors.
+def _block(key: str, count: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("int")), F.lit(count)).cast("int")
+
+
+def blocks_of(rows: DataFrame, key: str, other: str, n_rows: int, width: int, score: str = "score") -> Blocks:
+    """Blocks by ``key`` that need at most ``BLOCK_BYTES`` of vectors, ``width`` for each rating.
+
+    No more than one for a core while they are that small: each reads all vectors.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    count = max(1, math.ceil(cores / 2), math.ceil(n_rows * numbers / BLOCK_CELLS))
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    count = max(1, min(cores, n_rows // BLOCK_ROWS), math.ceil(n_rows * width / BLOCK_BYTES))
     rows = rows.select(
-        F.pmod(F.xxhash64(key), F.lit(count)).cast("int").alias("block"),
-        F.col(key).alias("id"), F.col(other).alias("other"), "score",
+        F.col(key).cast("int").alias("id"), F.col(other).cast("int").alias("other"), F.col(score).alias("score"),
+        _block(key, count).alias("block"),
     )
-    return Blocks(rows, read_stored(rows.select("block", "other").distinct(), f"links-{key}"), count)
+    path = scratch_path(spark, f"blocks-{key}")
+    dealt = rows.repartitionById(count, "block").sortWithinPartitions("block", "id")
+    dealt.write.partitionBy("block").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    sizes = {r["block"]: r["n"] for r in stored.groupBy("block").agg(F.count("*").alias("n")).collect()}
+    return Blocks(stored, sizes, count)
 
 
 def _met(
     blocks: Blocks, fixed: DataFrame, own: DataFrame | None, work: Callable[[], Callable], schema: str, whole: bool = False
 ) -> DataFrame:
-    """What ``work`` makes of every block's ratings, which follow the vectors that they need.
+    """What ``work`` makes of every block's ratings and the vectors that they need.
 
     ``fixed`` and ``own`` have ``id, features``: vectors of the other side and, if the work
     asks for them, of the blocks' own ids. Ratings without a vector are left out. For every
@@ -127,71 +148,127 @@ def _met(
     side's vectors, these vectors, places among the own vectors, these, scores and which of
     the scores are not null. With ``whole`` all ratings of an id come in one call.
     """
-    none = F.lit(None)
-
-    def at(block, kind: int) -> Column:
-        """One number to sort by, which Spark does faster than by three columns."""
-        return ((block * 4 + kind).cast("bigint") * (1 << 32) + F.col("id") + (1 << 31)).alias("at")
-
-    sent = blocks.links.join(fixed.select(F.col("id").alias("other"), "features"), "other")
-    sent = sent.select("block", F.col("other").alias("id"), "features")
-    parts = [sent.select(at(F.col("block"), 0), none.cast("int").alias("other"), none.cast("double").alias("score"), "features")]
-    if own is not None:
-        block = F.pmod(F.xxhash64("id"), F.lit(blocks.count)).cast("int")
-        parts.append(own.select(at(block, 1), none.cast("int"), none.cast("double"), "features"))
+
+    def meet(task: _Task, held: pa.Table) -> Iterator[pa.RecordBatch]:
+        for some in held.to_batches(CHUNK_ROWS):
+            yield from task.ratings(some.column("id").to_numpy(), some)
+        yield from task.ratings(None)
+
+    return _beside(blocks, fixed, own, lambda: _Task(None, work(), whole), meet, schema)
+
+
+def _beside(
+    blocks: Blocks, fixed: DataFrame, own: DataFrame | None, task_of: Callable, meet: Callable, schema: str | StructType
+) -> DataFrame:
+    """What ``meet`` makes of each block's task, which knows its vectors, and its ratings by id.
+
+    A block is one task, which reads its ratings and then, without a shuffle, all stored
+    vectors of ``fixed``, of which it keeps what it needs; ``own`` likewise.
+    """
+    none, kind = F.lit(None), blocks.rows.schema["score"].dataType
+    sizes = blocks.sizes
+
+    def vectors(side: DataFrame, number: int) -> DataFrame:
+        side = side.where("id IS NOT NULL")
+        return side.select(
+            F.lit(number).alias("kind"), F.col("id").cast("int"), none.cast("int"), none.cast(kind), "features", none.cast("int")
+        )
+
     # No vector is an empty one: nulls in a row cost Arrow's list writer the square of their number.
     empty = F.array().cast(fixed.schema["features"].dataType)
-    parts.append(blocks.rows.select(at(F.col("block"), 2), "other", F.col("score").cast("double"), empty))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
-    rows = rows.repartitionById(blocks.count, F.shiftright("at", 34).cast("int")).sortWithinPartitions("at")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = None
+    rows = blocks.rows.select(F.lit(2).alias("kind"), "id", "other", "score", empty.alias("features"), "block")
+    others = vectors(fixed, 0)
+    # Spark unites children of one partition each in one task; a child with none keeps them apart.
+    parts = [rows.where("block = -1")]
+    for block in sorted(sizes):
+        part = rows.where(f"block = {block}").union(others)
+        if own is not None:
+            part = part.union(vectors(own.where(_block("id", blocks.count) == block), 1))
+        parts.append(part.coalesce(1))
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, left = task_of(), [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            at = batch.column("at").to_numpy()
-            part, ids = at >> 32, ((at & 0xFFFFFFFF) - (1 << 31)).astype(np.int32)
-            cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
-            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
-                block, kind = divmod(int(part[start]), 4)
-                if task is None or task.block != block:
-                    if task is not None:
-                        yield from task.ratings(None)
-                    task = _Task(block, work(), whole)
+            kinds = batch.column("kind").to_numpy()
+            cuts = (np.flatnonzero(kinds[1:] != kinds[:-1]) + 1).tolist()
+            for start, end in zip([0, *cuts], [*cuts, len(kinds)]):
                 some = batch.slice(start, end - start)
-                if kind < 2:
-                    task.vectors(kind, ids[start:end], some.column("features"))
-                else:
-                    yield from task.ratings(ids[start:end], some)
-        if task is not None:
-            yield from task.ratings(None)
+                if kinds[start] < 2:
+                    task.vectors(int(kinds[start]), some.column("id").to_numpy(), some.column("features"))
+                    continue
+                if left is None:
+                    task.block = some.column("block")[0].as_py()
+                    left = sizes[task.block]
+                held.append(some.select(["id", "other", "score"]))
+                left -= some.num_rows
+                if not left:
+                    held = pa.Table.from_batches(held)
+                    task.want(0, held["other"])
+                    task.want(1, held["id"])
+        if left is None:
+            return
+        ids = held["id"].to_numpy()
+        if (ids[1:] < ids[:-1]).any():
+            held = held.take(pa.array(np.argsort(ids, kind="stable")))
+        yield from meet(task, held.combine_chunks())
 
-    return rows.mapInArrow(meet, schema)
+    return functools.reduce(DataFrame.union, parts).mapInArrow(gathered, schema)
 
 
 class _Task:
     """One block inside a task: its vectors, and the ratings that wait for their id's last."""
 
-    def __init__(self, block: int, work: Callable, whole: bool):
+    def __init__(self, block: int | None, work: Callable | None, whole: bool):
         self.block, self.work, self.whole = block, work, whole
-        self.parts: list[list] = [[], []]
+        self.early: list[list] = [[], []]
+        self.wanted: list[np.ndarray | None] = [None, None]
+        self.kept: list[np.ndarray | None] = [None, None]
+        self.have: list[np.ndarray | None] = [None, None]
         self.known: list[tuple[np.ndarray, np.ndarray]] | None = None
         self.waiting: list[tuple[np.ndarray, ...]] = []
         self.n = 0
 
     def vectors(self, kind: int, ids: np.ndarray, features: pa.Array) -> None:
-        self.parts[kind].append((ids, features.flatten().to_numpy().reshape(len(ids), -1)))
+        """Vectors in any order; until it is known which are wanted, all wait."""
+        rows = features.flatten().to_numpy().reshape(len(ids), -1)
+        if self.wanted[kind] is None:
+            self.early[kind].append((ids, rows))
+        else:
+            self._keep(kind, ids, rows)
+
+    def want(self, kind: int, ids: pa.ChunkedArray) -> None:
+        """From now on only the vectors of these ids are kept."""
+        wanted = np.sort(ids.unique().drop_null().to_numpy())
+        self.wanted[kind], self.have[kind] = wanted, np.zeros(len(wanted), bool)
+        early, self.early[kind] = self.early[kind], []
+        for ids, rows in early:
+            self._keep(kind, ids, rows)
+
+    def _keep(self, kind: int, ids: np.ndarray, rows: np.ndarray) -> None:
+        wanted = self.wanted[kind]
+        if self.kept[kind] is None:
+            self.kept[kind] = np.empty((len(wanted), rows.shape[1]), rows.dtype)
+        place, found = _found(wanted, ids)
+        self.kept[kind][place[found]] = rows[found]
+        self.have[kind][place[found]] = True
+
+    def _known(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted ids of a side that have vectors, and these."""
+        if self.wanted[kind] is None:
+            self.want(kind, pa.chunked_array([pa.array(ids) for ids, _ in self.early[kind]], pa.int32()))
+        if self.kept[kind] is None:
+            return np.empty(0, np.int32), np.empty((0, 1))
+        have = self.have[kind]
+        return (self.wanted[kind], self.kept[kind]) if have.all() else (self.wanted[kind][have], self.kept[kind][have])
+
+    def sides(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        if self.known is None:
+            self.known = [self._known(kind) for kind in (0, 1)]
+        return self.known
 
     def ratings(self, ids: np.ndarray | None, batch: pa.RecordBatch | None = None) -> Iterator[pa.RecordBatch]:
-        if self.known is None:
-            self.known = []
-            for kind in (0, 1):
-                some = self.parts[kind] or [(np.empty(0, np.int32), np.empty((0, 1)))]
-                self.known.append(tuple(np.concatenate(c) for c in zip(*some)))
-                self.parts[kind] = []
         if batch is not None:
             score = batch.column("score")
             self.waiting.append((
@@ -210,7 +287,7 @@ class _Task:
         self.waiting = [(ids[rest], other[rest], score[rest], valid[rest])] if end < len(ids) else []
         self.n = len(ids) - end
         ids, other, score, valid = ids[:end], other[:end], score[:end], valid[:end]
-        (fixed_ids, fixed), (own_ids, own) = self.known
+        (fixed_ids, fixed), (own_ids, own) = self.sides()
         place, have = _found(fixed_ids, other)
         mine, also = _found(own_ids, ids) if len(own_ids) else (np.zeros(len(ids), np.int64), np.ones(len(ids), bool))
         keep = have & also
@@ -341,6 +418,21 @@ def half_step(
     return read_stored(found, f"factors-{key}")
 
 
+def heavy_ids(rows: DataFrame, key: str, heavy: int) -> DataFrame | None:
+    """``key`` of those with more than ``heavy`` rows, stored; None where there are none.
+
+    Only a bucket with that many rows can hold one, so ids are counted in such buckets only.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    full = read_stored(rows.groupBy(bucket).agg(F.count("*").alias("_n")).where(F.col("_n") > heavy), f"full-{key}")
+    if full.isEmpty():
+        return None
+    near = rows.select(key, bucket).join(F.broadcast(full.select("_bucket")), "_bucket", "left_semi")
+    many = near.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > heavy)
+    many = read_stored(many.select(key), f"heavy-{key}")
+    return None if many.isEmpty() else many
+
+
 def fit_factors(
     ratings: DataFrame,
     rank: int = constants.ALS_RANK,
@@ -363,14 +455,16 @@ def fit_factors(
     good = F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))
     rows = ratings.select("user_id", "product_id", F.col("score").cast("double").alias("score"))
     rows = rows.where(good & F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
-    flagged = rows
+    rows = read_stored(rows, "rated")
+    flagged, some = rows, {}
     for key in ("user_id", "product_id"):
-        many = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > heavy)
-        many = read_stored(many.select(key, F.lit(True).alias(f"heavy_{key}")), f"heavy-{key}")
-        flagged = flagged.join(many, key, "left").withColumn(
-            f"heavy_{key}", F.coalesce(f"heavy_{key}", F.lit(False))
-        )
-    rated = read_stored(flagged, "rated")
+        some[key] = many = heavy_ids(rows, key, heavy)
+        if many is not None:
+            flagged = flagged.join(many.withColumn(f"heavy_{key}", F.lit(True)), key, "left")
+        else:
+            flagged = flagged.withColumn(f"heavy_{key}", F.lit(False))
+        flagged = flagged.withColumn(f"heavy_{key}", F.coalesce(f"heavy_{key}", F.lit(False)))
+    rated = flagged if set(some.values()) == {None} else read_stored(flagged, "flagged")
     if start is None:
         ids = rated.select(F.col("product_id").alias("id")).distinct()
         start = start_vectors(ids, rank, seed).withColumnRenamed("id", "product_id")
@@ -378,14 +472,17 @@ def fit_factors(
     features = F.flatten(F.array_repeat("features", times))
     items = read_stored(start.select("product_id", features.alias("features")), "factors-start")
     n = rated.count()
+    width = rank * times * (4 if items.schema["features"].dataType.elementType.simpleString() == "float" else 8)
     by_user, by_item = (
-        blocks_of(rated.where(f"NOT heavy_{key}"), key, other, n, rank * times)
+        blocks_of(rated.where(f"NOT heavy_{key}"), key, other, n, width)
         for key, other in (("user_id", "product_id"), ("product_id", "user_id"))
     )
+    # Where none is heavy, nothing is joined: the vectors would be shuffled for no row.
+    of = {key: rated.limit(0) if many is None else rated for key, many in some.items()}
     users = None
     for _ in range(iterations):
-        users = half_step(rated, "user_id", items, "product_id", rank, reg_param, by_user)
-        items = half_step(rated, "product_id", users, "user_id", rank, reg_param, by_item)
+        users = half_step(of["user_id"], "user_id", items, "product_id", rank, reg_param, by_user)
+        items = half_step(of["product_id"], "product_id", users, "user_id", rank, reg_param, by_item)
     return Factors(users, items)
 
 
@@ -395,7 +492,7 @@ def gradients(ratings: DataFrame, factors: Factors, reg_param: float) -> DataFra
     rows = ratings.select("user_id", "product_id", F.col("score").cast("double").alias("score"))
     rows = rows.where("user_id IS NOT NULL AND product_id IS NOT NULL")
     size = factors.items.select(F.size("features")).first()
-    blocks = blocks_of(rows, "product_id", "user_id", rows.count(), size[0] if size else 1)
+    blocks = blocks_of(rows, "product_id", "user_id", rows.count(), 8 * size[0] if size else 8)
 
     def work():
         def undone(ids, place, vectors, mine, own, score, valid):
@@ -424,7 +521,7 @@ def squared_errors(pairs: DataFrame, factors: Factors, rank: int, times: int = 1
     for each of the ``times`` fits whose vectors stand one after the other."""
     rows = pairs.select("user_id", "product_id", F.col("score").cast("double").alias("score"))
     rows = rows.where("user_id IS NOT NULL AND product_id IS NOT NULL")
-    blocks = blocks_of(rows, "user_id", "product_id", rows.count(), rank * times)
+    blocks = blocks_of(rows, "user_id", "product_id", rows.count(), 16 * rank * times)
 
     def work():
         def errors(ids, place, vectors, mine, own, score, valid):
@@ -445,3 +542,26 @@ def squared_errors(pairs: DataFrame, factors: Factors, rank: int, times: int = 1
     users, items = (side.withColumnRenamed(side.columns[0], "id") for side in factors)
     parts = _met(blocks, items, users, work, "fit int, n bigint, squares double")
     return parts.groupBy("fit").agg(F.sum("n").alias("n"), F.sum("squares").alias("squares"))
+
+
+def predicted(pairs: DataFrame, factors: Factors, rank: int) -> DataFrame:
+    """``pairs`` with ``prediction``, the dot product of ``user_id`` and ``product_id``, where
+    both have a vector and the product is a number. No vector is shuffled."""
+    rows = pairs.select("user_id", "product_id", F.struct("*").alias("row"))
+    blocks = blocks_of(rows, "user_id", "product_id", pairs.count(), 16 * rank, "row")
+
+    def meet(task: _Task, held: pa.Table) -> Iterator[pa.RecordBatch]:
+        (fixed_ids, fixed), (own_ids, own) = task.sides()
+        for some in held.to_batches(CHUNK_ROWS):
+            place, have = _found(fixed_ids, some.column("other").to_numpy())
+            mine, also = _found(own_ids, some.column("id").to_numpy())
+            keep = have & also
+            x = np.einsum("ij,ij->i", own[mine[keep]].astype(np.float64), fixed[place[keep]].astype(np.float64))
+            number = ~np.isnan(x)
+            pairs = some.column("score").filter(pa.array(keep)).filter(pa.array(number))
+            yield pa.RecordBatch.from_arrays([pairs, pa.array(x[number])], names=["row", "prediction"])
+
+    users, items = (side.withColumnRenamed(side.columns[0], "id") for side in factors)
+    schema = StructType().add("row", blocks.rows.schema["score"].dataType).add("prediction", DoubleType())
+    found = _beside(blocks, items, users, lambda: _Task(None, None, False), meet, schema)
+    return found.select("row.*", "prediction")

@@ -130,6 +130,37 @@ def test_blocks_of_short_vectors_are_few(spark, ratings):
     assert made == [2, spark.sparkContext.defaultParallelism]
 
 
+def test_the_fit_equals_sparks_without_its_rounds(spark, ratings, monkeypatch):
+    """From Spark's start by the same steps; of ``ALS`` itself no round, which sends vectors to all blocks."""
+    want = fm.ALS(
+        rank=3, maxIter=3, regParam=0.05, numUserBlocks=4, numItemBlocks=4, userCol="user_id", itemCol="product_id",
+        ratingCol="score", seed=5,
+    ).fit(ratings)
+    made, als = [], fm.ALS
+    monkeypatch.setattr(fm, "ALS", lambda **more: made.append(more["maxIter"]) or als(**more))
+    found = fm.fit_als(ratings, 3, 3, 0.05, 5, 4)
+    assert made == [0]
+    for got, side in ((found.userFactors, want.userFactors), (found.itemFactors, want.itemFactors)):
+        vectors = {r.id: np.array(r.features) for r in side.collect()}
+        rows = {r.id: np.array(r.features) for r in got.collect()}
+        assert rows.keys() == vectors.keys()
+        assert max(np.abs(rows[k] - vectors[k]).max() for k in rows) < 1e-3
+    pairs = ratings.select("ts", "product_id", "user_id", F.array("score").alias("list")).union(
+        spark.createDataFrame([(1, 2, 999, [1.0]), (1, 999, 2, None)], "ts BIGINT, product_id INT, user_id INT, list ARRAY<DOUBLE>")
+    )
+    got, old = fm.predict(found, pairs), want.transform(pairs).where("NOT isnan(prediction)")
+    assert got.columns == old.columns and got.count() == old.count() == ratings.count()
+    both = got.withColumnRenamed("prediction", "p").join(old, ["ts", "product_id", "user_id", "list"])
+    assert both.count() == ratings.count() and both.where("abs(p - prediction) > 1e-3").isEmpty()
+
+
+@pytest.mark.parametrize("odd", [(None, 1, 1.0), (1, None, 1.0), (1, 1, None), (1, 1, float("nan")), (1, 1, float("inf"))])
+def test_lost_ratings_are_refused(spark, odd):
+    rows = [(u, p, 1.0) for u in range(3) for p in range(3)] + [odd]
+    with pytest.raises(Exception, match="null"):
+        fm.fit_als(spark.createDataFrame(rows, "user_id INT, product_id INT, score DOUBLE"), 2, 1)
+
+
 def test_item_vectors(model):
     assert fm.item_vectors(model).columns == ["product_id", "features"]
     assert fm.item_vectors(model).count() == 30

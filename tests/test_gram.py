@@ -141,3 +141,36 @@ def test_nothing_to_fit_and_fixed_start(spark):
     many = gram.start_vectors(spark.range(4000).select(F.col("id").cast("int").alias("id")), 4, 1)
     x = np.array([r["features"] for r in many.collect()])
     assert np.abs(x.mean(axis=0)).max() < 0.05 and np.abs(x.std(axis=0) - 0.5).max() < 0.05
+
+
+def test_vectors_are_not_shuffled(spark, rated, monkeypatch):
+    """Every block is a task of its own, which reads the vectors where they are stored."""
+    monkeypatch.setattr(gram, "BLOCK_ROWS", 50)
+    found, light = [], gram._light
+    monkeypatch.setattr(gram, "_light", lambda blocks, *more: found.append((blocks, light(blocks, *more))) or found[-1][1])
+    gram.fit_factors(spark.createDataFrame(rated, RATINGS).repartition(3), 3, 1, 0.1)
+    assert len(found) == 2
+    for blocks, df in found:
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.rdd.getNumPartitions() == len(blocks.sizes) > 3
+        assert blocks.rows.count() == sum(blocks.sizes.values()) == len(rated)
+
+
+def test_vectors_are_kept_in_any_order():
+    """Those that came before it was known which are wanted too, and none that is not."""
+    task = gram._Task(0, None, False)
+    task.vectors(0, np.array([9, 4], np.int32), pa.array([[9.0], [4.0]]))
+    task.want(0, pa.chunked_array([[7, 4, 4], [5, None]], pa.int32()))
+    task.vectors(0, np.array([7, 8], np.int32), pa.array([[7.0], [8.0]]))
+    (ids, vectors), (own, _) = task.sides()
+    assert ids.tolist() == [4, 7] and vectors.tolist() == [[4.0], [7.0]] and not len(own)
+
+
+@pytest.mark.parametrize("heavy", [0, 2, 3, 10])
+def test_heavy_ids_by_buckets(spark, heavy, monkeypatch):
+    monkeypatch.setattr(gram, "BUCKETS", 3)
+    rows = spark.createDataFrame([(i,) for i in range(12) for _ in range(i % 4)], "id INT")
+    want = sorted(i for i in range(12) if i % 4 > heavy)
+    found = gram.heavy_ids(rows, "id", heavy)
+    assert want == ([] if found is None else sorted(r.id for r in found.collect()))
+    assert want or found is None
