@@ -35,6 +35,12 @@ class Model(NamedTuple):
     itemFactors: DataFrame
 
 
+class Fitted(Model):
+    """A model with the factors that it is made of."""
+
+    factors: gram.Factors
+
+
 def fit_als(
     ratings: DataFrame,
     rank: int = constants.ALS_RANK,
@@ -75,7 +81,9 @@ def fit_als(
     users = rows.select("user_id").distinct()
     start = als.fit(users.select("user_id", F.col("user_id").alias("product_id"), F.lit(0.0).cast("float").alias("score")))
     found = _alternated(rows, rank, iterations, reg_param, user_vectors(start))
-    return Model(*(side.select(F.col(side.columns[0]).alias("id"), "features") for side in found))
+    model = Fitted(*(side.withColumnRenamed(side.columns[0], "id") for side in found))
+    model.factors = found
+    return model
 
 
 def _id(name: str) -> Column:
@@ -98,8 +106,9 @@ def _alternated(rows: DataFrame, rank: int, iterations: int, reg_params, begin:
     )
     start = begin.withColumnRenamed("user_id", "product_id")
     found = gram.fit_factors(turned, rank, iterations, reg_params, start=start)
-    return gram.Factors(
-        found.items.withColumnRenamed("product_id", "user_id"), found.users.withColumnRenamed("user_id", "product_id")
+    return gram.with_chunks(
+        found.items.withColumnRenamed("product_id", "user_id"), found.users.withColumnRenamed("user_id", "product_id"),
+        found.stored_chunks()[::-1],
     )
 
 
@@ -107,7 +116,8 @@ def predict(model: Model, pairs: DataFrame) -> DataFrame:
     """Pairs with ``prediction``; pairs of unknown users or products drop out."""
     size = model.userFactors.select(F.size("features").alias("n")).first()
     checked = pairs.withColumns({c: _id(c) for c in ("user_id", "product_id")})
-    return gram.predicted(checked, gram.Factors(*model), size["n"] if size else 1)
+    factors = model.factors if isinstance(model, Fitted) else gram.Factors(*model)
+    return gram.predicted(checked, factors, size["n"] if size else 1)
 
 
 def user_recs(model: Model, k: int = constants.USER_RECS_LENGTH) -> DataFrame:

@@ -174,3 +174,49 @@ def test_heavy_ids_by_buckets(spark, heavy, monkeypatch):
     found = gram.heavy_ids(rows, "id", heavy)
     assert want == ([] if found is None else sorted(r.id for r in found.collect()))
     assert want or found is None
+
+
+def test_vectors_and_ratings_travel_in_chunks(spark, rated, monkeypatch):
+    """A half round is handed rows of many vectors or ratings, none of a single one."""
+    monkeypatch.setattr(gram, "CHUNK_BYTES", 400)
+    seen, beside = [], gram._beside
+    monkeypatch.setattr(gram, "_beside", lambda blocks, fixed, *more: seen.append((blocks, fixed)) or beside(blocks, fixed, *more))
+    found = gram.fit_factors(spark.createDataFrame(rated, RATINGS).repartition(3), 4, 2, 0.1)
+    assert len(seen) == 4
+    for blocks, fixed in seen:
+        vectors, ratings = fixed.collect(), blocks.chunks.collect()
+        assert max(len(r.ids) for r in vectors) == 4 * (400 // 36) and sum(r.n for r in ratings) == len(rated)
+        assert len(ratings) <= len(rated) / 20
+    for (blocks, _), turned in zip(seen, (1, -1)):
+        held = sorted((r.id, r.other)[::turned] for r in blocks.rows.collect())
+        assert held == sorted((u, p) for u, p, _ in rated)
+    users, items = found.stored_chunks()
+    again = gram.from_chunks(gram.in_chunks(found.items), "product_id", np.dtype(np.float64))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.items.collect()))
+    assert gram.from_chunks(users, "user_id", np.dtype(np.float64)).count() == found.users.count() == 150
+
+
+def test_numbers_of_sliced_bytes():
+    columns = gram._in_bytes(np.arange(5000, dtype=np.int32), np.arange(10000.0).reshape(5000, 2))
+    assert len({len(c) for c in columns}) == 1 < len(columns[0])
+    part = columns[1].slice(1, 2)
+    width = len(columns[1][0].as_py()) // 8
+    assert gram._numbers(part, np.float64).tolist() == list(range(width, 3 * width))
+    assert len(gram._numbers(pa.array([], pa.binary()), np.int32)) == 0
+
+
+def test_a_block_holds_no_more_than_its_bytes():
+    """Each has room for its ratings and for the vectors that they may need, however they are spread."""
+    rng = np.random.default_rng(1)
+    load, width = gram.Load(3_000_000, 90_000, 120_000), 1000
+    few = gram.BLOCK_BYTES
+    try:
+        gram.BLOCK_BYTES = 60_000_000
+        count = load.blocks(4, width)
+    finally:
+        gram.BLOCK_BYTES = few
+    assert 4 < count < 3_000_000 * (width + gram.ROW_BYTES) / 60_000_000
+    users, items = rng.integers(90_000, size=3_000_000), rng.integers(120_000, size=3_000_000)
+    needed = max(len(np.unique(items[users % count == b])) for b in range(3))
+    assert 3_000_000 / count * gram.ROW_BYTES + needed * width < 1.02 * 60_000_000
+    assert gram.Load(0, 1, 1).blocks(8, 200) == 1 and gram.Load(10**6, 10**5, 10**5).blocks(8, 200) == 8
