@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from merchlens import schemas
 from merchlens.functions.ranking import unpack_recs
 from merchlens.operators import factorization as fm
+from merchlens.operators import gram
 
 
 @pytest.fixture(scope="module")
@@ -252,3 +253,17 @@ def test_vectors_of_another_size_have_no_predictions(spark):
     lost = spark.createDataFrame([(901, [1.0], 4)], "user_id INT, features ARRAY<DOUBLE>, depth INT")
     best = fm.best_products(left.union(lost), right.union(odd))
     assert unpacked(fm.recs_from_predictions(best, 4)) == best_by_loops(users, items, 4)
+
+
+def test_penalties_one_by_one_and_at_once(spark, monkeypatch):
+    """The grid does not depend on how many penalties are fitted at once."""
+    rng = np.random.default_rng(6)
+    rows = sorted({(int(u), int(p)) for u, p in rng.integers(0, 30, size=(150, 2))})
+    data = spark.createDataFrame([(u, p, float(1 + (u * p) % 5)) for u, p in rows], "user_id INT, product_id INT, score DOUBLE")
+    grids, seen, deal = [], [], gram.deal
+    monkeypatch.setattr(gram, "deal", lambda *more: seen.append(more) or deal(*more))
+    for at_once in (1, 2):
+        monkeypatch.setattr(gram, "fits_at_once", lambda *more, n=at_once: n)
+        grid = fm.tune_als(data, data, ranks=(12,), reg_params=(1.0, 0.1, 0.01), iterations=2)
+        grids.append([tuple(r) for r in grid.collect()])
+    assert np.allclose(*grids) and len(grids[0]) == 3 and len(seen) == 2

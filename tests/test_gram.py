@@ -220,3 +220,9 @@ def test_a_block_holds_no_more_than_its_bytes():
     needed = max(len(np.unique(items[users % count == b])) for b in range(3))
     assert 3_000_000 / count * gram.ROW_BYTES + needed * width < 1.02 * 60_000_000
     assert gram.Load(0, 1, 1).blocks(8, 200) == 1 and gram.Load(10**6, 10**5, 10**5).blocks(8, 200) == 8
+
+
+def test_fits_that_need_more_blocks_together_run_one_by_one():
+    small, large = gram.Load(600_000, 15_000, 20_000), gram.Load(28_800_000, 900_000, 1_200_000)
+    assert gram.fits_at_once(small, 4, 1000, 8) == 4
+    assert gram.fits_at_once(large, 4, 1000, 12) == 1
