@@ -1,4 +1,7 @@
+import functools
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -267,3 +270,30 @@ def test_penalties_one_by_one_and_at_once(spark, monkeypatch):
         grid = fm.tune_als(data, data, ranks=(12,), reg_params=(1.0, 0.1, 0.01), iterations=2)
         grids.append([tuple(r) for r in grid.collect()])
     assert np.allclose(*grids) and len(grids[0]) == 3 and len(seen) == 2
+
+
+def test_users_without_a_better_product_are_passed_over(monkeypatch):
+    """Later slices are searched only for users who find something there; NaN hides nothing."""
+    rng = np.random.default_rng(4)
+    users, items = rng.normal(size=(60, 6)).astype(np.float32), rng.normal(size=(900, 6)).astype(np.float32)
+    users[3, 0], items[800] = 0.0, [np.inf, 0, 0, 0, 0, 0]
+    items /= np.linalg.norm(items[:, 1:], axis=1, keepdims=True) + 1e-9  # slices bound nothing
+    looked, cells = [], fm.cells
+    monkeypatch.setattr(fm, "cells", lambda mask: looked.append(mask.size) or cells(mask))
+    monkeypatch.setattr(fm, "ITEM_SLICE", 30)
+    monkeypatch.setattr(fm, "BestHits", functools.partial(fm.BestHits, waiting=50))
+
+    def table(key, vectors, **more):
+        lists = pa.array([v.tolist() for v in vectors], pa.list_(pa.float32()))
+        return pa.table({key: pa.array(range(len(vectors)), pa.int32()), "features": lists, **more})
+
+    depth, floor = pa.array([2] * 60, pa.int32()), pa.array([0.0] * 60)
+    found = fm._best_of_blocks(table("user_id", users, depth=depth, floor=floor), table("product_id", items))
+    with np.errstate(invalid="ignore"):
+        sims = users @ items.T
+    sims[np.isnan(sims)] = -1
+    pairs = set(zip(found["user_id"].to_pylist(), found["product_id"].to_pylist()))
+    for u in range(60):
+        best = np.argsort(-sims[u], kind="stable")[:2]
+        assert {(u, int(p)) for p in best if sims[u, p] > 0} <= pairs
+    assert sum(looked) < 0.6 * sims.size
